@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing
+from . import exact_dedup, jaccard_join, mixing
 from .common import table
 
 
@@ -14,12 +14,16 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).select(*exact_dedup.QUERY_COLUMNS)
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(*mixing.QUERY_COLUMNS)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_exact_dedup, op7_mix_sources)}
+    return {f.__name__: f for f in (op4_exact_dedup, op5_jaccard_join, op7_mix_sources)}
 
 
 def oracle_sql() -> dict[str, str]:
