@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, jaccard_join, mixing
+from . import decontaminate, exact_dedup, jaccard_join, line_dedup, mixing
 from .common import table
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.query(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).select(*exact_dedup.QUERY_COLUMNS)
 
@@ -22,9 +26,13 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(*mixing.QUERY_COLUMNS)
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_exact_dedup, op5_jaccard_join, op7_mix_sources)}
+    return {f.__name__: f for f in (op2_line_dedup, op4_exact_dedup, op5_jaccard_join, op7_mix_sources, op8_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": exact_dedup.ORACLE_SQL, "op7_mix_sources": mixing.ORACLE_SQL}
+    return {"op2_line_dedup": line_dedup.ORACLE_SQL, "op8_decontaminate": decontaminate.ORACLE_SQL, "op4_exact_dedup": exact_dedup.ORACLE_SQL, "op7_mix_sources": mixing.ORACLE_SQL}
