@@ -56,3 +56,15 @@ def written(df: DataFrame, tag: str) -> DataFrame:
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
     """Bounds what one Arrow batch may hold, since single texts may be very long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+#: Lists of ids are broadcast up to so many (about 20 MB), else joined by shuffle.
+BROADCAST_IDS = 500_000
+
+
+def without_ids(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """docs less the rows whose id is in ids; rows with a null id stay."""
+    ids = written(ids.select(F.col(id_col).alias("_gone")).distinct(), "ids")
+    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return docs.join(ids, docs[id_col] == ids["_gone"], "left_anti")

@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, jaccard_join, line_dedup, mixing
+from . import decontaminate, exact_dedup, jaccard_join, line_dedup, mixing, quality_crf
 from .common import table
 
 
+def op1_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_crf.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.query(table(spark, sf_dir, "documents"))
 
@@ -31,7 +35,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_line_dedup, op4_exact_dedup, op5_jaccard_join, op7_mix_sources, op8_decontaminate)}
+    return {f.__name__: f for f in (op1_quality_crf, op2_line_dedup, op4_exact_dedup, op5_jaccard_join, op7_mix_sources, op8_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
