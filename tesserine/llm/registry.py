@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, jaccard_join, line_dedup, mixing, quality_crf
+from . import decontaminate, exact_dedup, jaccard_join, line_dedup, mixing, quality_crf, warc
 from .common import table
 
 
@@ -34,9 +34,13 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(*warc.QUERY_COLUMNS)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_crf, op2_line_dedup, op4_exact_dedup, op5_jaccard_join, op7_mix_sources, op8_decontaminate)}
+    return {f.__name__: f for f in (op1_quality_crf, op2_line_dedup, op4_exact_dedup, op5_jaccard_join, op7_mix_sources, op8_decontaminate, op9_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": line_dedup.ORACLE_SQL, "op8_decontaminate": decontaminate.ORACLE_SQL, "op4_exact_dedup": exact_dedup.ORACLE_SQL, "op7_mix_sources": mixing.ORACLE_SQL}
+    return {"op2_line_dedup": line_dedup.ORACLE_SQL, "op8_decontaminate": decontaminate.ORACLE_SQL, "op9_warc": warc.ORACLE_SQL, "op4_exact_dedup": exact_dedup.ORACLE_SQL, "op7_mix_sources": mixing.ORACLE_SQL}
