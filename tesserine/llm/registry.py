@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, jaccard_join, line_dedup, mixing, quality_crf, warc
+from . import decontaminate, exact_dedup, jaccard_join, line_dedup, mixing, quality_crf, secrets, warc
 from .common import table
 
 
@@ -26,6 +26,10 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), k=4, percent=85)
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(*mixing.QUERY_COLUMNS)
 
@@ -39,7 +43,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_crf, op2_line_dedup, op4_exact_dedup, op5_jaccard_join, op7_mix_sources, op8_decontaminate, op9_warc)}
+    return {f.__name__: f for f in (op1_quality_crf, op2_line_dedup, op4_exact_dedup, op5_jaccard_join, op6_secret_scan, op7_mix_sources, op8_decontaminate, op9_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
