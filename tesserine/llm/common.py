@@ -62,9 +62,14 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
 BROADCAST_IDS = 500_000
 
 
+def if_small(df: DataFrame, rows: int = BROADCAST_IDS) -> DataFrame:
+    """df, a written table of a few columns of fixed width, to be broadcast if it has at
+    most so many rows."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def without_ids(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
     """docs less the rows whose id is in ids; rows with a null id stay."""
     ids = written(ids.select(F.col(id_col).alias("_gone")).distinct(), "ids")
-    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
+    ids = if_small(ids)
     return docs.join(ids, docs[id_col] == ids["_gone"], "left_anti")
