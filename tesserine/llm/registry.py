@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, jaccard_join, line_dedup, mixing, quality_crf, secrets, warc
+from . import decontaminate, exact_dedup, jaccard_join, line_dedup, mixing, pii, quality_crf, secrets, warc
 from .common import table
 
 
@@ -42,8 +42,12 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).select(*warc.QUERY_COLUMNS)
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.query(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_crf, op2_line_dedup, op4_exact_dedup, op5_jaccard_join, op6_secret_scan, op7_mix_sources, op8_decontaminate, op9_warc)}
+    return {f.__name__: f for f in (op1_quality_crf, op2_line_dedup, op4_exact_dedup, op5_jaccard_join, op6_secret_scan, op7_mix_sources, op8_decontaminate, op9_warc, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
