@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, jaccard_join, line_dedup, mixing, pii, quality_crf, secrets, warc
+from . import decontaminate, exact_dedup, jaccard_join, line_dedup, mixing, pii, quality_crf, secrets, substring_dedup, warc
 from .common import table
 
 
@@ -18,6 +18,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.query(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).select(*exact_dedup.QUERY_COLUMNS)
 
@@ -47,7 +51,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_crf, op2_line_dedup, op4_exact_dedup, op5_jaccard_join, op6_secret_scan, op7_mix_sources, op8_decontaminate, op9_warc, op10_pii)}
+    return {f.__name__: f for f in (op1_quality_crf, op2_line_dedup, op3_suffix_dedup, op4_exact_dedup, op5_jaccard_join, op6_secret_scan, op7_mix_sources, op8_decontaminate, op9_warc, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
