@@ -123,8 +123,8 @@ def relative_path(path: Column, roots: list[str]) -> Column:
     """Without the first root it starts with."""
     out = None
     for r in roots:
-        root = r.rstrip("/") + "/"
-        cond, value = path.startswith(root), F.substring(path, len(root) + 1, 1 << 30)
+        root = r if r.endswith("/") else r + "/"
+        cond, value = path.startswith(root), path.substr(len(root) + 1, 1 << 30)
         out = F.when(cond, value) if out is None else out.when(cond, value)
     return path if out is None else out.otherwise(path)
 

@@ -1,20 +1,16 @@
-"""Queries over the driver tables, by the operator that they apply."""
+"""All queries over the driver tables, and their SQL."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from . import lists, rules, statistics
+from .base import QUERIES, SQL
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+__all__ = ["lists", "oracle_sql", "queries", "rules", "statistics"]
 
 
-def _category_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/part.parquet").groupBy("p_brand").agg(F.count("*").alias("n"))
+def queries():
+    return dict(QUERIES)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"category_stats": _category_stats}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {"category_stats": "SELECT p_brand, count(*) AS n FROM part GROUP BY p_brand"}
+def oracle_sql():
+    return dict(SQL)
