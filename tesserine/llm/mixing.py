@@ -32,7 +32,8 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, total_p
     of all sizes, at most max_copies times the source's size; what is cut off is shared
     among the rest by weight until none is above. Sources that reach their limit are those
     with the least limit for their weight, so one running sum over the sources (one row
-    each) finds the level at which the rest stand."""
+    each) finds the level at which the rest stand: in that order, levels rise as long as
+    sources reach their limit and fall after, so it is the greatest of those within it."""
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     by_ratio = Window.orderBy("ratio", "rank")
     everything = Window.partitionBy()
@@ -47,7 +48,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, total_p
         .withColumn("cap_before", F.coalesce(F.sum("cap").over(by_ratio.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
         .withColumn("weight_before", F.coalesce(F.sum("weight").over(by_ratio.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
         .withColumn("level", (F.col("goal") - F.col("cap_before")) / (F.col("all_weight") - F.col("weight_before")))
-        .withColumn("open_level", F.min(F.when(F.col("level") < F.col("ratio"), F.col("level"))).over(everything))
+        .withColumn("open_level", F.max(F.when(F.col("level") <= F.col("ratio"), F.col("level"))).over(everything))
         .withColumn("target", F.when(F.col("open_level").isNull() | (F.col("ratio") <= F.col("open_level")), F.col("cap").cast("double")).otherwise(F.col("weight") * F.col("open_level")))
         .select("source", "source_size", "n", "target")
     )
@@ -105,7 +106,7 @@ c AS (SELECT *, 2 * source_size AS cap, CASE (rank - 1) % 3 WHEN 0 THEN 3 WHEN 1
 r AS (SELECT *, cap / weight AS ratio, CAST(sum(source_size) OVER () AS DOUBLE) * 1.5 AS goal, sum(weight) OVER () AS all_weight FROM c),
 l AS (SELECT *, (goal - coalesce(sum(cap) OVER p, 0)) / CAST(all_weight - coalesce(sum(weight) OVER p, 0) AS DOUBLE) AS level
       FROM r WINDOW p AS (ORDER BY ratio, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-o AS (SELECT *, min(CASE WHEN level < ratio THEN level END) OVER () AS open_level FROM l),
+o AS (SELECT *, max(CASE WHEN level <= ratio THEN level END) OVER () AS open_level FROM l),
 t AS (SELECT source, source_size, CASE WHEN open_level IS NULL OR ratio <= open_level THEN CAST(cap AS DOUBLE) ELSE weight * open_level END AS target FROM o),
 e AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate,
         CAST(CAST('0x' || substr(md5('17:' || coalesce(source, chr(0) || 'null')), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0 AS shift FROM t),
