@@ -7,18 +7,20 @@ least percent/100. The result has every document with the component that links g
    equal sets are one class, of which one goes on: a large group of copies costs a row.
 2. Blocks. Documents that link share at least one shingle among the first
    n - ceil(percent*n/100) + 1 of each, in any order common to all. The order is by hash,
-   but shingles found in many documents come last. Which ones these are is known from a
+   but shingles seen in several documents come last. Which ones these are is known from a
    bitmap of fixed size; a false entry changes the order, never the result. Documents that
-   share a shingle so chosen fall in one block; documents of different blocks can't link.
+   share a shingle so chosen and have sizes in one of two neighbouring bands fall in one
+   block; documents of different blocks can't link.
 3. Search. A block's inverted lists are built in one task, from at most about
    `chunk_shingles` shingles. A query's short lists are merged to count occurrences, its
    long ones are probed by binary search (DivideSkip), and documents with the required
    overlap link. Some hubs are searched first; after that only documents outside the
    block's largest component are queries, since every missing link has one of them.
-4. Blocks too large for one task are dealt to chunks. Each is searched as above; then the
-   hubs of the whole block, then all documents outside its largest component, are
-   searched in all its chunks. No link is lost, nothing is capped, and a hot group of near
-   copies costs in proportion to its size.
+4. Blocks too large for one task are dealt to chunks by size, as only documents of like
+   size can link. Each chunk is searched as above; then the largest component's hub, then
+   all documents outside that component, are searched in the chunks of like size, streamed
+   past the index. No link is lost, nothing is capped, and a hot group of near copies costs
+   in proportion to its size.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, written
+from .common import if_small, small_batches, written
 from .graph import components
 from .hashing import shingle_sets
 
@@ -46,6 +48,11 @@ def required(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+def band(n, percent: int):
+    """Documents that link are in the same band of sizes or in neighbouring ones."""
+    return F.floor(F.log(n) / (np.log(100 / percent) * (1 + 1e-9) + 1e-9)).cast("long")
+
+
 def prefix_length(n: int, percent: int) -> int:
     return n - required(n, percent) + 1
 
@@ -60,9 +67,9 @@ def _has(bitmap: np.ndarray, cells: np.ndarray) -> np.ndarray:
 
 def _bitmap(cells: DataFrame):
     """cells (cell) -> a broadcast of 2**BITS bits. The words are made by Spark."""
-    words = cells.groupBy(F.expr("shiftright(cell, 6)").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(cell & 63 as int)))").alias("bits")).toPandas()
+    words = cells.groupBy(F.expr("shiftright(cell, 6)").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(cell & 63 as int)))").alias("bits")).toArrow()
     out = np.zeros(1 << (BITS - 6), np.uint64)
-    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
+    out[words["word"].to_numpy().astype(np.int64)] = words["bits"].to_numpy().astype(np.int64).view(np.uint64)
     return cells.sparkSession.sparkContext.broadcast(out)
 
 
@@ -72,7 +79,8 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def _sets(texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """id, n, fingerprint of the set, its first shingles by hash."""
+    """id, n, fingerprint of the set, its first shingles by hash: twice the prefix, so
+    that what moves up when others are put last has been counted too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -80,7 +88,7 @@ def _sets(texts: DataFrame, k: int, percent: int) -> DataFrame:
             for s in shingle_sets(batch.column(1).to_pylist(), k):
                 n.append(len(s))
                 prints.append(hashlib.md5(s.tobytes()).digest() if len(s) else None)
-                heads.append(s[: prefix_length(len(s), percent)] if len(s) else s)
+                heads.append(s[: 2 * prefix_length(len(s), percent)] if len(s) else s)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(prints, pa.binary()), _lists(heads)], ["id", "n", "print", "head"])
 
     return texts.mapInArrow(run, "id long, n long, print binary, head array<long>")
@@ -191,22 +199,26 @@ def link_block(sets: list[np.ndarray], percent: int) -> np.ndarray:
     return union.label
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """The rows of a batch whose last column is a set."""
+    *cols, lists = batch.columns
+    flat, off = lists.flatten().to_numpy(), lists.offsets.to_numpy()
+    off = off - off[0]
+    for i, row in enumerate(zip(*(c.to_pylist() for c in cols), strict=True)):
+        yield (*row, np.sort(flat[off[i] : off[i + 1]]))
+
+
 def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, list[tuple[int, ...]], list[np.ndarray]]]:
     """Rows sorted by the first `keys` columns: (key, other columns but the last, sets)."""
     key, rest, sets = None, [], []
     for batch in batches:
-        cols = [batch.column(i).to_pylist() for i in range(batch.num_columns - 1)]
-        lists = batch.column(batch.num_columns - 1)
-        flat, off = lists.flatten().to_numpy(), lists.offsets.to_numpy()
-        off = off - off[0]
-        for i in range(batch.num_rows):
-            k = tuple(c[i] for c in cols[:keys])
-            if k != key:
+        for row in _rows(batch):
+            if row[:keys] != key:
                 if rest:
                     yield key, rest, sets
-                key, rest, sets = k, [], []
-            rest.append(tuple(c[i] for c in cols[keys:]))
-            sets.append(flat[off[i] : off[i + 1]].copy())
+                key, rest, sets = row[:keys], [], []
+            rest.append(row[keys:-1])
+            sets.append(row[-1])
     if rest:
         yield key, rest, sets
 
@@ -216,7 +228,6 @@ def _link_chunks(members: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (block, chunk), rest, sets in _groups(batches, 2):
-            sets = [np.sort(s) for s in sets]
             ids = np.array([r[0] for r in rest], np.int64)
             label = link_block(sets, percent)
             n = len(ids)
@@ -227,51 +238,61 @@ def _link_chunks(members: DataFrame, percent: int) -> DataFrame:
 
 
 def _probe_chunks(members: DataFrame, queries: DataFrame, percent: int) -> DataFrame:
-    """members (block, chunk, id, root, shingles), queries (block, chunk, id, root, shingles):
-    links (a, b) between the roots of queries and of the members they link with."""
+    """members and queries (block, chunk, id, root, shingles): links (a, b) between the roots
+    of queries and of the members of their chunk that they link with."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rest, sets in _groups(batches, 2):
-            sets = [np.sort(s) for s in sets]
-            asks = np.array([r[0] for r in rest], bool)
-            roots = np.array([r[2] for r in rest], np.int64)
-            held = np.flatnonzero(~asks)
-            index, a, b = Index([sets[i] for i in held], percent), [], []
-            for q in np.flatnonzero(asks):
-                for root in np.unique(roots[held[index.search(sets[q])]]):
-                    if root != roots[q]:
-                        a.append(roots[q])
-                        b.append(root)
+        key, index, sets, roots = None, None, [], []
+        for batch in batches:
+            a, b = [], []
+            for block, chunk, asks, root, s in _rows(batch):
+                if (block, chunk) != key:
+                    key, index, sets, roots = (block, chunk), None, [], []
+                if not asks:
+                    sets.append(s)
+                    roots.append(root)
+                elif sets:
+                    if index is None:  # queries come after all members of their chunk
+                        index, roots = Index(sets, percent), np.array(roots, np.int64)
+                    for other in np.unique(roots[index.search(s, roots != root)]):
+                        a.append(root)
+                        b.append(int(other))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    cols = ["block", "chunk", "asks", "id", "root", "shingles"]
+    cols = ["block", "chunk", "asks", "root", "shingles"]
     rows = members.withColumn("asks", F.lit(False)).select(cols).union(queries.withColumn("asks", F.lit(True)).select(cols))
-    return rows.repartition("block", "chunk").sortWithinPartitions("block", "chunk", "asks", "id").mapInArrow(run, "a long, b long")
+    return rows.repartition("block", "chunk").sortWithinPartitions("block", "chunk", "asks").mapInArrow(run, "a long, b long")
 
 
 def _large_blocks(members: DataFrame, linked: DataFrame, percent: int) -> DataFrame:
-    """Links between chunks of the blocks that have several: first from hubs, then from all
-    documents outside the largest component of their block."""
-    rows = written(members.filter("chunks > 1").join(linked.select("id", "root"), "id"), "large")
+    """Links between chunks of the blocks that have several: first from the hub of the block's
+    largest component, then from all documents outside that component, each searched in the
+    chunks of the three bands around its own."""
+    small = lambda df, tag: if_small(written(df, tag))  # noqa: E731  thin tables; sets stay where they are
+    rows = written(members.filter("parts > 0").join(small(linked.select("id", "root"), "roots"), "id"), "large")
     links = None
     for hubs in (True, False):
-        size = rows.groupBy("block", "root").agg(F.count("*").alias("n"))
-        largest = size.groupBy("block").agg(F.max_by("root", F.struct("n", "root")).alias("largest"))
-        if hubs:
-            top = size.join(largest, "block")
-            chosen = rows.join(top.filter("root = largest").select("block", "root"), ["block", "root"], "left_semi").filter("id = root")
-        else:
-            chosen = rows.join(largest, "block").filter("root != largest").drop("largest")
-        asks = chosen.select("block", "id", "root", "shingles", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+        size = rows.groupBy("block", "band", "chunk", "root").agg(F.count("*").alias("n"))
+        by_root = size.groupBy("block", "root").agg(F.sum("n").alias("n"))
+        largest = by_root.groupBy("block").agg(F.max_by("root", F.struct("n", "root")).alias("largest"))
+        chunks = size.join(largest, "block").groupBy("block", "band", "chunk").agg(F.max(F.col("root") == F.col("largest")).alias("has_largest"))
+        # Queries go to chunks of their own band and the one below; to the one above only for
+        # members of the largest component, as all others are queries themselves. Their own
+        # chunk has been searched.
+        near = chunks.select("block", F.col("chunk").alias("to"), "band", "has_largest", F.explode(F.array(*map(F.lit, (-1, 0, 1)))).alias("i"))
+        near = near.filter(F.lit(hubs) | (F.col("i") >= 0) | F.col("has_largest")).select("block", "to", (F.col("band") + F.col("i")).alias("band"))
+        chosen = rows.join(small(largest, "largest"), "block").filter("root = largest and id = root" if hubs else "root != largest")
+        asks = chosen.join(small(near, "near"), ["block", "band"])
+        asks = asks.filter("to != chunk").drop("chunk").withColumnRenamed("to", "chunk")
         found = written(_probe_chunks(rows, asks, percent), "links")
         links = found if links is None else links.union(found)
         if hubs:
-            moved = components(found)
-            rows = written(rows.join(moved.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left").withColumn("root", F.coalesce("to", "root")).drop("to"), "large")
+            moved = components(found).select(F.col("node").alias("root"), F.col("root").alias("to"))
+            rows = written(rows.join(small(moved, "moved"), "root", "left").withColumn("root", F.coalesce("to", "root")).drop("to"), "large")
     return links
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, hot_docs: int = 8, chunk_shingles: int = 2_000_000) -> DataFrame:
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, hot_docs: int = 2, chunk_shingles: int = 1_000_000) -> DataFrame:
     """doc_id, n_shingles, component_id (the least id reachable by links, itself included).
 
     Null and empty texts and texts without words have no shingles and link with nothing.
@@ -285,21 +306,30 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sets = written(_sets(texts, k, percent), "sets")
     classes = sets.filter("n > 0").groupBy("print").agg(F.min("id").alias("rep"), F.max("n").alias("n"))
     classes = written(classes, "classes")
-    reps = classes.select(F.col("rep").alias("id"), "n").distinct()
+    reps = if_small(written(classes.select(F.col("rep").alias("id"), "n").distinct(), "reps"))
 
     counted = sets.join(reps.select("id"), "id", "left_semi").select(F.explode("head").alias("h")).groupBy("h").count()
     hot = _bitmap(counted.filter(F.col("count") >= hot_docs).select(F.expr(f"shiftrightunsigned(h, {64 - BITS})").alias("cell")).distinct())
     heads = _heads(texts, k, percent, hot).join(reps, "id").select("id", "n", F.explode("head").alias("h"))
     heads = written(heads, "heads")
-    shared = heads.groupBy("h").agg(F.min("id").alias("hub"), F.max("id").alias("last")).filter("hub < last").select("h", "hub")
-    near = heads.join(shared, "h").filter("id != hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))
-    blocks = written(components(near).join(reps, F.col("node") == F.col("id")).select("id", F.col("root").alias("block"), "n"), "blocks")
-    dealt = blocks.groupBy("block").agg(F.ceil(F.sum("n") / chunk_shingles).cast("long").alias("chunks"))
-    blocks = blocks.join(dealt, "block").withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks"))
+    shared = heads.groupBy("h").agg(F.min("id").alias("hub"), F.max("id").alias("last")).filter("hub < last").select("h")
+    near = heads.join(shared, "h").withColumn("band", band(F.col("n"), percent))
+    near = written(near.select("id", "h", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band")), "near")
+    hubs = near.groupBy("h", "band").agg(F.min("id").alias("hub"), F.max("id").alias("last")).filter("hub < last").drop("last")
+    edges = near.join(hubs, ["h", "band"]).filter("id != hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))
+    blocks = written(components(edges).join(reps, F.col("node") == F.col("id")).select("id", F.col("root").alias("block"), "n"), "blocks")
+    # A block of more than chunk_shingles is dealt by band, and a band by hash: parts is the
+    # number of chunks of a band, 0 in small blocks.
+    blocks = blocks.withColumn("band", band(F.col("n"), percent))
+    large = blocks.groupBy("block").agg(F.sum("n").alias("all")).filter(F.col("all") > chunk_shingles).select("block")
+    parts = blocks.join(large, "block", "left_semi").groupBy("block", "band").agg(F.ceil(F.sum("n") / chunk_shingles).cast("long").alias("parts"))
+    blocks = blocks.join(parts, ["block", "band"], "left").withColumn("parts", F.coalesce("parts", F.lit(0)))
+    chunk = F.when(F.col("parts") > 0, F.col("band") * (1 << 24) + F.pmod(F.xxhash64("id"), F.col("parts")) + 1).otherwise(F.lit(0)).cast("long")
+    blocks = written(blocks.withColumn("chunk", chunk), "blocks")
 
     with_sets = _whole_sets(texts, k, _bitmap(blocks.select(_id_cell().alias("cell")).distinct()))
-    members = blocks.join(with_sets, "id").dropDuplicates(["id"])
-    several = blocks.filter("chunks > 1").limit(1).count() > 0
+    members = with_sets.join(if_small(blocks), "id")
+    several = blocks.filter("parts > 0").limit(1).count() > 0
     if several:
         members = written(members, "members")
     linked = written(_link_chunks(members, percent), "linked")

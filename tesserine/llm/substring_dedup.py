@@ -5,7 +5,7 @@ A byte goes when a string of `length` bytes that covers it also starts elsewhere
 Cover sample. In every window of `length` bytes the k-byte gram with the least hash is a
 sample position. Two equal windows have theirs at the same offset, so the samples cover all
 pairs of equal windows, as a difference cover does for pairs of residues, at about
-2 / length of the positions instead of 1 / sqrt(length).
+2 / (length - k) of the positions instead of 1 / sqrt(length).
 
 Blocks. All suffixes that start up to length - k bytes before a sample gram of one value
 form a block; blocks are dealt to tasks and sorted one at a time. In a block the contexts
@@ -34,11 +34,18 @@ from .common import small_batches, written
 from .hashing import POWERS, U, pieces, prefix_sums, scramble
 from .jaccard_join import BITS, _bitmap, _cells, _has
 
-GRAM = 32
 NONE_ID = -(1 << 63)
 #: Blocks up to so many contexts compare all of them at once.
 SMALL = 24
 _MASK = U((1 << 24) - 1)
+#: Contexts that a task remembers having sent.
+REMEMBERED = 1_000_000
+
+
+def gram_of(length: int) -> int:
+    """Bytes of a sample gram. Long ones keep text that repeats by chance, or over fewer
+    bytes, out of the blocks; short ones make fewer samples."""
+    return max(8, 2 * length // 5)
 
 
 def _samples(raws: list[bytes], length: int):
@@ -47,12 +54,13 @@ def _samples(raws: list[bytes], length: int):
     data = np.frombuffer(b"".join(raws), np.uint8)
     bounds = np.cumsum([0, *map(len, raws)])
     sums, (_, down) = prefix_sums(data), POWERS.get(len(data) + 1)
-    n, width = len(data), length - GRAM + 1
+    gram = gram_of(length)
+    n, width = len(data), length - gram + 1
     if n < length:
         return data, sums, *[np.empty(0, np.int64)] * 3
-    grams = scramble((sums[GRAM:] - sums[:-GRAM]) * down[: n - GRAM + 1])
+    grams = scramble((sums[gram:] - sums[:-gram]) * down[: n - gram + 1])
     ends = np.repeat(bounds[1:], np.diff(bounds))
-    grams[np.arange(n - GRAM + 1) + GRAM > ends[: n - GRAM + 1]] = ~U(0)
+    grams[np.arange(n - gram + 1) + gram > ends[: n - gram + 1]] = ~U(0)
     chosen = np.zeros(n, bool)
     whole = np.arange(n - length + 1) + length <= ends[: n - length + 1]  # windows inside one text
     # Least gram of each window, the leftmost of equals: blocks of a window's width, with
@@ -82,10 +90,10 @@ def _contexts(texts: list[str], length: int):
             if not len(pos):
                 continue
             _, down = POWERS.get(len(data) + 1)
-            left = np.minimum(pos - bounds[text], length - GRAM)
+            left = np.minimum(pos - bounds[text], length - gram_of(length))
             right = np.minimum(bounds[text + 1] - pos, length)
             span = lambda a, b: scramble((sums[b] - sums[a]) * down[a])
-            gram = span(pos, pos + GRAM)
+            gram = span(pos, pos + gram_of(length))
             ctx = scramble(span(pos - left, pos) * U(3) + span(pos, pos + right) * U(5) + left.astype(U) * U(1 << 20) + right.astype(U))
             yield first, text, pos - bounds[text], left, right, gram, ctx, data, pos
 
@@ -105,15 +113,30 @@ def _scan(texts: DataFrame, length: int) -> DataFrame:
 
 
 def _gather(texts: DataFrame, length: int, wanted) -> DataFrame:
-    """The samples whose gram's bit is set, with the bytes around them."""
+    """The samples whose gram's bit is set, with the bytes around them. A task sends a context
+    once with its bytes, and once more without them when it meets it again: that it repeats
+    is all that counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        once, twice = set(), set()
         for batch in batches:
             ids, prints = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for first, text, pos, left, right, gram, ctx, data, at in _contexts(batch.column(2).to_pylist(), length):
-                keep = np.flatnonzero(_has(wanted.value, _cells(gram)))
-                raw, doc = data.tobytes(), first + text[keep]
-                around = [raw[at[i] - left[i] : at[i] + right[i]] for i in keep]
+                keep = []
+                for i in np.flatnonzero(_has(wanted.value, _cells(gram))).tolist():
+                    name = (gram[i], ctx[i])
+                    if name not in once:
+                        once.add(name)
+                        keep.append((i, True))
+                    elif name not in twice:
+                        twice.add(name)
+                        keep.append((i, False))
+                if len(once) > REMEMBERED:
+                    once, twice = set(), set()
+                raw = data.tobytes()
+                around = [raw[at[i] - left[i] : at[i] + right[i]] if whole else None for i, whole in keep]
+                keep = np.array([i for i, _ in keep], np.int64)
+                doc = first + text[keep]
                 cols = [ids[doc], prints[doc], pos[keep], left[keep].astype(np.int32), gram[keep].view(np.int64), ctx[keep].view(np.int64)]
                 yield pa.RecordBatch.from_arrays([*[pa.array(c) for c in cols], pa.array(around, pa.binary())], ["id", "print", "pos", "left", "gram", "ctx", "around"])
 
@@ -122,7 +145,9 @@ def _gather(texts: DataFrame, length: int, wanted) -> DataFrame:
 
 def _ranks(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order of the rows of a matrix of bytes, and how much each shares with the one before."""
-    order = np.lexsort(rows.T[::-1])
+    raw, width = (rows.astype(np.int32) + 1).astype(">u2").tobytes(), 2 * rows.shape[1]
+    keys = [raw[i : i + width] for i in range(0, len(raw), width)]
+    order = np.array(sorted(range(len(rows)), key=keys.__getitem__))
     same = rows[order[1:]] == rows[order[:-1]]
     shared = np.where(same.all(axis=1), rows.shape[1], same.argmin(axis=1))
     return order, np.concatenate([[0], shared])
@@ -167,38 +192,40 @@ def _matrix(items: list[bytes], width: int) -> np.ndarray:
 
 
 def _sorted_blocks(contexts: DataFrame, length: int) -> DataFrame:
-    """contexts (gram, n, id, print, pos, left, around) -> repeated (id, print, start, stop),
-    for the contexts with n = 1."""
+    """contexts (gram, ctx, id, print, pos, left, around) -> repeated (id, print, start,
+    stop), for the contexts that occur once."""
 
-    def block(rows: list[tuple]) -> list[tuple]:
+    def block(seen: dict[int, list]) -> list[tuple]:
+        rows = [(n, *row) for n, row in seen.values()]
         if len(rows) < 2 or all(r[0] > 1 for r in rows):
             return []
         left = np.array([r[4] for r in rows])
         right = np.array([len(r[5]) for r in rows]) - left
-        before = _matrix([r[5][: r[4]][::-1] for r in rows], length - GRAM)
+        before = _matrix([r[5][: r[4]][::-1] for r in rows], length - gram_of(length))
         after = _matrix([r[5][r[4] :] for r in rows], length)
         low, high = sort_block(before, after, left, right, length)
         return [(r[1], r[2], r[3] - int(high[i]), r[3] + length - int(low[i])) for i, r in enumerate(rows) if r[0] == 1 and high[i] >= 0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gram, rows, found = None, [], []
+        gram, seen, found = None, {}, []
 
         def out() -> pa.RecordBatch:
             cols = list(zip(*found, strict=True)) or [[]] * 4
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["id", "print", "start", "stop"])
 
         for batch in batches:
-            for g, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for g, ctx, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if g != gram:
-                    found += block(rows)
-                    gram, rows = g, []
-                rows.append(tuple(row))
+                    found += block(seen)
+                    gram, seen = g, {}
+                n, held = seen.get(ctx, (0, row))
+                seen[ctx] = (n + 1, held if held[4] is not None else row)
             yield out()
             found = []
-        found += block(rows)
+        found += block(seen)
         yield out()
 
-    rows = contexts.select("gram", "n", "id", "print", "pos", "left", "around").repartition("gram").sortWithinPartitions("gram")
+    rows = contexts.select("gram", "ctx", "id", "print", "pos", "left", "around").repartition("gram").sortWithinPartitions("gram")
     return rows.mapInArrow(run, "id long, print long, start long, stop long")
 
 
@@ -232,15 +259,15 @@ def repeated_intervals(texts: DataFrame, length: int, block_contexts: int) -> Da
     blocks = written(blocks, "blocks")
     wanted = _bitmap(blocks.select(F.shiftrightunsigned("gram", 64 - BITS).alias("cell")).distinct())
     gathered = _gather(texts, length, wanted)
-    firsts = [F.first(c).alias(c) for c in ("id", "print", "pos", "left", "around")]
-    contexts = gathered.groupBy("gram", "ctx").agg(F.count("*").alias("n"), *firsts)
     large = blocks.filter(F.col("contexts") > block_contexts).select("gram")
     out = whole
     if large.limit(1).count():
-        contexts = written(contexts, "gathered")
-        out = out.union(_hashed_block(contexts.join(large, "gram", "left_semi"), length))
-        contexts = contexts.join(large, "gram", "left_anti")
-    return out.union(_sorted_blocks(contexts, length))
+        gathered = written(gathered, "gathered")
+        firsts = [F.first(c, ignorenulls=c == "around").alias(c) for c in ("id", "print", "pos", "left", "around")]
+        contexts = gathered.join(large, "gram", "left_semi").groupBy("gram", "ctx").agg(F.count("*").alias("n"), *firsts)
+        out = out.union(_hashed_block(contexts, length))
+        gathered = gathered.join(large, "gram", "left_anti")
+    return out.union(_sorted_blocks(gathered, length))
 
 
 def _cut(raw: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, bytes]:

@@ -49,9 +49,10 @@ def test_equals_brute_force(spark, seed, length, block):
 def test_large_blocks_equal_small_ones():
     r = np.random.default_rng(1)
     n, length = 60, 50
-    left, right = r.integers(0, length - D.GRAM + 1, n), r.integers(D.GRAM, length + 1, n)
-    before, after = r.integers(0, 2, (n, length - D.GRAM)).astype(np.int16), np.zeros((n, length), np.int16)
-    after[:, D.GRAM :] = r.integers(0, 2, (n, length - D.GRAM))
+    gram = D.gram_of(length)
+    left, right = r.integers(0, length - gram + 1, n), r.integers(gram, length + 1, n)
+    before, after = r.integers(0, 2, (n, length - gram)).astype(np.int16), np.zeros((n, length), np.int16)
+    after[:, gram :] = r.integers(0, 2, (n, length - gram))
     after[r.random(n) < 0.6] = after[0]
     for i in range(n):
         before[i, left[i] :] = -1
