@@ -41,7 +41,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold at least half of a benchmark item go."""
+    """Documents that hold at least half of a benchmark item, or a chain of its words, go."""
     found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
     return without_ids(docs, found.select("doc_id"), "doc_id")
 
