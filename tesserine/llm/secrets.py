@@ -2,12 +2,12 @@
 
 Tasks scan whole texts and find candidates: assignments of secrets, access keys, long hex
 strings (the base kinds), and any other token random enough to be a key. Candidates are
-then counted over the corpus by a hash of their value: by how many owners, and in how many
-repositories, does it occur? A value that many owners have is a copied example; one that
-few have looks live. Live tokens of the added kind become spans; base spans always stay,
+then counted over the corpus by a hash of their value: how many owners have it, and how far has
+it spread from its main owner, in repositories? A value that many owners have is a copied
+example; one that few have looks live, however often its main owner repeats it. Live tokens of the added kind become spans; base spans always stay,
 and say whether they look live.
 
-Values are counted once a repository, then once an owner, each combined before the shuffle,
+Values are counted once a text, a repository and an owner, each combined before the shuffle,
 so a value found in a third of all rows costs a row a task.
 """
 
@@ -93,17 +93,23 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def ownership(candidates: DataFrame) -> DataFrame:
-    """candidates (value, owner, repo) -> value, owners, repos."""
-    once = candidates.distinct()  # a task drops repeats before the shuffle
-    by_owner = once.groupBy("value", "owner").agg(F.count("*").alias("repos"))
-    return by_owner.groupBy("value").agg(F.count("*").alias("owners"), F.sum("repos").alias("repos"))
+    """candidates (value, owner, repo, body: the text's hash) -> value, owners, spread: its
+    repositories less those of the owner that has most. Equal texts are one repository."""
+    known = F.coalesce(F.concat(F.lit("r"), "repo"), F.lit(""))
+    once = candidates.groupBy("value", "owner", "body").agg(F.min(known).alias("repo"))  # a task drops repeats before the shuffle
+    by_owner = once.groupBy("value", "owner").agg(F.count_distinct("repo").alias("repos"))
+    owners = by_owner.groupBy("value").agg(F.count("*").alias("owners"), F.max("repos").alias("most"))
+    by_text = once.groupBy("value", "body").agg(F.min("repo").alias("repo"))
+    repos = by_text.groupBy("value").agg(F.count_distinct("repo").alias("repos"))
+    return owners.join(repos, "value").select("value", "owners", (F.col("repos") - F.col("most")).alias("spread"))
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_col: str = "doc_id", max_owners: int = 2, max_repos: int = 5) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_examples: one row for
     each row of docs. spans are kind:start:end, by start, then kind, in code points.
 
-    A value is live when at most max_owners owners and max_repos repositories have it.
+    A value is live when at most max_owners owners have it, and at most max_repos
+    repositories besides those of its main owner. Repositories with equal texts count as one.
     Here a document is a repository and its source the owner; a null owner is one owner, a
     null repository one repository. Null text counts as empty; a text without spans has an
     empty list. A repeated row is found again but counts once. An empty table gives an empty
@@ -111,10 +117,11 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(owner_col).cast("string").alias("owner"), F.col(repo_col).cast("string").alias("repo"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = rows.select("id", "owner", "repo", F.xxhash64("text").alias("body"), "text")
     found = written(scan(rows).withColumn("row", F.monotonically_increasing_id()), "found")
-    each = found.filter(F.size("found") > 0).select("row", "owner", "repo", F.explode("found").alias("s"))
-    owned = ownership(each.select("s.value", "owner", "repo"))
-    judged = each.select("row", "s.*").join(owned, "value").withColumn("live", (F.col("owners") <= max_owners) & (F.col("repos") <= max_repos))
+    each = found.filter(F.size("found") > 0).select("row", "owner", "repo", "body", F.explode("found").alias("s"))
+    owned = ownership(each.select("s.value", "owner", "repo", "body"))
+    judged = each.select("row", "s.*").join(owned, "value").withColumn("live", (F.col("owners") <= max_owners) & (F.col("spread") <= max_repos))
     stays = F.col("live") | (F.col("kind") < len(KINDS) - 1)
     per_row = judged.filter(stays).groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "kind", "stop", "live"))).alias("spans"))
     out = found.select("row", "id").join(per_row, "row", "left").withColumn("spans", F.coalesce("spans", F.array().cast("array<struct<start:int,kind:int,stop:int,live:boolean>>")))

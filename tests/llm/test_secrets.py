@@ -66,3 +66,11 @@ def test_real_documents_and_empty(spark, sf_dir):
     got = {tuple(r)[:6] for r in S.find_secrets(df).collect()}
     assert got == brute([tuple(r) for r in df.select("doc_id", "text", "source").collect()])
     assert run(spark, []) == set()
+
+
+def test_documents_of_one_owner_do_not_make_an_example(spark):
+    one, copied, two, spread = "Zx9aB3qR7tY2uI5pO8sD1fG", "Qw1Er2Ty3Ui4Op5As6Df7Gh", "Lk8Jh7Gf6Ds5Ap4Oi3Uy2Tr", "Mn1Bv2Cx3Zl4Kj5Hg6Fd7Sa"
+    rows = [(i, f"page {i} footer {one}", "a") for i in range(40)] + [(100 + i, f"copy {copied}", "ab"[i % 2]) for i in range(40)]
+    rows += [(200 + i, f"page {i} {two}", "a" if i else "b") for i in range(20)] + [(300 + i, f"page {i} {spread}", "ab"[i % 2]) for i in range(40)]
+    got = {r[0]: r[5] for r in run(spark, rows)}
+    assert all(got[i] for i in got if i < 300) and not any(got[i] for i in got if i >= 300)
