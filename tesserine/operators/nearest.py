@@ -2,38 +2,122 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Points of b in one block; a task compares a batch of a with a block of b at a time.
-BLOCK = 2048
+#: Points in one block; a task compares a block of a with a block of b at a time.
+BLOCK = 512
+#: Pivots of one key: about the root of its points in b, and about so many at most.
+PIVOTS = 256
+
+
+def _blocks(df: DataFrame, by: list[str], spread: Column, value: Column, name: str) -> DataFrame:
+    """by, _block, name: values in lists of about BLOCK, dealt by a hash of spread."""
+    rows = df.select(*by, value.alias("_v"), F.pmod(spread, F.lit(1 << 20)).alias("_h"))
+    sizes = rows.groupBy(*by).agg(F.ceil(F.count("*") / BLOCK).alias("_n"))
+    return rows.join(sizes, by).groupBy(*by, F.pmod("_h", "_n").alias("_block")).agg(F.collect_list("_v").alias(name))
+
+
+def _written(df: DataFrame) -> DataFrame:
+    """df as a table in the folder of spark.checkpoint.dir, read again, so that each step is
+    planned and run once. Only a local session without that setting gets a temporary folder."""
+    spark = df.sparkSession
+    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not at:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        own = tempfile.mkdtemp(prefix="nearest-")
+        atexit.register(shutil.rmtree, own, True)
+        at = f"file://{own}"
+    path = f"{at.rstrip('/')}/nearest-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _distances(p: np.ndarray, to: np.ndarray) -> np.ndarray:
+    return np.sqrt(((to - p) ** 2).sum(axis=1))
 
 
 def nearest(a: DataFrame, b: DataFrame, key: str, point: str, id_col: str) -> DataFrame:
     """key, id, distance: for each point of a the distance to the nearest point of b with the
-    same key. b is packed to blocks; a's points meet the blocks of their key one by one, and
-    the least distance is kept, so no task holds a whole set."""
-    blocks = b.select(key, F.col(point).alias("_q"), F.pmod(F.xxhash64(point), F.lit(1 << 20)).alias("_h"))
-    sizes = blocks.groupBy(key).agg(F.ceil(F.count("*") / BLOCK).alias("_n"))
-    packed = blocks.join(sizes, key).groupBy(key, F.pmod("_h", "_n").alias("_block")).agg(F.collect_list("_q").alias("_points"))
-    pairs = a.select(key, F.col(id_col).alias("_id"), F.col(point).alias("_p")).join(packed, key)
-    kind = dict(a.dtypes)[key]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    same key, exactly. b's points go to cells around pivots, each with its least and greatest
+    distance to the pivot. A point of a meets the cell of its nearest pivot first; then only
+    the cells which, by the triangle inequality, may hold a nearer point. Both sides are
+    dealt in blocks, so no task holds a whole set. Where no bound prunes (points all about as
+    far from each other), all pairs of a key are still compared."""
+    double = "array<double>"
+    kind, id_kind = dict(a.dtypes)[key], dict(a.dtypes)[id_col]
+    qs = b.select(key, F.col(point).cast(double).alias("_q")).distinct()  # repeats are no nearer
+    ps = a.select(key, F.col(id_col).alias("_id"), F.col(point).cast(double).alias("_p"))
+    hashed = F.pmod(F.xxhash64(F.lit(7), "_q"), F.lit(1 << 30))
+    sizes = qs.groupBy(key).agg(F.count("*").alias("_n"), F.min_by("_q", F.xxhash64("_q")).alias("_first"))
+    share = F.least(F.sqrt("_n"), F.lit(float(PIVOTS))) / F.col("_n") * F.lit(float(1 << 30))
+    some = qs.join(sizes, key).filter((hashed < share) | (F.col("_q") == F.col("_first")))
+    pivots = some.groupBy(key).agg(F.sort_array(F.collect_set("_q")).alias("_pivots"))
+    pivots = _written(pivots)
+
+    def to_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
-            out = []
-            for p, qs in zip(x["_p"], x["_points"], strict=True):
-                q = np.stack(qs).astype(float)
-                out.append(float(np.sqrt(((q - np.asarray(p, float)) ** 2).sum(axis=1).min())))
-            yield pd.DataFrame({key: x[key], "_id": x["_id"], "distance": out})
-
-    id_kind = dict(a.dtypes)[id_col]
-    got = pairs.mapInPandas(run, f"{key} {kind}, _id {id_kind}, distance double")
-    return got.groupBy(key, F.col("_id").alias(id_col)).agg(F.min("distance").alias("distance"))
+            for k, block, pivots in zip(x[key], x["_points"], x["_pivots"], strict=True):
+                v, out = np.stack(pivots), []
+                for q in block:
+                    d = _distances(np.asarray(q), v)
+                    out.append((k, int(d.argmin()), float(d.min()), q))
+                yield pd.DataFrame(out, columns=[key, "_cell", "_r", "_q"])
+
+    dealt = _blocks(qs, [key], F.xxhash64("_q"), F.col("_q"), "_points").join(pivots, key).select(key, "_points", "_pivots")
+    celled = _written(dealt.mapInPandas(to_cells, f"{key} {kind}, _cell int, _r double, _q {double}"))
+    rings = celled.groupBy(key, "_cell").agg(F.min("_r").alias("lo"), F.max("_r").alias("hi"))
+    rings = rings.groupBy(key).agg(F.collect_list(F.struct(F.col("_cell").alias("cell"), "lo", "hi")).alias("_rings"))
+    maps = pivots.join(rings, key).select(key, "_pivots", F.col("_rings.cell").alias("_cells"), F.col("_rings.lo").alias("_lo"), F.col("_rings.hi").alias("_hi"))
+    maps = _written(maps)
+    targets = _blocks(celled, [key, "_cell"], F.xxhash64("_q"), F.col("_q"), "_points").select(key, "_cell", "_points")
+    targets = _written(targets)
+
+    def visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The home cell of points without a bound, else the cells that may be nearer."""
+        for x in batches:
+            for k, block, pivots, cells, lo, hi in zip(x[key], x["_block_of_a"], x["_pivots"], x["_cells"], x["_lo"], x["_hi"], strict=True):
+                cells, lo, hi, out = np.asarray(cells), np.asarray(lo), np.asarray(hi), []
+                v = np.stack(pivots)[cells]
+                for row in block:
+                    d = _distances(np.asarray(row["p"]), v)
+                    home = d.argmin()
+                    if row["bound"] is None or np.isnan(row["bound"]):
+                        to = [home]
+                    else:
+                        least = np.maximum(np.maximum(d - hi, lo - d), (d - d[home]) / 2)
+                        near = least <= row["bound"] + 1e-9 * (1 + d + hi)  # rounding never hides a cell
+                        near[home] = False
+                        to = np.flatnonzero(near)
+                    out += [(k, int(cells[c]), row["id"], row["p"]) for c in to]
+                yield pd.DataFrame(out, columns=[key, "_cell", "_id", "_p"])
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for x in batches:
+            for k, block, points in zip(x[key], x["_block_of_a"], x["_points"], strict=True):
+                q = np.stack(points)
+                yield pd.DataFrame([(k, row["id"], row["p"], float(_distances(np.asarray(row["p"]), q).min())) for row in block], columns=[key, "_id", "_p", "_bound"])
+
+    def met(rows: DataFrame) -> DataFrame:
+        value = F.struct(F.col("_id").alias("id"), F.col("_p").alias("p"), F.col("_bound").alias("bound"))
+        sent = _blocks(rows, [key], F.xxhash64("_id", "_p"), value, "_block_of_a").join(maps, key).select(key, "_block_of_a", "_pivots", "_cells", "_lo", "_hi")
+        sent = _written(sent.mapInPandas(visits, f"{key} {kind}, _cell int, _id {id_kind}, _p {double}"))
+        value = F.struct(F.col("_id").alias("id"), F.col("_p").alias("p"))
+        pairs = _blocks(sent, [key, "_cell"], F.xxhash64("_id", "_p"), value, "_block_of_a").join(targets, [key, "_cell"]).select(key, "_block_of_a", "_points")
+        got = pairs.mapInPandas(compare, f"{key} {kind}, _id {id_kind}, _p {double}, _bound double")
+        return _written(got.groupBy(key, "_id", "_p").agg(F.min("_bound").alias("_bound")))
+
+    first = met(ps.withColumn("_bound", F.lit(None).cast("double")))
+    return first.union(met(first)).groupBy(key, F.col("_id").alias(id_col)).agg(F.min("_bound").alias("distance"))
 
 
 def one_sided(a: DataFrame, b: DataFrame, key: str, point: str, id_col: str) -> DataFrame:

@@ -347,3 +347,9 @@ def nn_chamfer(t: Tables) -> DataFrame:
     return out.select("pair", F.round("chamfer", 5).alias("chamfer"), F.round("hausdorff", 5).alias("hausdorff"))
 
 
+@query()
+def nn_chamfer_all(t: Tables) -> DataFrame:
+    """J20, J21 for every label and the next one, over the whole table; tests hold it against brute force."""
+    points = lambda pair: t.embeddings.select(pair.alias("pair"), "vec_id", "embedding")
+    out = nearest.chamfer(points(F.col("label")), points(F.col("label") - 1), "pair", "embedding", "vec_id")
+    return out.select("pair", F.round("chamfer", 5).alias("chamfer"), F.round("hausdorff", 5).alias("hausdorff"))
