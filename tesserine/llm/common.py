@@ -58,14 +58,28 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
-#: Lists of ids are broadcast up to so many (about 20 MB), else joined by shuffle.
-BROADCAST_IDS = 500_000
-
-
-def if_small(df: DataFrame, rows: int = BROADCAST_IDS) -> DataFrame:
-    """df, a written table of a few columns of fixed width, to be broadcast if it has at
-    most so many rows."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+#: Tables are broadcast up to so many bytes of values, else joined by shuffle.
+BROADCAST_BYTES = 20 << 20
+
+
+def if_small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """df, a written table, to be broadcast if the values of its rows hold at most so many
+    bytes. Their length as JSON stands for it, which is about the size of a row in memory; at
+    least 8 bytes a column. Rows are measured until the bound is passed only."""
+    rows = most // (8 * max(1, len(df.columns)))
+    size = F.sum(F.greatest(F.length(F.to_json(F.struct("*"))), F.lit(8 * len(df.columns))))
+    n, used = df.limit(rows + 1).agg(F.count("*"), size).first()
+    return F.broadcast(df) if n <= rows and (used or 0) <= most else df
+
+
+def spread_join(rows: DataFrame, groups: DataFrame, key: str, weight: str, share: int = 1000) -> DataFrame:
+    """rows joined with groups, a written table of one row a key, without weight, the number
+    of rows with the key. Keys with over 1/share of all rows are at most share, so they are
+    broadcast; no other key brings more than that share of the rows to one task."""
+    total = groups.agg(F.sum(weight)).first()[0] or 0
+    heavy = groups.filter(F.col(weight) > total / share).drop(weight)
+    light = groups.filter(F.col(weight) <= total / share).drop(weight)
+    return rows.join(F.broadcast(heavy), key).unionByName(rows.join(F.broadcast(heavy.select(key)), key, "left_anti").join(light, key))
 
 
 def without_ids(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:

@@ -127,7 +127,7 @@ def planned(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataF
     # Copies are combined before the shuffle; only groups of two or more are joined to rows.
     first = rows.filter(F.col("size") >= REVISIT_BYTES).groupBy("digest", "size").agg(F.max("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
     first = written(first, "responses")
-    rows = rows.join(if_small(first, 100_000), ["digest", "size"], "left")
+    rows = rows.join(if_small(first), ["digest", "size"], "left")
     kind = F.when(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), "revisit").otherwise("response")
     return rows.withColumn("kind", kind).withColumn("refers_to", F.when(F.col("kind") == "revisit", F.col("first"))).select("page_id", "url", "html", "digest", "size", "kind", "refers_to")
 

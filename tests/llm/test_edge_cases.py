@@ -17,6 +17,18 @@ def docs(spark, rows):
     return spark.createDataFrame([(*r, 1, "x", 2, "h", 3, 4, 5) for r in rows], EXTRA)
 
 
+def test_exact_dedup_collisions(spark):
+    """Keys of 3 bits: nearly all texts share their key with others, and bytes tell them apart."""
+    rows = [(i, f"Text {i % 40} of forty", "x") for i in range(300)] + [(900 + i, "text 7 OF forty", "x") for i in range(200)] + [(None, None, "x"), (5, "", "x")]
+    want = exact_dedup.exact_dedup(docs(spark, rows))
+    for bits, capacity in ((3, 1), (3, 1000), (12, 2)):
+        got = exact_dedup.exact_dedup(docs(spark, rows), key_bits=bits, min_depth=1, capacity=capacity)
+        cols = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+        assert sorted(map(repr, got.select(cols).collect())) == sorted(map(repr, want.select(cols).collect()))
+    big = [r for r in want.collect() if r["group_size"] > 100]
+    assert len(big) == 208 and {r["keep_id"] for r in big} == {1099}
+
+
 def test_exact_dedup(spark):
     rows = [(1, "ABC é", "s"), (5, "abc é", "s"), (7, "abc É", "s"), (2, None, "s"), (3, "", None), (None, "abc é", "s"), (None, "solo", "s"), (9, "x" * 200_000, "s"), (9, "x" * 200_000, "s")]
     got = sorted((tuple(r)[:5] for r in exact_dedup.exact_dedup(docs(spark, rows)).collect()), key=repr)
@@ -34,11 +46,11 @@ def test_directory_splits_only_overfull_buckets(spark):
     rows = [(i, f"text {i}", "s") for i in range(400)] + [(1000 + i, "copy", "s") for i in range(300)]
     got = exact_dedup.exact_dedup(docs(spark, rows), capacity=20)
     by = got.select("bucket", "bucket_depth", "text_sha256").distinct().groupBy("bucket", "bucket_depth").count().collect()
-    assert all(r["count"] <= 20 or r["bucket_depth"] == 16 for r in by) and max(r["bucket_depth"] for r in by) > 4
+    assert all(r["count"] <= 20 for r in by) and max(r["bucket_depth"] for r in by) > 4
     for a in by:  # a deeper bucket never lies in a shallower one
         for b in by:
             if a is not b and a["bucket_depth"] <= b["bucket_depth"]:
-                shift = 16 - a["bucket_depth"]
+                shift = 60 - a["bucket_depth"]
                 assert a["bucket"] >> shift != b["bucket"] >> shift
     assert got.filter("kept").count() == 401
 
