@@ -60,12 +60,24 @@ def timing_scope(stage: Column) -> Column:
     return F.when(stage.isin(OBJECT_STAGES), "object").when(stage.isin(EDIT_STAGES), "edit").otherwise("experiment")
 
 
-def relabel_state(state: Column, display: Column, relabelled: Column) -> Column:
-    """The stored state, else the one the display status tells, else by whether there is
+def relabel_lifecycle(state: Column, display: Column, has_result: Column, outcome: Column, last_edit: Column, terminal_edit: Column, edit: Column) -> Column:
+    """State, terminal, terminal_outcome, attempted, last_edit_id, terminal_edit_id. The
+    state is the stored one, else the one the display status tells, else by whether there is
     a result."""
+    yes = F.coalesce(has_result, F.lit(False))
     # Display statuses that tell a state.
-    told = F.when(display == "relabel_passed", "passed").when(display == "relabel_failed", "failed")
-    return F.coalesce(optional_text(state), told, F.when(F.coalesce(relabelled, F.lit(False)), "in_progress").otherwise("not_started"))
+    told = F.when(clean(display) == "relabel_passed", "passed").when(clean(display) == "relabel_failed", "failed")
+    now = F.coalesce(optional_text(state), told, F.when(yes, "in_progress").otherwise("not_started"))
+    end = relabel_terminal(now)
+    given = lambda c: F.nullif(c, F.lit(""))
+    return F.struct(
+        now.alias("state"),
+        end.alias("terminal"),
+        F.when(end, F.when(relabel_terminal(optional_text(outcome)), optional_text(outcome)).otherwise(now)).alias("terminal_outcome"),
+        (yes | now.isin("in_progress", "passed", "failed")).alias("attempted"),
+        F.coalesce(given(last_edit), edit).alias("last_edit_id"),
+        F.when(end, F.coalesce(given(terminal_edit), edit)).alias("terminal_edit_id"),
+    )
 
 
 def relabel_terminal(state: Column) -> Column:
@@ -111,39 +123,44 @@ def target_parts(target: Column) -> Column:
 
 
 def provider_of(path: Column, names: dict[str, str] | None = None) -> Column:
-    """The file's stem without model_, by a map of names where it is in it."""
-    stem = F.regexp_replace(F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"\.[^.]*$", ""), "^model_", "")
+    """The file's stem without model_ wherever it stands, by a map of names where it is in it."""
+    stem = F.replace(F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"(?<=.)\.[^.]*$", ""), F.lit("model_"), F.lit(""))
     if not names:
         return stem
     known = F.create_map(*[F.lit(x) for kv in names.items() for x in kv])
     return F.coalesce(known[stem], stem)
 
 
-def relative_path(path: Column, roots: list[str]) -> Column:
-    """Without the first root it starts with."""
-    out = None
-    for r in roots:
-        root = r if r.endswith("/") else r + "/"
-        cond, value = path.startswith(root), path.substr(len(root) + 1, 1 << 30)
-        out = F.when(cond, value) if out is None else out.when(cond, value)
-    return path if out is None else out.otherwise(path)
+def relative_path(path: Column, project: str, pipeline: str | None = None) -> Column:
+    """Relative to the project; below the pipeline's own root pipeline/...; else as it is."""
+    out = path
+    for root, prefix in ((pipeline, "pipeline/"), (project, "")):
+        if root is not None:
+            root = root.rstrip("/") + "/"
+            out = F.when(path.startswith(root), F.concat(F.lit(prefix), path.substr(len(root) + 1, 1 << 30))).otherwise(out)
+    return F.replace(out, F.lit("\\"), F.lit("/"))
 
 
-def absolute_path(path: Column, prefixes: dict[str, str], default: str) -> Column:
-    """The root of the prefix a path starts with, else the default root."""
-    out = None
-    for prefix, root in prefixes.items():
-        cond, value = path.startswith(prefix), F.concat(F.lit(root.rstrip("/") + "/"), F.substring(path, len(prefix) + 1, 1 << 30))
-        out = F.when(cond, value) if out is None else out.when(cond, value)
-    rest = F.concat(F.lit(default.rstrip("/") + "/"), F.regexp_replace(path, "^/+", ""))
-    return rest if out is None else out.otherwise(rest)
+def absolute_path(path: Column, project: str, pipeline: str) -> Column:
+    """data/pipeline/... lies in the project, pipeline/... in the pipeline's root; other
+    paths stay."""
+    below = lambda root, p: F.concat(F.lit(root.rstrip("/") + "/"), p)
+    return F.when(path.startswith("data/pipeline/"), below(project, path)).when(path.startswith("pipeline/"), below(pipeline, path.substr(len("pipeline/") + 1, 1 << 30))).otherwise(path)
 
 
-def image_path_parts(path: Column) -> Column:
-    """Id, edit and view of .../<id>/edited/<edit>/views/<view>.png; parts not there are
-    null."""
-    at = lambda p: F.nullif(F.regexp_extract(path, p, 1), F.lit(""))
-    return F.struct(at("([^/]+)/(?:edited|views)/").alias("id"), at("/edited/([^/]+)/").alias("edit_id"), at(r"/([^/]+)\.png$").alias("view"))
+def image_path_parts(path: Column, edited: str, source: str) -> Column:
+    """Name, variant_id, is_edited, is_source, by the folders a path goes through and the
+    stem <name>_e<variant>."""
+    parts = F.split(path, "/")
+    stem = F.regexp_replace(F.element_at(parts, -1), r"(?<=.)\.[^.]*$", "")
+    pattern = "^(.+)_e([a-zA-Z0-9]+)$"
+    variant = F.array_contains(parts, edited) & stem.rlike(pattern)
+    return F.struct(
+        F.when(variant, F.regexp_extract(stem, pattern, 1)).otherwise(stem).alias("name"),
+        F.when(variant, F.regexp_extract(stem, pattern, 2)).alias("variant_id"),
+        F.array_contains(parts, edited).alias("is_edited"),
+        (F.array_contains(parts, source) & ~variant).alias("is_source"),
+    )
 
 
 def safe_float(c: Column) -> Column:
@@ -185,7 +202,7 @@ def is_temporary(name: Column, own: str) -> Column:
 
 def selection_mode(random_category: Column, random_object: Column) -> Column:
     """P40."""
-    return F.when(random_category, "random_category").when(random_object, "random_object").otherwise("fixed")
+    return F.when(random_category & random_object, "random_category_and_object").when(random_object, "fixed_category_random_object").otherwise("fixed_category_fixed_object")
 
 
 def allowed_types_ok(types: Column, domain: list[str]) -> Column:
@@ -194,10 +211,13 @@ def allowed_types_ok(types: Column, domain: list[str]) -> Column:
     return F.coalesce((F.size(types) > 0) & F.forall(types, lambda t: F.array_contains(allow, t)) & (F.size(F.array_distinct(types)) == F.size(types)), F.lit(False))
 
 
-def plan_from_counts(counts: Column) -> Column:
-    """Total, and the types with a positive count in order."""
+def plan_from_counts(counts: Column, domain: list[str]) -> Column:
+    """Total, and the types with a positive count in order; fails on a type outside the
+    domain, a negative count, or none at all."""
     total = F.aggregate(F.map_values(counts), F.lit(0), lambda a, x: (a + x).cast("int"))
-    return F.struct(F.lit("adaptive_k").alias("mode"), total.alias("count"), F.array_sort(F.map_keys(F.map_filter(counts, lambda k, v: v > 0))).alias("allowed_types"))
+    ok = F.forall(F.map_keys(counts), lambda k: k.isin(domain)) & F.forall(F.map_values(counts), lambda v: v >= 0) & (total > 0)
+    plan = F.struct(F.lit("adaptive_k").alias("mode"), total.alias("count"), F.array_sort(F.map_keys(F.map_filter(counts, lambda k, v: v > 0))).alias("allowed_types"))
+    return strict(ok, "instruction counts can't make a plan", plan)
 
 
 def lane_wait_ratio(waited: Column, total: Column) -> Column:
@@ -213,3 +233,10 @@ def workers(image: Column, provider: Column, per_provider: Column, render: Colum
 def size_reason(reason: Column) -> Column:
     """The reason up to a bracket, trimmed, lower-cased."""
     return F.lower(F.trim(F.split(reason, r"\(")[0]))
+
+
+def removal_reasons(score: Column, unfriendly: Column) -> Column:
+    """Why an object goes; no score counts as 5."""
+    # The reasons, and the score below which an object is too simple.
+    simple = F.when(F.coalesce(score, F.lit(5)) < 3, "too_simple")
+    return F.array_compact(F.array(simple, F.when(F.coalesce(unfriendly, F.lit(False)), "3d_unfriendly")))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -261,13 +263,32 @@ def compose(*parts: Column, sep: str = " ") -> Column:
     return F.concat_ws(sep, *[F.nullif(clean(p), F.lit("")) for p in parts])
 
 
-# Keys whose values are never logged.
-SECRET_KEYS = ["api_key", "apikey", "authorization", "token", "secret"]
+# Keys whose values are never logged, and what stands for them.
+SECRET_KEYS = ["authorization", "x-api-key", "api_key", "apikey", "bearer"]
+MASK = "***REDACTED***"
 
 
-def redacted_json(c: Column, keys: Sequence[str] = SECRET_KEYS, mask: str = "***") -> Column:
-    """JSON text with the string values of secret keys masked, at any depth."""
-    return F.regexp_replace(c, r'(?i)("(?:' + "|".join(keys) + r')"\s*:\s*")((?:[^"\\]|\\.)*)(")', f"$1{mask}$3")
+def redacted_json(c: Column) -> Column:
+    """JSON with any value of a secret key masked, at any depth; null where it can't be
+    parsed. Depth is open, so small Python code walks the values, in Arrow batches."""
+    keys = set(SECRET_KEYS)
+
+    def masked(v):
+        if isinstance(v, dict):
+            return {k: MASK if k.lower() in keys else masked(x) for k, x in v.items()}
+        return [masked(x) for x in v] if isinstance(v, list) else v
+
+    def one(s):
+        try:
+            return json.dumps(masked(json.loads(s)), ensure_ascii=False, separators=(",", ":"))
+        except (TypeError, ValueError):
+            return None
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(one)
+
+    return run(c)
 
 
 def log_field(line: Column, key: str) -> Column:

@@ -145,7 +145,7 @@ def diverse_sample(candidates: DataFrame, order: Sequence[str], category: str, i
 
 
 def _hash_order(seed: int, *cols: str) -> Column:
-    return F.xxhash64(F.lit(seed), *cols)
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), *cols).cast("binary"))
 
 
 def hash_sample(df: DataFrame, count: int, seed: int, *keys: str) -> DataFrame:
@@ -161,16 +161,24 @@ def sample_per_group(df: DataFrame, group: str, count: Column, seed: int, *keys:
 
 def weighted_choice(requests: DataFrame, styles: DataFrame, seed: int, pinned: str | None = None, pinned_share: float = 0.4) -> DataFrame:
     """Requests (request_id, category), styles (category, style_id, weight) -> a style for
-    each request: the pinned one, where the category has it, with its share; else by weight;
-    all weights 0 count the same."""
-    w = Window.partitionBy("category")
-    up = w.orderBy("style_id").rowsBetween(Window.unboundedPreceding, 0)
-    weight = F.when(F.sum("weight").over(w) > 0, F.col("weight").cast("double")).otherwise(F.lit(1.0))
-    s = styles.withColumn("_w", weight).withColumn("_hi", F.sum("_w").over(up)).withColumn("_all", F.sum("_w").over(w)).withColumn("_pin", F.max(F.when(F.col("style_id") == F.lit(pinned), F.col("style_id"))).over(w))
-    unit = lambda salt: F.pmod(F.xxhash64(F.lit(seed), F.lit(salt), "request_id"), F.lit(1 << 53)) / F.lit(float(1 << 53))
-    r = requests.withColumn("_u", unit(1)).withColumn("_p", unit(2))
-    j = r.join(s, "category").filter((F.col("_u") * F.col("_all") >= F.col("_hi") - F.col("_w")) & (F.col("_u") * F.col("_all") < F.col("_hi")))
-    return j.select("request_id", "category", F.when(F.col("_pin").isNotNull() & (F.col("_p") < pinned_share), F.col("_pin")).otherwise(F.col("style_id")).alias("style_id"))
+    each request. The pinned one, where the category has it, has its share, and the rest goes
+    by weight to the others; alone it is always taken. All weights 0 count the same. A
+    category without styles draws from all of them."""
+    unit = lambda salt: F.conv(F.substring(_hash_order(seed, F.lit(salt), "request_id"), 1, 8), 16, 10).cast("long") / F.lit(2.0**32)
+    known = styles.select(F.col("category").alias("_c")).distinct()
+    r = requests.join(known, F.col("category") == F.col("_c"), "left").withColumn("_own", F.coalesce("_c", F.lit("\0all"))).drop("_c").withColumn("_u", unit("u")).withColumn("_p", unit("p"))
+    every = styles.groupBy("style_id").agg(F.max("weight").alias("weight")).withColumn("category", F.lit("\0all"))
+    s = styles.select("category", "style_id", "weight").unionByName(every.select("category", "style_id", "weight"))
+    # Sides: the pinned style, and the others. A side's number picks first, then its weights.
+    s = s.withColumn("_side", (F.col("style_id") == F.lit(pinned)) if pinned is not None else F.lit(False))
+    w = Window.partitionBy("category", "_side")
+    positive = F.greatest(F.coalesce(F.col("weight").cast("double"), F.lit(1.0)), F.lit(0.0))
+    s = s.withColumn("_w", F.when(F.sum(positive).over(w) > 0, positive).otherwise(F.lit(1.0))).withColumn("_hi", F.sum("_w").over(w.orderBy("style_id").rowsBetween(Window.unboundedPreceding, 0))).withColumn("_all", F.sum("_w").over(w))
+    has = s.groupBy(F.col("category").alias("_own")).agg(F.max("_side").alias("_pin"), F.min("_side").alias("_only"))
+    r = r.join(has, "_own").withColumn("_take", F.col("_only") | (F.col("_pin") & (F.col("_p") < pinned_share)))
+    j = r.join(s.drop("weight").withColumnRenamed("category", "_own"), "_own").filter(F.col("_side") == F.col("_take"))
+    j = j.filter((F.col("_u") * F.col("_all") >= F.col("_hi") - F.col("_w")) & (F.col("_u") * F.col("_all") < F.col("_hi")))
+    return j.select("request_id", "category", "style_id")
 
 
 def best_pair(scores: Column, axes: dict[str, tuple[str, str]]) -> Column:

@@ -170,24 +170,48 @@ def run_summary(manifests: DataFrame, edits: DataFrame) -> DataFrame:
     return stored.join(counted, "experiment_id", "left").select("experiment_id", *[F.coalesce(f"_{n}", n, F.lit(0)).alias(n) for n in names], "score_mean", "score_std")
 
 
-def run_state(manifests: DataFrame, edits: DataFrame) -> DataFrame:
-    """Failures by kind, and a state."""
-    f = edits.groupBy("experiment_id").agg(
-        _count(F.col("final_status") == "stage1_failed", "stage1_failed"),
-        _count(F.col("final_status") == "stage2_failed", "stage2_failed"),
-        _count(F.col("final_status").isin("target_gen3d_failed", "target_render_failed"), "target_failed"),
-        _count(F.col("final_status") == "in_progress_or_unresolved", "unresolved"),
+def run_state(manifests: DataFrame, objects: DataFrame, edits: DataFrame) -> DataFrame:
+    """Failures by kind, and the state they tell. Stored totals stand before counts."""
+    s1, s2 = F.col("stage1_status"), F.col("stage2_status")
+    by_edit = edits.groupBy("experiment_id").agg(F.count("*").alias("_edits"), _count(s1.isin(FAILED, ERROR), "_s1"), _count(s2 == FAILED, "_s2"), _count(s2 == ERROR, "stage2_error_count"))
+    by_object = objects.groupBy("experiment_id").agg(F.count("*").alias("_objects"), _count(F.col("source_pipeline_status") == "failed", "source_pipeline_failed_count"))
+    out = manifests.join(by_edit, "experiment_id", "left").join(by_object, "experiment_id", "left")
+    zero = lambda *c: F.coalesce(*c, F.lit(0))
+    raw = optional_text(F.col("status"))
+    out = out.select(
+        "experiment_id",
+        raw.alias("raw_status"),
+        zero("progress.object_record_count", "_objects").alias("object_record_count"),
+        zero("progress.edit_record_count", "_edits").alias("edit_record_count"),
+        zero("source_pipeline_failed_count").alias("source_pipeline_failed_count"),
+        zero("totals.stage1_failed_count", "_s1").alias("stage1_failed_count"),
+        zero("totals.stage2_failed_count", "_s2").alias("stage2_failed_count"),
+        zero("stage2_error_count").alias("stage2_error_count"),
+        F.coalesce("partial_recovered", F.lit(False)).alias("repair_recommended"),
+        (F.coalesce(F.col("finished_at") != "", F.lit(False)) | F.coalesce(raw == "completed", F.lit(False))).alias("_done"),
     )
-    out = manifests.select("experiment_id", "status", "finished_at").join(f, "experiment_id", "left").na.fill(0)
-    failed = F.col("stage1_failed") + F.col("stage2_failed") + F.col("target_failed")
-    state = F.when(F.col("finished_at").isNull(), "running").when(F.col("unresolved") > 0, "partial").when(failed > 0, "finished_with_failures").otherwise("finished")
-    return out.withColumn("state", state)
+    failed = F.greatest("source_pipeline_failed_count", "stage1_failed_count", "stage2_failed_count", "stage2_error_count") > 0
+    state = (
+        F.when(F.col("repair_recommended"), "repair_needed")
+        .when(F.col("_done") & failed, "completed_with_failures")
+        .when(F.col("_done"), "completed")
+        .when(F.col("raw_status").isin("running", "interrupted"), "interrupted")
+        .otherwise(F.coalesce("raw_status", F.lit("interrupted")))
+    )
+    return out.withColumn("status", state).withColumn("resumable", F.col("status").isin("interrupted", "repair_needed")).drop("_done")
+
+
+def plan_summary(manifests: DataFrame, *by: str) -> DataFrame:
+    """Runs and the time of the latest, by plan (and what else is given); a run's time
+    is when it finished, else when it started."""
+    t = F.coalesce(F.nullif("finished_at", F.lit("")), F.col("started_at"), F.lit(""))
+    return manifests.groupBy("plan_path", *by).agg(F.count("*").alias("run_count"), F.max(t).alias("latest"), F.max_by("name", F.struct(t, F.col("name"))).alias("name")).orderBy(F.desc("latest"), "plan_path")
 
 
-def plan_summary(manifests: DataFrame) -> DataFrame:
-    """Runs, latest time and the latest plan, by plan."""
-    t = F.coalesce(F.col("started_at"), F.lit(""))
-    return manifests.groupBy("plan_path").agg(F.count("*").alias("run_count"), F.max(t).alias("latest"), F.max_by("name", t).alias("name")).orderBy(F.desc("latest"), "plan_path")
+def plan_categories(manifests: DataFrame) -> DataFrame:
+    """The categories of a plan, numbered from 1; those of its first run count."""
+    first = manifests.groupBy("plan_path").agg(F.min_by("categories", "experiment_id").alias("categories"))
+    return first.select("plan_path", F.posexplode("categories").alias("index", "category")).select("plan_path", (F.col("index") + 1).alias("index"), "category.*")
 
 
 def provider_pairs(manifests: DataFrame) -> DataFrame:
@@ -195,9 +219,12 @@ def provider_pairs(manifests: DataFrame) -> DataFrame:
     return manifests.select("source_provider", "target_provider").distinct().orderBy("source_provider", "target_provider")
 
 
-def ready_counters(pairs: DataFrame, ready: Column) -> DataFrame:
-    """A16."""
-    return pairs.agg(F.count("*").alias("total"), _count(ready, "ready"), F.sum(F.coalesce("edit_count", F.lit(0))).alias("edits"))
+def pair_counters(models: DataFrame, target_only: bool = False) -> DataFrame:
+    """Models with edits, or with ready pairs only, and the sums of both counts."""
+    n, ready = (F.coalesce(F.col(c).cast("long"), F.lit(0)) for c in ("edit_count", "ready_pair_count"))
+    shown = models.filter((ready if target_only else n) > 0)
+    zero = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return shown.agg(F.count("*").alias("total"), zero(ready if target_only else n).alias("total_edits"), zero(ready).alias("total_with_target_3d"))
 
 
 def review_counts(df: DataFrame, key: str, verdict: str) -> DataFrame:
@@ -211,10 +238,11 @@ def term_histogram(df: DataFrame, terms: str, normal) -> DataFrame:
     return df.select(F.explode(terms).alias("_t")).select(normal(F.col("_t")).alias("term")).filter("term != ''").groupBy("term").agg(F.count("*").alias("count")).orderBy(F.desc("count"), "term")
 
 
-def reason_classes(df: DataFrame, flagged: Column, listed: Column) -> DataFrame:
-    """Three exclusive classes."""
-    c = F.when(flagged & listed, "flag_and_reasons").when(flagged, "flag_only").otherwise("low_score")
-    return df.groupBy(c.alias("class")).agg(F.count("*").alias("count"))
+def reason_classes(df: DataFrame, reasons: Column) -> DataFrame:
+    """Three exclusive classes; rows without a reason are in none."""
+    a, b = F.array_contains(reasons, "too_simple"), F.array_contains(reasons, "3d_unfriendly")
+    c = F.when(a & b, "both").when(a, "too_simple_only").when(b, "3d_unfriendly_only")
+    return df.select(c.alias("class")).filter("class is not null").groupBy("class").agg(F.count("*").alias("count"))
 
 
 def round_summary(pairs: DataFrame, round_col: str, category: str) -> DataFrame:

@@ -181,18 +181,31 @@ def diverse_sample(t: Tables) -> DataFrame:
     return planning.diverse_sample(t.part.select("p_partkey", "p_brand", "p_name"), ["p_partkey"], "p_brand", "p_name", 40)
 
 
-@query()
+@query(
+    """WITH s AS (SELECT p_brand AS c, p_type AS s, sum(p_size)::DOUBLE AS w FROM part WHERE p_type <> 'PROMO' OR p_partkey % 2 = 0 GROUP BY ALL),
+    q AS (SELECT p_partkey AS request_id, CASE WHEN p_partkey % 10 = 0 THEN 'none' ELSE p_brand END AS category FROM part),
+    a AS (SELECT c, s, w FROM s UNION ALL SELECT 'all', s, max(w) FROM s GROUP BY s),
+    k AS (SELECT c, s = 'PROMO' AS side, s, CASE WHEN sum(w) OVER p > 0 THEN w ELSE 1 END AS w FROM a WINDOW p AS (PARTITION BY c, s = 'PROMO')),
+    h AS (SELECT *, sum(w) OVER (PARTITION BY c, side ORDER BY s) AS hi, sum(w) OVER (PARTITION BY c, side) AS total FROM k),
+    m AS (SELECT c, bool_or(side) AS pin, bool_and(side) AS only FROM h GROUP BY c),
+    r AS (SELECT *, CASE WHEN category IN (SELECT c FROM s) THEN category ELSE 'all' END AS own,
+      CAST('0x' || substr(md5('7:u:' || request_id), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS u, CAST('0x' || substr(md5('7:p:' || request_id), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS p FROM q)
+    SELECT request_id, category, s AS style_id FROM r JOIN m ON own = m.c JOIN h ON own = h.c AND h.side = (m.only OR (m.pin AND p < 0.4)) WHERE u * total >= hi - w AND u * total < hi"""
+)
 def weighted_styles(t: Tables) -> DataFrame:
-    """Own hashing in place of a generator; tests check shares."""
-    styles = t.part.groupBy(F.col("p_brand").alias("category"), F.col("p_type").alias("style_id")).agg(F.sum("p_size").alias("weight"))
-    requests = t.part.select(F.col("p_partkey").alias("request_id"), F.col("p_brand").alias("category"))
+    """By md5 in place of a generator; some requests name a category without styles."""
+    styles = t.part.filter("p_type != 'PROMO' or p_partkey % 2 = 0").groupBy(F.col("p_brand").alias("category"), F.col("p_type").alias("style_id")).agg(F.sum("p_size").alias("weight"))
+    requests = t.part.select(F.col("p_partkey").alias("request_id"), F.when(F.col("p_partkey") % 10 == 0, "none").otherwise(F.col("p_brand")).alias("category"))
     return planning.weighted_choice(requests, styles, 7, "PROMO")
 
 
-@query()
+@query("SELECT p_partkey, p_brand, h <= 40 AS in_sample FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY md5('7:' || p_partkey), p_partkey) AS g, row_number() OVER (ORDER BY md5('9:' || p_partkey), p_partkey) AS h FROM part) WHERE g <= 5")
 def sampled_per_group(t: Tables) -> DataFrame:
-    """So many of each group, by a hash."""
-    return planning.sample_per_group(t.part.select("p_partkey", "p_brand"), "p_brand", F.lit(5), 7, "p_partkey")
+    """So many of each group, and of all, by md5."""
+    parts = t.part.select("p_partkey", "p_brand")
+    some = planning.hash_sample(parts, 40, 9, "p_partkey").select(F.col("p_partkey").alias("_k"))
+    rows = planning.sample_per_group(parts, "p_brand", F.lit(5), 7, "p_partkey")
+    return rows.join(F.broadcast(some), F.col("p_partkey") == F.col("_k"), "left").select("p_partkey", "p_brand", F.col("_k").isNotNull().alias("in_sample"))
 
 
 @query("SELECT p_partkey, p_name, rank FROM (SELECT p_partkey, p_name, CASE WHEN CAST(p_partkey AS VARCHAR) = '12' THEN 0 WHEN CAST(p_partkey AS VARCHAR) LIKE '12%' THEN 1 WHEN contains(CAST(p_partkey AS VARCHAR), '12') OR contains(lower(p_name), '12') THEN 2 END AS rank FROM part) WHERE rank IS NOT NULL ORDER BY rank, p_partkey LIMIT 20")
@@ -313,11 +326,15 @@ def numbered_samples(t: Tables) -> DataFrame:
     return writers.numbered(t.orders, [F.col("o_totalprice"), F.col("o_orderkey")], "S").select("sample_id", "o_orderkey")
 
 
-@query("SELECT p_brand AS category, string_agg(CAST(p_partkey AS VARCHAR), ',' ORDER BY p_partkey) AS removed FROM part WHERE p_size > 40 GROUP BY 1")
+@query("SELECT p_brand AS category, string_agg(p_partkey || ':' || concat_ws('+', CASE WHEN p_size < 3 THEN 'too_simple' END, CASE WHEN p_retailprice > 1000 THEN '3d_unfriendly' END), ',' ORDER BY p_partkey) AS removed FROM part WHERE p_size % 3 = 0 OR p_size < 5 GROUP BY 1")
 def removed_objects(t: Tables) -> DataFrame:
     """K23."""
-    rows = t.part.select(F.col("p_brand").alias("category"), F.col("p_partkey").alias("object"), F.when(F.col("p_size") > 40, "remove").otherwise("keep").alias("verdict"), F.lit(0.1).alias("editability_score"), F.array(F.lit("thin (wires)")).alias("unfriendly_reasons"))
-    return writers.removed_objects(rows).select("category", F.array_join(F.col("removed.object").cast("array<string>"), ",").alias("removed"))
+    rows = t.part.select(
+        F.col("p_brand").alias("category"), F.col("p_partkey").alias("object"), F.when((F.col("p_size") % 3 == 0) | (F.col("p_size") < 5), "remove").otherwise("keep").alias("verdict"),
+        F.col("p_size").cast("double").alias("editability_score"), (F.col("p_retailprice") > 1000).alias("has_3d_unfriendly_attrs"),
+    )
+    said = F.transform("removed", lambda o: F.concat(o["object"].cast("string"), F.lit(":"), F.array_join(o["removal_reasons"], "+")))
+    return writers.removed_objects(rows).select("category", F.array_join(said, ",").alias("removed"))
 
 
 @query("SELECT l_orderkey AS item_id, max(l_quantity) FILTER (WHERE l_returnflag = 'A') AS q_A, max(l_quantity) FILTER (WHERE l_returnflag = 'N') AS q_N, max(l_quantity) FILTER (WHERE l_returnflag = 'R') AS q_R FROM lineitem GROUP BY 1")
@@ -327,13 +344,28 @@ def metric_sheet(t: Tables) -> DataFrame:
     return writers.metric_sheet(long, "q", ["A", "N", "R"])
 
 
-@query("SELECT c_custkey AS sample_id, CASE WHEN o IS NULL THEN 'blank:order' WHEN o % 2 = 0 THEN 'missing:order' ELSE '' END AS issues FROM (SELECT c_custkey, max(o_orderkey) AS o FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY 1)")
+@query(
+    """SELECT o_orderkey AS sample_id, concat_ws(',', CASE WHEN k % 7 = 4 THEN 'instruction_mismatch' END, CASE WHEN k % 2 = 1 THEN 'missing:edited_views' END, CASE WHEN k % 7 = 5 THEN 'missing:meta' END, CASE WHEN k % 3 = 1 THEN 'missing:source_glb' END,
+    CASE WHEN k % 7 = 6 THEN 'no_edit_in_path' END, CASE WHEN k % 11 < 2 THEN 'possible_typo' END, CASE WHEN k % 5 = 0 THEN 'same_file' END) AS issues FROM (SELECT *, o_orderkey AS k FROM orders)"""
+)
 def manifest_issues(t: Tables) -> DataFrame:
-    """F31."""
-    last = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_orderkey").cast("string").alias("order"))
-    samples = t.customer.join(last, "c_custkey", "left").select(F.col("c_custkey").alias("sample_id"), "order", F.lit("Remove it").alias("instruction"))
-    files = t.orders.filter("o_orderkey % 2 = 1").select(F.col("o_orderkey").cast("string").alias("path"))
-    return writers.manifest_issues(samples, files, ["order"]).withColumn("issues", listed("issues"))
+    """all six checks, over paths made from orders."""
+    k = F.col("o_orderkey")
+    s = k.cast("string")
+    # Where one file serves for both models, its own path is there or not as the source's.
+    source = F.concat(F.lit("src/"), s)
+    front = F.when(k % 7 == 6, F.concat(F.lit("other/"), s)).otherwise(F.concat(F.lit("/r/triplets/m"), s, F.lit("/edited/e"), s, F.lit("/front.png")))
+    said = F.when(k % 11 == 0, "RRemove it").when(k % 11 == 1, "Remove  it").otherwise("Remove it")
+    rows = t.orders.select(
+        k.alias("sample_id"), source.alias("source_glb"), F.when(k % 5 == 0, source).otherwise(F.concat(F.lit("tgt/"), s)).alias("target_glb"), said.alias("instruction"),
+        F.create_map(F.lit("front"), F.concat(F.lit("v/"), s)).alias("source_views"), F.create_map(F.lit("front"), front).alias("edited_views"), (k % 2 == 1).alias("odd"),
+    )
+    paths = F.array(F.when(k % 3 != 1, source), F.concat(F.lit("tgt/"), s), F.concat(F.lit("v/"), s), F.when(k % 2 == 0, front))
+    files = t.orders.select(F.explode(F.array_compact(paths)).alias("path")).union(t.orders.filter((k % 5 == 0) & (k % 3 == 1)).select(F.concat(F.lit("x/"), s)))
+    metas = rows.filter((F.col("sample_id") % 7 != 5)).select(F.concat(F.lit("/r/triplets/m"), F.col("sample_id").cast("string"), F.lit("/edited/e"), F.col("sample_id").cast("string"), F.lit("/meta.json")).alias("path"), F.when(F.col("sample_id") % 7 == 4, "Else").otherwise(F.concat(F.lit(" "), F.col("instruction"))).alias("instruction"))
+    found = writers.manifest_issues(rows, files, metas, ["front"], "/r")
+    # A shared file that isn't there is missed twice; once is enough to see.
+    return found.withColumn("issues", listed(F.filter("issues", lambda x: x != "missing:target_glb")))
 
 
 _NEAR = "SELECT min(sqrt(list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda x: (x[1]::DOUBLE - x[2]) ** 2)))) AS d FROM embeddings a, embeddings b WHERE a.label = {0} AND b.label = {1} GROUP BY a.vec_id"

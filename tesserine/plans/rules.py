@@ -142,10 +142,24 @@ def view_completeness(t: Tables) -> DataFrame:
     return sets.select("o_custkey", records.views_complete(records.known_views(F.col("v"), ["F", "O", "P"]), ["F", "O", "P"]).alias("complete"))
 
 
-@query("SELECT page_id, split_part(replace(replace(url, 'https://', ''), 'http://', ''), '?', 1) AS path FROM pages")
+@query(
+    """SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'data/' || page_id WHEN 1 THEN 'pipeline/' || page_id ELSE '/else/' || page_id END AS rel, CASE page_id % 3 WHEN 0 THEN '/srv/app/data/pipeline/' || page_id WHEN 1 THEN '/big/pipe/' || page_id ELSE '/else/' || page_id END AS abs,
+    CASE page_id % 3 WHEN 0 THEN 'hunyuan' WHEN 1 THEN 'xhy3' ELSE 'tp3' END AS provider, CASE WHEN page_id % 3 = 0 THEN 'chair_' || page_id ELSE 'chair_' || page_id || '_e7a' END AS name, CASE WHEN page_id % 3 = 0 THEN '7a' END AS variant, page_id % 3 = 1 AS source FROM pages"""
+)
 def relative_paths(t: Tables) -> DataFrame:
-    """P01, P02, P03."""
-    return t.pages.select("page_id", F.split(records.relative_path(F.col("url"), ["https://", "http://"]), r"\?")[0].alias("path"))
+    """P01, P02, P03, P34."""
+    i, s = F.col("page_id") % 3, F.col("page_id").cast("string")
+    pick = lambda *c: F.element_at(F.array(*c), (i + 1).cast("int"))
+    lit = lambda x: F.concat(F.lit(x), s)
+    image = F.concat(pick(F.lit("a/edited_dir/chair_"), F.lit("a/source_dir/chair_"), F.lit("b/chair_")), s, F.lit("_e7a.png"))
+    parts = records.image_path_parts(image, "edited_dir", "source_dir")
+    return t.pages.select(
+        "page_id",
+        records.relative_path(pick(lit("/srv/app/data/"), lit("/big/pipe/"), lit("/else/")), "/srv/app", "/big/pipe").alias("rel"),
+        records.absolute_path(pick(lit("data/pipeline/"), lit("pipeline/"), lit("/else/")), "/srv/app", "/big/pipe").alias("abs"),
+        records.provider_of(pick(F.lit("m/model_hy3.glb"), F.lit("m/xmodel_hy3.glb"), F.lit("m/model_tp3.glb")), {"hy3": "hunyuan"}).alias("provider"),
+        parts["name"].alias("name"), parts["variant_id"].alias("variant"), parts["is_source"].alias("source"),
+    )
 
 
 @query("SELECT 'kept' AS class, count(*) AS count FROM events WHERE user_id % 2 = 0 UNION ALL SELECT 'rejected', count(*) FROM events WHERE user_id % 2 = 1")

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import metrics
+from ..functions import records
 from ..operators import stats
 from .base import Tables, listed, query, r6
 
@@ -160,10 +161,10 @@ def reason_terms(t: Tables) -> DataFrame:
     return stats.term_histogram(rows, "parts", lambda c: F.lower(F.trim(F.split(c, r"\?")[0])))
 
 
-@query("SELECT CASE WHEN l_tax > 0.04 AND l_discount > 0.05 THEN 'flag_and_reasons' WHEN l_tax > 0.04 THEN 'flag_only' ELSE 'low_score' END AS class, count(*) AS count FROM lineitem GROUP BY 1")
+@query("SELECT CASE WHEN l_quantity < 3 AND l_discount > 0.05 THEN 'both' WHEN l_quantity < 3 THEN 'too_simple_only' ELSE '3d_unfriendly_only' END AS class, count(*) AS count FROM lineitem WHERE l_quantity < 3 OR l_discount > 0.05 GROUP BY 1")
 def reason_classes(t: Tables) -> DataFrame:
     """A25."""
-    return stats.reason_classes(t.lineitem, F.col("l_tax") > 0.04, F.col("l_discount") > 0.05)
+    return stats.reason_classes(t.lineitem, records.removal_reasons(F.col("l_quantity"), F.col("l_discount") > 0.05))
 
 
 @query("SELECT p_size, count(*) AS pairs, count(DISTINCT p_brand) AS categories, sum(count(*)) OVER (ORDER BY p_size)::BIGINT AS running_total FROM part GROUP BY p_size")
@@ -179,10 +180,17 @@ def grouped_lists(t: Tables) -> DataFrame:
     return out.select("p_brand", F.array_join("p_name", ",").alias("names"), F.array_join(F.col("p_size").cast("array<string>"), ",").alias("sizes"))
 
 
-@query("SELECT c_nationkey AS plan_path, count(*) AS run_count, max(c_name) AS latest, arg_max(c_mktsegment, c_name) AS name FROM customer GROUP BY 1")
+@query("SELECT o_custkey AS plan_path, count(*) AS run_count, max(t) AS latest FROM (SELECT o_custkey, o_orderpriority AS name, CASE WHEN o_orderstatus = 'O' THEN strftime(o_orderdate, '%Y-%m-%d') WHEN o_orderstatus = 'F' THEN strftime(o_orderdate + INTERVAL 9 DAY, '%Y-%m-%d') ELSE '' END AS t FROM orders) GROUP BY 1")
 def plan_summary(t: Tables) -> DataFrame:
-    """A12-A14."""
-    return stats.plan_summary(t.customer.select(F.col("c_nationkey").alias("plan_path"), F.col("c_name").alias("started_at"), F.col("c_mktsegment").alias("name")))
+    """A run is dated by its end, else by its start, else not at all."""
+    day = lambda c: F.date_format(c, "yyyy-MM-dd")
+    status = F.col("o_orderstatus")
+    rows = t.orders.select(
+        F.col("o_custkey").alias("plan_path"), F.col("o_orderpriority").alias("name"),
+        F.when(status == "F", day(F.col("o_orderdate") + F.expr("interval 9 days"))).when(status == "O", "").alias("finished_at"),
+        F.when(status != "P", day("o_orderdate")).alias("started_at"),
+    )
+    return stats.plan_summary(rows).drop("name")
 
 
 @query("SELECT DISTINCT n_regionkey AS source_provider, c_mktsegment AS target_provider FROM customer JOIN nation ON c_nationkey = n_nationkey")
@@ -192,11 +200,11 @@ def provider_pairs(t: Tables) -> DataFrame:
     return stats.provider_pairs(rows.select(F.col("n_regionkey").alias("source_provider"), F.col("c_mktsegment").alias("target_provider")))
 
 
-@query("SELECT count(*) AS total, count(*) FILTER (WHERE o_orderstatus = 'F' AND o_totalprice > 1000) AS ready, sum(length(o_orderpriority))::BIGINT AS edits FROM orders")
+@query("SELECT m, count(*) AS total, sum(n)::BIGINT AS total_edits, sum(r)::BIGINT AS total_with_target_3d FROM (SELECT 'all' AS m, n, r FROM (SELECT count(*) FILTER (WHERE o_orderstatus <> 'P') AS n, count(*) FILTER (WHERE o_orderstatus = 'F') AS r FROM orders GROUP BY o_custkey) WHERE n > 0 UNION ALL SELECT 'target', r, r FROM (SELECT count(*) FILTER (WHERE o_orderstatus = 'F') AS r FROM orders GROUP BY o_custkey) WHERE r > 0) GROUP BY 1")
 def pair_counters(t: Tables) -> DataFrame:
-    """A16, F04, W12."""
-    rows = t.orders.withColumn("edit_count", F.length("o_orderpriority").cast("long"))
-    return stats.ready_counters(rows, (F.col("o_orderstatus") == "F") & (F.col("o_totalprice") > 1000))
+    """Both modes."""
+    models = t.orders.groupBy("o_custkey").agg(F.count_if(F.col("o_orderstatus") != "P").alias("edit_count"), F.count_if(F.col("o_orderstatus") == "F").alias("ready_pair_count"))
+    return stats.pair_counters(models).select(F.lit("all").alias("m"), "*").union(stats.pair_counters(models, True).select(F.lit("target").alias("m"), "*"))
 
 
 @query("SELECT l_orderkey AS model_id, count(*) FILTER (WHERE l_returnflag <> 'A') AS edit_count, count(*) FILTER (WHERE l_returnflag <> 'A' AND l_linestatus = 'F') AS target_ready_count, count(*) FILTER (WHERE l_returnflag <> 'A' AND l_tax > 0.03) AS passed_count FROM lineitem GROUP BY 1")
@@ -266,5 +274,3 @@ def verdict_directions(t: Tables) -> DataFrame:
     """The same score judged as a distance and as a confidence."""
     c = metrics.clamped(F.col("n_chars") / 4000)
     return t.documents.select("doc_id", c.alias("confidence"), metrics.passes(F.col("n_chars"), 1000, "lower").alias("passes_distance"), metrics.passes(c, 0.5, "higher").alias("passes_confidence"))
-
-

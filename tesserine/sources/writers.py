@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
+from ..functions.records import removal_reasons
+
 
 def write_jsonl(df: DataFrame, path: str, append: bool = False) -> None:
     """K01, K04, K05."""
@@ -63,15 +65,23 @@ def capped(df: DataFrame, order: str, count: int = 100) -> DataFrame:
 
 
 def replace_table(spark: SparkSession, df: DataFrame, path: str) -> None:
-    """Writes a new version of a table beside the old one, then swaps: readers see one or the
-    other, and df may read the old one."""
+    """Writes a new version of a table beside the old one, then swaps; df may read the old one.
+    The old version keeps a name until the new one has the table's: a crash in between leaves
+    both whole, and the next call puts the old one back first."""
     jvm = spark.sparkContext._jvm
-    new, old = jvm.org.apache.hadoop.fs.Path(f"{path}.new"), jvm.org.apache.hadoop.fs.Path(path)
+    at, new, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.new", f"{path}.old"))
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(old):
+        if fs.exists(at):
+            fs.delete(old, True)
+        elif not fs.rename(old, at):
+            raise OSError(f"can't restore {path}")
     df.write.mode("overwrite").parquet(f"{path}.new")
-    fs = new.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(old, True)
-    if not fs.rename(new, old):
+    if fs.exists(at) and not fs.rename(at, old):
+        raise OSError(f"can't move {path}")
+    if not fs.rename(new, at):
         raise OSError(f"can't rename {path}.new")
+    fs.delete(old, True)
 
 
 def numbered(df: DataFrame, order: Sequence[Column], prefix: str, width: int = 4) -> DataFrame:
@@ -97,8 +107,8 @@ def export_manifest(samples: DataFrame, views: Sequence[str], root: str, prefix:
 
 def removed_objects(assessed: DataFrame) -> DataFrame:
     """Removed objects by category, each with its reasons, sorted."""
-    own = F.when(F.size("unfriendly_reasons") > 0, F.col("unfriendly_reasons")).otherwise(F.array(F.lit("low_editability_score")))
-    rows = assessed.filter("verdict = 'remove'").select("category", F.struct("object", "editability_score", own.alias("reasons")).alias("o"))
+    own = removal_reasons(F.col("editability_score"), F.col("has_3d_unfriendly_attrs"))
+    rows = assessed.filter("verdict = 'remove'").select("category", F.struct("object", "editability_score", own.alias("removal_reasons")).alias("o"))
     return rows.groupBy("category").agg(F.array_sort(F.collect_list("o")).alias("removed")).orderBy("category")
 
 
@@ -113,11 +123,25 @@ def metric_sheet(items: DataFrame, metric: str, views: Sequence[str]) -> DataFra
     return items.groupBy("item_id").pivot("view", list(views)).agg(F.first(metric)).withColumnsRenamed({v: f"{metric}_{v}" for v in views})
 
 
-def manifest_issues(samples: DataFrame, files: DataFrame, paths: Sequence[str]) -> DataFrame:
-    """sample_id, issues: what a sample's paths and texts lack."""
-    long = samples.select("sample_id", F.explode(F.array(*[F.struct(F.lit(p).alias("name"), F.col(p).alias("path")) for p in paths])).alias("x")).select("sample_id", "x.*")
-    gone = long.filter("path is not null").join(files.select("path"), "path", "left_anti").select("sample_id", F.concat(F.lit("missing:"), "name").alias("issue"))
-    blank = long.filter("path is null").select("sample_id", F.concat(F.lit("blank:"), "name").alias("issue"))
-    text = samples.filter(F.trim(F.coalesce("instruction", F.lit(""))) == "").select("sample_id", F.lit("blank:instruction").alias("issue"))
-    found = gone.union(blank).union(text).groupBy("sample_id").agg(F.array_sort(F.collect_set("issue")).alias("issues"))
+def manifest_issues(samples: DataFrame, files: DataFrame, metas: DataFrame, views: Sequence[str], root: str) -> DataFrame:
+    """sample_id, issues: files of a sample that aren't there, one file for both models,
+    another instruction than the edit's own (metas: path, instruction), signs of a typo."""
+    edited_front = F.col("edited_views")["front"]
+    pattern = r"triplets/([^/]+)/edited/([^/]+)/front\.png"
+    meta = F.concat(F.lit(f"{root}/triplets/"), F.regexp_extract(edited_front, pattern, 1), F.lit("/edited/"), F.regexp_extract(edited_front, pattern, 2), F.lit("/meta.json"))
+    rows = samples.withColumn("_meta", F.when(edited_front.rlike(pattern), meta))
+    place = lambda name, path: F.struct(F.lit(name).alias("name"), path.alias("path"))
+    named = [place(c, F.col(c)) for c in ("source_glb", "target_glb")] + [place(c, F.col(c)[v]) for c in ("source_views", "edited_views") for v in views]
+    long = rows.select("sample_id", F.explode(F.array(*named)).alias("x")).select("sample_id", "x.*")
+    gone = long.join(files.select("path"), "path", "left_anti").select("sample_id", F.concat(F.lit("missing:"), "name").alias("issue")).distinct()
+    told = rows.join(metas.select(F.col("path").alias("_meta"), F.trim("instruction").alias("_own")), "_meta", "left")
+    said = F.col("instruction")
+    of_row = F.array_compact(
+        F.array(
+            F.when(F.col("source_glb") == F.col("target_glb"), "same_file"),
+            F.when(F.col("_meta").isNull(), "no_edit_in_path").when(F.col("_own").isNull(), "missing:meta").when(F.col("_own") != F.trim(said), "instruction_mismatch"),
+            F.when(said.startswith("RR") | said.contains("  "), "possible_typo"),
+        )
+    )
+    found = gone.union(told.select("sample_id", F.explode(of_row).alias("issue"))).groupBy("sample_id").agg(F.array_sort(F.collect_set("issue")).alias("issues"))
     return samples.select("sample_id").join(found, "sample_id", "left").withColumn("issues", F.coalesce("issues", F.array().cast("array<string>")))

@@ -76,9 +76,27 @@ def remaining(plan: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     return without(plan, done, keys)
 
 
-def interrupted_action(status: Column, kind: Column, resumable: list[str]) -> Column:
-    """What to do with a task found at a restart."""
-    return F.when(~status.isin("pending", "running"), "none").when(kind.isin(resumable), "requeue").otherwise("mark_failed")
+def interrupted_action(kind: Column, status: Column, remote_id: Column) -> Column:
+    """What to do with a task found at a restart. Only target models are made elsewhere;
+    one with a remote id is polled again, one never sent is sent, one lost on the way failed."""
+    open_ = (kind == "gen3d") & status.isin("running", "pending")
+    return F.when(~F.coalesce(open_, F.lit(False)), "none").when(F.nullif(remote_id, F.lit("")).isNotNull(), "resume").when(status == "pending", "restart").otherwise("mark_failed")
+
+
+def active_tasks(tasks: DataFrame, kind: str) -> DataFrame:
+    """models with an open task of a kind."""
+    return tasks.filter((F.col("type") == kind) & F.col("status").isin("pending", "running")).select("model_id").distinct()
+
+
+def refreshed_models(models: DataFrame, tasks: DataFrame) -> DataFrame:
+    """models that an open refresh covers: their own, or one of many models, whose list is
+    theirs; without a list it covers all."""
+    live = tasks.filter(F.col("status").isin("pending", "running"))
+    own = live.filter("type = 'refresh_model_dreamsim'").select("model_id")
+    many = live.filter("type = 'refresh_all_models_dreamsim'")
+    named = many.select(F.explode("model_ids").alias("model_id")).select(F.trim("model_id").alias("model_id")).filter("model_id != ''")
+    everything = many.filter("model_ids is null").limit(1).count() > 0
+    return models if everything else models.join(own.union(named).distinct(), "model_id", "left_semi")
 
 
 def backoff_seconds(attempt: Column) -> Column:
