@@ -121,10 +121,13 @@ def batched(df: DataFrame, order: Sequence[str], size: int, key: str) -> DataFra
 def diverse_sample(candidates: DataFrame, order: Sequence[str], category: str, item: str, count: int) -> DataFrame:
     """In order, first rows whose category and item are both new, then rows whose item is
     new, up to count. Each choice depends on those before it, so the last step is one pass in
-    one task; before it only the first row of each (category, item) stays, as no other can be
-    chosen."""
+    one task over at most count rows a category: of each (category, item) only the first row
+    can be chosen, and of a category only its first count items, since all before a later
+    one would have to be taken already."""
     w = Window.partitionBy(category, item).orderBy(*order)
     firsts = candidates.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    of_category = Window.partitionBy(category).orderBy(*order)
+    firsts = firsts.withColumn("_rn", F.row_number().over(of_category)).filter(F.col("_rn") <= count).drop("_rn")
     schema = firsts.schema
 
     def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
