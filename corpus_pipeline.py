@@ -20,13 +20,15 @@ ORACLE_SQL = None
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go. Null and empty texts are judged as one empty
+    line, rows with the same text alike; a null id doesn't matter."""
     model = quality_crf.train(docs, table(spark, sf_dir, "labels"))
     return quality_crf.classify(docs, model).filter("_predicted = 1").select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines of a source go; n_chars follows. Every document stays."""
+    """Boilerplate lines of a source go; n_chars follows. Every document stays, also with null
+    or empty text or a null source (a source of its own); repeated rows count as pages."""
     out = line_dedup.drop_boilerplate(docs)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("_n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
@@ -35,23 +37,25 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the least id stays. Documents
-    without words, or without an id, are in no group and stay."""
+    without words, or without an id, are in no group and stay; rows that repeat the least id
+    all stay."""
     groups = written(jaccard_join.jaccard_components(docs), "groups")
     return without_ids(docs, groups.filter("doc_id != component_id").select("doc_id"), "doc_id")
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold at least half of a benchmark item, or a chain of its words, go."""
+    """Documents that hold at least half of a benchmark item, or a chain of its words, go. Null
+    and empty texts and rows without an id stay; all rows of a contaminated id go."""
     found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
     return without_ids(docs, found.select("doc_id"), "doc_id")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it, numbered in the new column copy."""
-    copies = mixing.mix(docs).groupBy("doc_id").agg(F.max("copies").alias("_copies"))
-    copies = copies.filter("_copies > 0").withColumnRenamed("doc_id", "_id")
-    out = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return out.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("copy"))
+    """Each document as often as the mix takes it, numbered in the new column copy. Rows that
+    share an id, or have none, are taken one by one; documents without words have size 0 and
+    go with their source's rate; an empty table gives an empty one. Equal rows are alike, so
+    it doesn't matter which of them is taken."""
+    return mixing.mixed(docs)
 
 
 STAGES = [("quality", quality), ("line_dedup", lines), ("near_duplicates", near_duplicates), ("decontaminate", benchmark_free), ("mix", mix)]

@@ -72,7 +72,7 @@ def if_small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if n <= rows and (used or 0) <= most else df
 
 
-def spread_join(rows: DataFrame, groups: DataFrame, key: str, weight: str, share: int = 1000) -> DataFrame:
+def spread_join(rows: DataFrame, groups: DataFrame, key: str | list[str], weight: str, share: int = 1000) -> DataFrame:
     """rows joined with groups, a written table of one row a key, without weight, the number
     of rows with the key. Keys with over 1/share of all rows are at most share, so they are
     broadcast; no other key brings more than that share of the rows to one task."""

@@ -9,7 +9,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import spread_join, written
+
+#: Minima of so many edges at most are broadcast (under 10 MB); else no node with a large share
+#: of the edges, such as a star's centre, brings them to one task.
+SMALL_EDGES = 200_000
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -56,6 +60,13 @@ def _thinned(edges: DataFrame, held: int = 500_000) -> DataFrame:
     return edges.mapInArrow(run, "u long, v long")
 
 
+def _with_least(edges: DataFrame, least: DataFrame, n: int) -> DataFrame:
+    """edges with m, from least (u, m, n: the node's edges)."""
+    if n <= SMALL_EDGES:
+        return edges.join(F.broadcast(least.drop("n")), "u")
+    return spread_join(edges, written(least, "least"), "u", "n")
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """edges -> node, root: the least node reachable, for nodes with an edge to another one.
     Large-star and small-star steps in turn, each over minima that are combined before the
@@ -66,11 +77,13 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     state = _state(at)
     while True:
         both = at.union(at.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = _with_least(both, least, state[0]).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.filter("u > v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        if state[0] > SMALL_EDGES:
+            large = written(large, "edges")
+        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = _with_least(large, least, state[0]).filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         at = written(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
         now = _state(at)
         if now == state:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import if_small, small_batches, written
+from .common import if_small, small_batches, spread_join, written
 from .graph import components
 from .hashing import shingle_sets
 
@@ -264,12 +264,15 @@ def _probe_chunks(members: DataFrame, queries: DataFrame, percent: int) -> DataF
     return rows.repartition("block", "chunk").sortWithinPartitions("block", "chunk", "asks").mapInArrow(run, "a long, b long")
 
 
-def _large_blocks(members: DataFrame, linked: DataFrame, percent: int) -> DataFrame:
+def _large_blocks(members: DataFrame, linked: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
     """Links between chunks of the blocks that have several: first from the hub of the block's
     largest component, then from all documents outside that component, each searched in the
-    chunks of the three bands around its own."""
+    chunks of the three bands around its own that hold one of its prefix shingles (prefixes: id,
+    h), as documents that link share one: copies sent are bounded by real candidates."""
     small = lambda df, tag: if_small(written(df, tag))  # noqa: E731  thin tables; sets stay where they are
     rows = written(members.filter("parts > 0").join(small(linked.select("id", "root"), "roots"), "id"), "large")
+    prefixes = written(prefixes.join(small(rows.select("id", "chunk"), "chunks"), "id"), "prefixes")
+    holds = written(prefixes.select("h", F.col("chunk").alias("to")).distinct(), "holds")
     links = None
     for hubs in (True, False):
         size = rows.groupBy("block", "band", "chunk", "root").agg(F.count("*").alias("n"))
@@ -282,8 +285,9 @@ def _large_blocks(members: DataFrame, linked: DataFrame, percent: int) -> DataFr
         near = chunks.select("block", F.col("chunk").alias("to"), "band", "has_largest", F.explode(F.array(*map(F.lit, (-1, 0, 1)))).alias("i"))
         near = near.filter(F.lit(hubs) | (F.col("i") >= 0) | F.col("has_largest")).select("block", "to", (F.col("band") + F.col("i")).alias("band"))
         chosen = rows.join(small(largest, "largest"), "block").filter("root = largest and id = root" if hubs else "root != largest")
-        asks = chosen.join(small(near, "near"), ["block", "band"])
-        asks = asks.filter("to != chunk").drop("chunk").withColumnRenamed("to", "chunk")
+        may = prefixes.join(small(chosen.select("id"), "asking"), "id", "left_semi").join(holds, "h").filter("to != chunk").select("id", "to").distinct()
+        asks = chosen.join(small(near, "near"), ["block", "band"]).filter("to != chunk")
+        asks = asks.join(small(may, "may"), ["id", "to"], "left_semi").drop("chunk").withColumnRenamed("to", "chunk")
         found = written(_probe_chunks(rows, asks, percent), "links")
         links = found if links is None else links.union(found)
         if hubs:
@@ -296,7 +300,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """doc_id, n_shingles, component_id (the least id reachable by links, itself included).
 
     Null and empty texts and texts without words have no shingles and link with nothing.
-    Equal texts link. A repeated row (same id and text) gives equal rows. Rows without an
+    Equal texts link. A repeated row (same id and text) gives equal rows. Rows with one id and
+    different texts each keep their own n_shingles, but are one document to link: whatever
+    one of them links with is in the component of all. Rows without an
     id are left out, since a component is named by ids. Extra columns are ignored; an empty
     table gives an empty result.
     """
@@ -304,7 +310,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     small_batches(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("id is not null")
     sets = written(_sets(texts, k, percent), "sets")
-    classes = sets.filter("n > 0").groupBy("print").agg(F.min("id").alias("rep"), F.max("n").alias("n"))
+    classes = sets.filter("n > 0").groupBy("print").agg(F.min("id").alias("rep"), F.max("n").alias("n"), F.count("*").alias("docs"))
     classes = written(classes, "classes")
     reps = if_small(written(classes.select(F.col("rep").alias("id"), "n").distinct(), "reps"))
 
@@ -312,11 +318,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     hot = _bitmap(counted.filter(F.col("count") >= hot_docs).select(F.expr(f"shiftrightunsigned(h, {64 - BITS})").alias("cell")).distinct())
     heads = _heads(texts, k, percent, hot).join(reps, "id").select("id", "n", F.explode("head").alias("h"))
     heads = written(heads, "heads")
-    shared = heads.groupBy("h").agg(F.min("id").alias("hub"), F.max("id").alias("last")).filter("hub < last").select("h")
-    near = heads.join(shared, "h").withColumn("band", band(F.col("n"), percent))
+    shared = heads.groupBy("h").agg(F.min("id").alias("hub"), F.max("id").alias("last"), F.count("*").alias("docs")).filter("hub < last").select("h", "docs")
+    near = spread_join(heads, written(shared, "shared"), "h", "docs").withColumn("band", band(F.col("n"), percent))
     near = written(near.select("id", "h", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band")), "near")
-    hubs = near.groupBy("h", "band").agg(F.min("id").alias("hub"), F.max("id").alias("last")).filter("hub < last").drop("last")
-    edges = near.join(hubs, ["h", "band"]).filter("id != hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))
+    hubs = near.groupBy("h", "band").agg(F.min("id").alias("hub"), F.max("id").alias("last"), F.count("*").alias("docs")).filter("hub < last").drop("last")
+    edges = spread_join(near, written(hubs, "hubs"), ["h", "band"], "docs").filter("id != hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))
     blocks = written(components(edges).join(reps, F.col("node") == F.col("id")).select("id", F.col("root").alias("block"), "n"), "blocks")
     # A block of more than chunk_shingles is dealt by band, and a band by hash: parts is the
     # number of chunks of a band, 0 in small blocks.
@@ -335,11 +341,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     linked = written(_link_chunks(members, percent), "linked")
     links = linked.select(F.col("id").alias("a"), F.col("root").alias("b"))
     if several:
-        links = links.union(_large_blocks(members, linked, percent))
+        links = links.union(_large_blocks(members, linked, near.select("id", "h").distinct(), percent))
     roots = components(links)
-    named = classes.join(roots, F.col("rep") == F.col("node"), "left").select("print", F.coalesce("root", "rep").alias("component_id"))
-    return (
-        sets.select("id", "n", "print")
-        .join(named, "print", "left")
-        .select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
-    )
+    named = classes.join(roots, F.col("rep") == F.col("node"), "left").select("print", "docs", F.coalesce("root", "rep").alias("component_id"))
+    # A class that holds a large share of all documents doesn't bring them to one task.
+    linked_rows = spread_join(sets.filter("n > 0").select("id", "n", "print"), written(named, "named"), "print", "docs")
+    alone = sets.filter("n = 0").select("id", "n", F.col("id").alias("component_id"))
+    return linked_rows.select("id", "n", "component_id").union(alone).select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")

@@ -58,13 +58,19 @@ def _hex(x: Column, digits: int) -> Column:
     return F.conv(F.substring(F.md5(x.cast("string").cast("binary")), 1, digits), 16, 10).cast("long")
 
 
-def ranked(rows: DataFrame) -> DataFrame:
-    """rows (id, source, size) -> with rank from 1 within source, by size, then bucket,
-    then id. Equal rows take ranks in any order, which changes nothing in the result."""
-    rows = rows.withColumn("band", F.expr(f"size div {BAND}")).withColumn("bucket", F.coalesce(_hex(F.col("id"), HEX_DIGITS), F.lit(-1)))
+def placed(rows: DataFrame) -> DataFrame:
+    """rows with the band of their size and the hash bucket of their id."""
+    return rows.withColumn("band", F.expr(f"size div {BAND}")).withColumn("bucket", F.coalesce(_hex(F.col("id"), HEX_DIGITS), F.lit(-1)))
+
+
+def ranked(rows: DataFrame, thin: DataFrame) -> DataFrame:
+    """rows (id, source, size, ...) -> with rank from 1 within source, by size, then bucket,
+    then id, then a hash of the whole row. Equal rows take ranks in any order, which changes
+    nothing in the result. Counts are of thin, the same rows without what else they hold."""
+    rows = placed(rows)
     leaf = ["source", "band", "size", "bucket"]
     before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    cells = rows.groupBy(*leaf).agg(F.count("*").alias("n"))
+    cells = placed(thin).groupBy(*leaf).agg(F.count("*").alias("n"))
     sizes = cells.groupBy(*leaf[:3]).agg(F.sum("n").alias("n"))
     bands = sizes.groupBy(*leaf[:2]).agg(F.sum("n").alias("n"))
     bands = bands.withColumn("at_band", before(Window.partitionBy("source").orderBy("band"))).drop("n")
@@ -73,11 +79,22 @@ def ranked(rows: DataFrame) -> DataFrame:
     null_safe = lambda a, b, keys: a.join(b.select(*[F.col(k).alias(f"_{k}") for k in keys], *[c for c in b.columns if c not in keys]), [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], "left").drop(*[f"_{k}" for k in keys])
     starts = null_safe(null_safe(cells, sizes, leaf[:3]), bands, leaf[:2])
     starts = starts.select(*leaf, (F.col("at_band") + F.col("at_size") + F.col("at_bucket")).alias("start"))
-    inside = F.row_number().over(Window.partitionBy(*leaf).orderBy("id"))
+    inside = F.row_number().over(Window.partitionBy(*leaf).orderBy("id", F.xxhash64(*rows.columns)))
     out = null_safe(rows.withColumn("inside", inside), starts, leaf)
     return out.withColumn("rank", F.col("start") + F.col("inside")).drop("start", "inside", "band", "bucket")
 
 
+def _copies(rows: DataFrame, thin: DataFrame, seed: int) -> DataFrame:
+    """rows (id, source, size, ...) with source_size, target and copies."""
+    targets = source_targets(thin.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")))
+    offset = _hex(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("source"), F.lit("\0null"))), 8) / F.lit(2.0**32)
+    targets = targets.withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))).withColumn("offset", offset)
+    targets = targets.withColumnRenamed("source", "_source").drop("n")
+    out = ranked(rows, thin).join(targets, F.col("source").eqNullSafe(F.col("_source")))
+    passed = lambda rank: F.floor(F.col("offset") + rank * F.col("rate"))
+    return out.withColumn("copies", passed(F.col("rank")) - passed(F.col("rank") - 1)).drop("_source", "rank", "rate", "offset")
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 17) -> DataFrame:
     """doc_id, size, source_size, target, taken, copies, source: one row a document.
 
@@ -88,16 +105,20 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     result. Other columns are ignored.
     """
     rows = written(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")), "sizes")
-    targets = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")))
-    offset = _hex(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("source"), F.lit("\0null"))), 8) / F.lit(2.0**32)
-    targets = targets.withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))).withColumn("offset", offset)
-    targets = targets.withColumnRenamed("source", "_source").drop("n")
-    out = ranked(rows).join(targets, F.col("source").eqNullSafe(F.col("_source")))
-    passed = lambda rank: F.floor(F.col("offset") + rank * F.col("rate"))
-    out = out.withColumn("copies", passed(F.col("rank")) - passed(F.col("rank") - 1))
+    out = _copies(rows, rows, seed)
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "source")
 
 
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 17) -> DataFrame:
+    """docs, each row as often as the mix takes it, with its number in the new column copy.
+    The rules are mix()'s. Each row carries its own count, so rows that share an id are
+    taken one by one; columns of any names stay as they are."""
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
+    thin = written(whole.select("id", "source", "size"), "sizes")
+    out = _copies(whole, thin, seed).filter("copies > 0")
+    return out.select("doc.*", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
+
+
 ORACLE_SQL = """
 WITH d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size FROM documents),

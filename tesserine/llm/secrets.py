@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, written
+from .common import small_batches, spread_join, written
 
 KINDS = ("assign", "access", "hex", "token")
 WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
@@ -93,15 +93,15 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def ownership(candidates: DataFrame) -> DataFrame:
-    """candidates (value, owner, repo, body: the text's hash) -> value, owners, spread: its
-    repositories less those of the owner that has most. Equal texts are one repository."""
+    """candidates (value, owner, repo, body: the text's hash) -> value, n (rows), owners,
+    spread: its repositories less those of the owner that has most. Equal texts are one repository."""
     known = F.coalesce(F.concat(F.lit("r"), "repo"), F.lit(""))
-    once = candidates.groupBy("value", "owner", "body").agg(F.min(known).alias("repo"))  # a task drops repeats before the shuffle
-    by_owner = once.groupBy("value", "owner").agg(F.count_distinct("repo").alias("repos"))
-    owners = by_owner.groupBy("value").agg(F.count("*").alias("owners"), F.max("repos").alias("most"))
+    once = candidates.groupBy("value", "owner", "body").agg(F.min(known).alias("repo"), F.count("*").alias("rows"))  # a task drops repeats before the shuffle
+    by_owner = once.groupBy("value", "owner").agg(F.count_distinct("repo").alias("repos"), F.sum("rows").alias("rows"))
+    owners = by_owner.groupBy("value").agg(F.count("*").alias("owners"), F.max("repos").alias("most"), F.sum("rows").alias("n"))
     by_text = once.groupBy("value", "body").agg(F.min("repo").alias("repo"))
     repos = by_text.groupBy("value").agg(F.count_distinct("repo").alias("repos"))
-    return owners.join(repos, "value").select("value", "owners", (F.col("repos") - F.col("most")).alias("spread"))
+    return owners.join(repos, "value").select("value", "n", "owners", (F.col("repos") - F.col("most")).alias("spread"))
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_col: str = "doc_id", max_owners: int = 2, max_repos: int = 5) -> DataFrame:
@@ -120,8 +120,8 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = rows.select("id", "owner", "repo", F.xxhash64("text").alias("body"), "text")
     found = written(scan(rows).withColumn("row", F.monotonically_increasing_id()), "found")
     each = found.filter(F.size("found") > 0).select("row", "owner", "repo", "body", F.explode("found").alias("s"))
-    owned = ownership(each.select("s.value", "owner", "repo", "body"))
-    judged = each.select("row", "s.*").join(owned, "value").withColumn("live", (F.col("owners") <= max_owners) & (F.col("spread") <= max_repos))
+    owned = written(ownership(each.select("s.value", "owner", "repo", "body")), "owned")
+    judged = spread_join(each.select("row", "s.*"), owned, "value", "n").withColumn("live", (F.col("owners") <= max_owners) & (F.col("spread") <= max_repos))
     stays = F.col("live") | (F.col("kind") < len(KINDS) - 1)
     per_row = judged.filter(stays).groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "kind", "stop", "live"))).alias("spans"))
     out = found.select("row", "id").join(per_row, "row", "left").withColumn("spans", F.coalesce("spans", F.array().cast("array<struct<start:int,kind:int,stop:int,live:boolean>>")))
