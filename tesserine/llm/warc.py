@@ -35,20 +35,28 @@ def _open(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
 
 
+#: Pages tell neither when nor with what head they were fetched, so that all have these.
+DATE = "2024-01-01T00:00:00Z"
+HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
+
+
 def _record(kind: str, page_id: str, url: str | None, digest: str, size: int, refers_to: str | None, payload: bytes) -> bytes:
+    """A record whose block is an HTTP response; a revisit's has the head only."""
+    block = HTTP_HEAD + payload
     head = [
         "WARC/1.1",
         f"WARC-Type: {kind}",
         f"WARC-Record-ID: <urn:page:{page_id}>",
         f"WARC-Target-URI: {(url or '').replace(chr(13), '%0D').replace(chr(10), '%0A')}",
-        "Content-Type: text/html; charset=utf-8",
+        f"WARC-Date: {DATE}",
+        "Content-Type: application/http; msgtype=response",
         f"WARC-Payload-Digest: sha1:{digest}",
         f"WARC-Payload-Length: {size}",
     ]
     if refers_to is not None:
         head += [f"WARC-Refers-To: <urn:page:{refers_to}>", f"WARC-Profile: {REVISIT_PROFILE}"]
-    head.append(f"Content-Length: {len(payload)}")
-    return "\r\n".join(head).encode() + b"\r\n\r\n" + payload + b"\r\n\r\n"
+    head.append(f"Content-Length: {len(block)}")
+    return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
 def parse_head(raw: bytes) -> dict[str, str]:
@@ -89,17 +97,21 @@ def records(chunks: Iterator[bytes]) -> Iterator[bytes]:
 
 
 def inflated(stream) -> Iterator[bytes]:
-    """Pieces of what a gzip file of one or more members holds."""
-    box = zlib.decompressobj(31)
+    """Pieces of what a gzip file of one or more members holds; one that is cut off fails,
+    wherever the cut is."""
+    box, begun = zlib.decompressobj(31), False
     while raw := stream.read(PIECE):
         while raw:
+            begun = True
             if out := box.decompress(raw, PIECE):
                 yield out
             raw = box.unconsumed_tail
             if box.eof:
-                raw, box = box.unused_data, zlib.decompressobj(31)
+                raw, box, begun = box.unused_data, zlib.decompressobj(31), False
     if out := box.flush():
         yield out
+    if begun:
+        raise ValueError("the archive ends inside a gzip member")
 
 
 class _Whole:
@@ -171,7 +183,7 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
                         head = parse_head(raw[: raw.index(b"\r\n\r\n")])
                         box = zlib.compressobj(6, zlib.DEFLATED, 31)
                         member = box.compress(raw) + box.flush()
-                        index.write(json.dumps({"offset": out.at, "length": len(member), "type": head["warc-type"], "id": head["warc-record-id"]}).encode() + b"\n")
+                        index.write(json.dumps({"offset": out.at, "length": len(member), "type": head.get("warc-type", ""), "id": head.get("warc-record-id", "")}).encode() + b"\n")
                         out.write(member)
                 out.close()
                 index.close()
@@ -185,7 +197,9 @@ READ = "page_id long, url string, record_type string, refers_to long, payload_by
 
 def read(archives: DataFrame) -> DataFrame:
     """Each record of normalised archives, by its place in the index; a member is inflated
-    alone. stored_digest and stored_bytes are of what the record itself holds."""
+    alone. stored_digest and stored_bytes are of the payload that the record itself holds:
+    of an HTTP block what follows its head, else the block. Records of other kinds (warcinfo,
+    request, metadata) and from other writers are read alike; what their heads lack is null."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -201,9 +215,10 @@ def read(archives: DataFrame) -> DataFrame:
                         cut = raw.index(b"\r\n\r\n")
                         head = parse_head(raw[:cut])
                         payload = raw[cut + 4 : cut + 4 + int(head["content-length"])]
-                        name = head["warc-record-id"].removeprefix("<urn:page:").rstrip(">")
-                        refers = head.get("warc-refers-to", "").removeprefix("<urn:page:").rstrip(">")
-                        rows.append((int(name) if name else None, head["warc-target-uri"], head["warc-type"], int(refers) if refers else None, int(head["warc-payload-length"]), head["warc-payload-digest"].removeprefix("sha1:"), hashlib.sha1(payload).hexdigest(), len(payload), path, place["offset"], place["length"]))
+                        if head.get("content-type", "").startswith("application/http"):
+                            payload = payload[payload.find(b"\r\n\r\n") + 4 :] if b"\r\n\r\n" in payload else b""
+                        size = int(head.get("warc-payload-length", len(payload)))
+                        rows.append((_page(head.get("warc-record-id")), head.get("warc-target-uri"), head.get("warc-type"), _page(head.get("warc-refers-to")), size, head.get("warc-payload-digest", "").removeprefix("sha1:") or None, hashlib.sha1(payload).hexdigest(), len(payload), path, place["offset"], place["length"]))
                         if len(rows) >= 2000:
                             yield _frame(rows)
                             rows = []
@@ -212,6 +227,12 @@ def read(archives: DataFrame) -> DataFrame:
     return archives.repartition(max(1, archives.count()), "path").mapInPandas(run, READ)
 
 
+def _page(name: str | None) -> int | None:
+    """The page that a record's name tells; names given elsewhere tell none."""
+    number = (name or "").strip("<>").removeprefix("urn:page:")
+    return int(number) if number.removeprefix("-").isdigit() else None
+
+
 def _frame(rows: list[tuple]) -> pd.DataFrame:
     out = pd.DataFrame(rows, columns=[x.split()[0] for x in READ.split(", ")])
     return out.astype({"page_id": "Int64", "refers_to": "Int64"})

@@ -1,3 +1,4 @@
+import pytest
 import gzip
 import hashlib
 import json
@@ -50,3 +51,30 @@ def test_one_stream_becomes_many_members(spark, tmp_path):
     data = open(row["path"].removeprefix("file://"), "rb").read()
     assert gzip.decompress(data) == b"".join(records)
     assert data.count(b"\x1f\x8b\x08") >= 5
+
+
+def test_foreign_archives(spark, tmp_path):
+    """An archive not written here: other kinds, no digest, a name of its own, LF in the text."""
+    import gzip
+
+    body = b"HTTP/1.0 200 OK\r\nServer: x\r\n\r\n<p>a\r\n\r\nb</p>"
+    rec = lambda kind, extra, block: b"WARC/1.0\r\nWARC-Type: " + kind + b"\r\nWARC-Record-ID: <urn:uuid:1-2>\r\nWARC-Date: 2020-01-01T00:00:00Z\r\n" + extra + b"Content-Length: " + str(len(block)).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+    raw = rec(b"warcinfo", b"Content-Type: application/warc-fields\r\n", b"software: y\r\n") + rec(b"response", b"WARC-Target-URI: http://a/\r\ncontent-type: application/http; msgtype=response\r\n", body)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/x.warc.gz").write_bytes(gzip.compress(raw))
+    made = W.normalise(spark.createDataFrame([(str(tmp_path / "in/x.warc.gz"),)], "path string"), str(tmp_path))
+    rows = W.read(spark.createDataFrame(made.collect(), made.schema)).collect()
+    assert [(r["record_type"], r["url"], r["page_id"], r["payload_bytes"], r["payload_digest"]) for r in rows] == [("warcinfo", None, None, 13, None), ("response", "http://a/", None, 13, None)]
+    assert rows[1]["stored_digest"] == hashlib.sha1(b"<p>a\r\n\r\nb</p>").hexdigest()
+
+
+def test_cut_archives(tmp_path):
+    import gzip
+    import io
+
+    whole = W._record("response", "1", "u", "d", 3, None, b"abc")
+    assert [*W.records(W.inflated(io.BytesIO(gzip.compress(whole) + gzip.compress(whole))))] == [whole, whole]
+    assert b"WARC-Date: " in whole and b"\r\n\r\nHTTP/1.1 200 OK\r\n" in whole
+    for cut in (gzip.compress(whole)[:-8], gzip.compress(whole)[:-1], gzip.compress(whole)[:20]):
+        with pytest.raises(ValueError):
+            list(W.records(W.inflated(io.BytesIO(cut))))
