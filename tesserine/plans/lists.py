@@ -105,7 +105,7 @@ def experiment_index(t: Tables) -> DataFrame:
 
 @query("SELECT p_name AS object_name, arg_min(p_brand, pos) AS category FROM (SELECT p_name, p_brand, row_number() OVER (ORDER BY p_brand) AS pos FROM (SELECT DISTINCT p_name, p_brand FROM part)) GROUP BY 1")
 def reverse_lookup(t: Tables) -> DataFrame:
-    """J17, S35, P11."""
+    """J17."""
     maps = t.part.groupBy(F.col("p_brand").alias("category")).agg(F.collect_set("p_name").alias("objects")).withColumn("pos", F.col("category"))
     return planning.reverse_lookup(maps)
 
@@ -136,7 +136,7 @@ def style_priority(t: Tables) -> DataFrame:
 
 @query(f"WITH {_PRIORITY}, o AS (SELECT DISTINCT p_brand AS category, p_name AS object_name FROM part) SELECT row_number() OVER (ORDER BY rank, category, object_name) - 1 AS index, rank AS round, category, object_name, style_id FROM o JOIN p USING (category) WHERE rank < 4")
 def matrix_pairs(t: Tables) -> DataFrame:
-    """J18, S36, A27."""
+    """J18."""
     objects = t.part.select(F.col("p_brand").alias("category"), F.col("p_name").alias("object_name")).distinct()
     return planning.matrix_pairs(objects, _priority(t), 4)
 
@@ -169,7 +169,7 @@ def batched_work(t: Tables) -> DataFrame:
 
 @query("SELECT d.doc_id, min(e.doc_id) AS edit_id FROM documents d LEFT JOIN documents e ON e.source = d.source AND lower(trim(e.text)) = lower(trim(d.text)) AND e.lang <> 'fr' GROUP BY d.doc_id")
 def dup_normalised(t: Tables) -> DataFrame:
-    """The least allowed document of the same source with the same text."""
+    """The least allowed document of the same source with the same text."""
     rows = t.documents.select(F.col("source").alias("model_id"), F.col("text").alias("instruction"), "doc_id", "lang")
     known = rows.select("model_id", "instruction", F.col("doc_id").alias("edit_id"), "lang")
     return planning.reuse_lookup(rows.drop("lang"), known, F.col("lang") != "fr").select("doc_id", "edit_id")
@@ -216,7 +216,7 @@ def ranked_search(t: Tables) -> DataFrame:
 
 @query("SELECT o_orderkey, c_name FROM orders LEFT JOIN customer ON o_custkey = c_custkey ORDER BY CASE WHEN o_orderkey IN (7, 1005) THEN 0 ELSE 1 END, o_totalprice DESC, o_orderkey LIMIT 25 OFFSET 25")
 def priority_page(t: Tables) -> DataFrame:
-    """The second page."""
+    """The second page."""
     index = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_name")
     return search.priority_page(t.orders, index, ["o_custkey"], F.col("o_orderkey").isin(7, 1005), [F.desc("o_totalprice"), F.col("o_orderkey")], 2, 25).select("o_orderkey", "c_name")
 
@@ -253,7 +253,7 @@ def topk_outliers(t: Tables) -> DataFrame:
 
 @query("SELECT o_orderkey, o_orderstatus, o_orderdate FROM (SELECT * REPLACE ('P' AS o_orderstatus) FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT * FROM orders WHERE o_orderkey % 3 <> 0) ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 100")
 def newest_tasks(t: Tables) -> DataFrame:
-    """S37, K20."""
+    """S37."""
     stored = t.orders.select("o_orderkey", "o_orderstatus", "o_orderdate")
     live = stored.filter("o_orderkey % 3 = 0").withColumn("o_orderstatus", F.lit("P"))
     return search.newest_tasks(live, stored, "o_orderkey", "o_orderdate")
@@ -294,14 +294,14 @@ def _snapshots(t: Tables) -> tuple[DataFrame, DataFrame]:
 
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 1 THEN o_totalprice + 1 ELSE o_totalprice END AS v FROM orders WHERE o_orderkey % 7 <> 0")
 def reconciled_index(t: Tables) -> DataFrame:
-    """The index after a reconcile equals a full rebuild."""
+    """The index after a reconcile equals a full rebuild."""
     old, new = _snapshots(t)
     return incremental.reconcile(old, new, "o_orderkey", "v", lambda df: df)[0]
 
 
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 'P' ELSE o_orderstatus END AS o_orderstatus FROM orders WHERE o_orderkey % 9 <> 0")
 def merged_table(t: Tables) -> DataFrame:
-    """K13-K19."""
+    """K13-K16, K18, K19."""
     base = t.orders.select("o_orderkey", "o_orderstatus")
     new = base.filter("o_orderkey % 4 = 0").withColumn("o_orderstatus", F.lit("P"))
     return writers.without(writers.merged(base, new, ["o_orderkey"]), base.filter("o_orderkey % 9 = 0"), ["o_orderkey"])
@@ -339,7 +339,7 @@ def removed_objects(t: Tables) -> DataFrame:
 
 @query("SELECT l_orderkey AS item_id, max(l_quantity) FILTER (WHERE l_returnflag = 'A') AS q_A, max(l_quantity) FILTER (WHERE l_returnflag = 'N') AS q_N, max(l_quantity) FILTER (WHERE l_returnflag = 'R') AS q_R FROM lineitem GROUP BY 1")
 def metric_sheet(t: Tables) -> DataFrame:
-    """K22, A18."""
+    """K22."""
     long = t.lineitem.groupBy(F.col("l_orderkey").alias("item_id"), F.col("l_returnflag").alias("view")).agg(F.max("l_quantity").alias("q"))
     return writers.metric_sheet(long, "q", ["A", "N", "R"])
 

@@ -14,7 +14,7 @@ from .base import Tables, query
     WHEN contains(text, '@') THEN 'contact' WHEN regexp_matches(lower(text), '(^|[^\\p{L}\\p{N}_])und([^\\p{L}\\p{N}_]|$)') THEN 'german' END AS reason FROM documents"""
 )
 def instruction_rules(t: Tables) -> DataFrame:
-    """The first rule that holds; the lists are parameters."""
+    """the first rule that holds; the lists are parameters."""
     c = F.col("text")
     rules = [(c == "", "empty"), (text.has_word(c, ["license", "licensed"]), "license"), (text.has_phrase(c, ["apache"]), "apache"), (text.has_phrase(c, ["@"]), "contact"), (text.has_word(c, ["und"]), "german")]
     return t.documents.select("doc_id", text.first_reason(rules).alias("reason"))
@@ -73,14 +73,14 @@ def keep_default(t: Tables) -> DataFrame:
 
 @query("SELECT page_id, regexp_extract(url, '^https?://([^/?#]+)', 1) AS host, regexp_extract(url, '^https?://[^/]+/([a-z]{2})/', 1) AS lang, regexp_extract(url, '[?&]page=([0-9]+)', 1) AS page FROM pages")
 def url_fields(t: Tables) -> DataFrame:
-    """S25, P34."""
+    """S25."""
     at = lambda p: F.regexp_extract("url", p, 1)
     return t.pages.select("page_id", at("^https?://([^/?#]+)").alias("host"), at("^https?://[^/]+/([a-z]{2})/").alias("lang"), at("[?&]page=([0-9]+)").alias("page"))
 
 
 @query("SELECT event_id, 'run ' || event_type AS said FROM events")
 def log_fields(t: Tables) -> DataFrame:
-    """A field with spaces in its value, out of a log line."""
+    """A field with spaces in its value, out of a log line."""
     line = F.concat(F.lit("id="), F.col("event_id"), F.lit(" said=run "), F.col("event_type"), F.lit(" k="), F.col("user_id"))
     return t.events.select("event_id", text.log_field(line, "said").alias("said"))
 
@@ -130,7 +130,7 @@ def display_payload(t: Tables) -> DataFrame:
 
 @query("SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN NULL ELSE CAST(p_size AS DOUBLE) END AS score, trim(lower(regexp_replace(p_name, '[^A-Za-z0-9]+', '-', 'g')), '-') AS slug FROM part")
 def safe_fields(t: Tables) -> DataFrame:
-    """P42, P44, A34."""
+    """P42, P44."""
     said = F.when(F.col("p_size") % 3 == 0, "n/a").otherwise(F.col("p_size").cast("string"))
     return t.part.select("p_partkey", records.safe_float(said).alias("score"), text.slug(F.col("p_name"), "object").alias("slug"))
 
@@ -164,7 +164,7 @@ def relative_paths(t: Tables) -> DataFrame:
 
 @query("SELECT 'kept' AS class, count(*) AS count FROM events WHERE user_id % 2 = 0 UNION ALL SELECT 'rejected', count(*) FROM events WHERE user_id % 2 = 1")
 def tolerant_parse(t: Tables) -> DataFrame:
-    """Good and bad lines of JSON."""
+    """Good and bad lines of JSON."""
     line = F.when(F.col("user_id") % 2 == 0, F.col("props")).otherwise(F.concat(F.lit("!"), F.col("props")))
     ok = F.from_json(line, "k int, _bad string", {"columnNameOfCorruptRecord": "_bad"})["_bad"].isNull()
     return stats.group_counts(t.events.select(F.when(ok, "kept").otherwise("rejected").alias("class")), ["class"])
@@ -172,6 +172,6 @@ def tolerant_parse(t: Tables) -> DataFrame:
 
 @query("SELECT DISTINCT CAST(o_orderkey AS VARCHAR) AS id FROM orders WHERE o_orderkey % 4 <> 0")
 def source_ids(t: Tables) -> DataFrame:
-    """S14, S15, S21-S23."""
+    """S14, S15, S23."""
     ids = t.orders.select(F.concat(F.col("o_orderkey").cast("string"), F.when(F.col("o_orderkey") % 4 == 0, "_edit_1").otherwise("")).alias("id"))
     return readers.source_ids(ids)
