@@ -16,8 +16,8 @@ the block, never by the corpus.
 
 What keeps blocks small: samples with the same whole context on both sides are counted
 first (combined before the shuffle), and repeat as a whole; a block gets one of them. A
-block with more contexts than `block_contexts` isn't gathered; its suffixes are counted by
-a hash of their `length` bytes instead, in a shuffle that splits evenly.
+block with more contexts than `block_contexts` is split into blocks of suffixes that share
+more bytes, again and again until each fits; then they are sorted like all others.
 """
 
 from __future__ import annotations
@@ -192,7 +192,7 @@ def _matrix(items: list[bytes], width: int) -> np.ndarray:
 
 
 def _sorted_blocks(contexts: DataFrame, length: int) -> DataFrame:
-    """contexts (gram, ctx, id, print, pos, left, around) -> repeated (id, print, start,
+    """contexts (block, ctx, n, id, print, pos, left, around) -> repeated (id, print, start,
     stop), for the contexts that occur once."""
 
     def block(seen: dict[int, list]) -> list[tuple]:
@@ -207,67 +207,88 @@ def _sorted_blocks(contexts: DataFrame, length: int) -> DataFrame:
         return [(r[1], r[2], r[3] - int(high[i]), r[3] + length - int(low[i])) for i, r in enumerate(rows) if r[0] == 1 and high[i] >= 0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gram, seen, found = None, {}, []
+        name, seen, found = None, {}, []
 
         def out() -> pa.RecordBatch:
             cols = list(zip(*found, strict=True)) or [[]] * 4
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["id", "print", "start", "stop"])
 
         for batch in batches:
-            for g, ctx, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if g != gram:
+            for at, ctx, times, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if at != name:
                     found += block(seen)
-                    gram, seen = g, {}
+                    name, seen = at, {}
                 n, held = seen.get(ctx, (0, row))
-                seen[ctx] = (n + 1, held if held[4] is not None else row)
+                seen[ctx] = (n + times, held if held[4] is not None else row)
             yield out()
             found = []
         found += block(seen)
         yield out()
 
-    rows = contexts.select("gram", "ctx", "id", "print", "pos", "left", "around").repartition("gram").sortWithinPartitions("gram")
+    rows = contexts.select("block", "ctx", "n", "id", "print", "pos", "left", "around").repartition("block").sortWithinPartitions("block")
     return rows.mapInArrow(run, "id long, print long, start long, stop long")
 
 
-def _hashed_block(contexts: DataFrame, length: int) -> DataFrame:
-    """The same for blocks too large for a task: a row for each suffix of each context."""
+def _halves(contexts: DataFrame, length: int) -> DataFrame:
+    """The contexts of overfull blocks in two blocks each, one for either half of the numbers
+    of bytes before the sample, low to high, at which the block's suffixes start. All strings
+    of a half hold the bytes from low before the sample to length - high after it; these name
+    the new block, so that it has fewer members. With one number left they are the whole
+    string, and the block has one context."""
+
+    def name(a: int, b: int, raw: bytes) -> bytes:
+        return hashlib.blake2b(b"%d %d " % (a, b) + raw, digest_size=16).digest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for gram, n, doc, pr, pos, left, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                starts = range(0, len(raw) - length + 1)
-                names = [hashlib.blake2b(raw[i : i + length], digest_size=16).digest() for i in starts]
-                m = len(names)
-                cols = [pa.array([v] * m, pa.int64()) for v in (gram, n, doc, pr)]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array([pos - left + i for i in starts], pa.int64()), pa.array([left - i for i in starts], pa.int64()), pa.array(names, pa.binary())], ["gram", "n", "id", "print", "start", "o", "name"])
+            out = []
+            for n, doc, pr, pos, left, raw, low, high in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                mid = (low + high) // 2
+                for a, b in (low, mid), (mid + 1, high):
+                    if a <= b and left >= a and len(raw) - left >= length - b:
+                        most = min(left, b)
+                        part = raw[left - most : left + length - a]
+                        out.append((name(a, b, raw[left - a : left + length - b]), name(most, a, part), n, doc, pr, pos, most, part, a, b))
+            cols = list(zip(*out, strict=True)) or [[]] * len(_TYPES)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _TYPES.values(), strict=True)], list(_TYPES))
+
+    rows = contexts.select("n", "id", "print", "pos", "left", "around", "low", "high")
+    return rows.mapInArrow(run, "block binary, ctx binary, n long, id long, print long, pos long, left int, around binary, low int, high int")
+
+
+_TYPES = {"block": pa.binary(), "ctx": pa.binary(), "n": pa.int64(), "id": pa.int64(), "print": pa.int64(), "pos": pa.int64(), "left": pa.int32(), "around": pa.binary(), "low": pa.int32(), "high": pa.int32()}
+
 
-    rows = contexts.select("gram", "n", "id", "print", "pos", "left", "around").mapInArrow(run, "gram long, n long, id long, print long, start long, o long, name binary")
-    rows = written(rows, "suffixes")
-    twice = rows.groupBy("gram", "o", "name").agg(F.count("*").alias("m")).filter("m > 1").drop("m")
-    return rows.filter("n = 1").join(twice, ["gram", "o", "name"], "left_semi").select("id", "print", "start", (F.col("start") + length).alias("stop"))
+def _combined(rows: DataFrame) -> DataFrame:
+    """One row a block and context, n summed; combined before the shuffle."""
+    firsts = [F.first(c, ignorenulls=c == "around").alias(c) for c in ("id", "print", "pos", "left", "around", "low", "high")]
+    return rows.groupBy("block", "ctx").agg(F.sum("n").alias("n"), *firsts)
 
 
 def repeated_intervals(texts: DataFrame, length: int, block_contexts: int) -> DataFrame:
     """texts (id, print, text) -> id, print, start, stop: together they cover the bytes that
-    go, and no others."""
+    go, and no others. Every block is sorted; one of more than block_contexts contexts is
+    halved first, at most log2(length) times."""
     samples = written(_scan(texts, length), "samples")
     classes = written(samples.groupBy("gram", "ctx").agg(F.count("*").alias("n")), "contexts")
     again = classes.filter("n > 1").select("gram", "ctx")
     whole = samples.filter(F.col("left") + F.col("right") >= length).join(again, ["gram", "ctx"], "left_semi")
-    whole = whole.select("id", "print", (F.col("pos") - F.col("left")).alias("start"), (F.col("pos") + F.col("right")).alias("stop"))
-    blocks = classes.groupBy("gram").agg(F.count("*").alias("contexts")).filter("contexts > 1")
-    blocks = written(blocks, "blocks")
-    wanted = _bitmap(blocks.select(F.shiftrightunsigned("gram", 64 - BITS).alias("cell")).distinct())
-    gathered = _gather(texts, length, wanted)
-    large = blocks.filter(F.col("contexts") > block_contexts).select("gram")
-    out = whole
-    if large.limit(1).count():
-        gathered = written(gathered, "gathered")
-        firsts = [F.first(c, ignorenulls=c == "around").alias(c) for c in ("id", "print", "pos", "left", "around")]
-        contexts = gathered.join(large, "gram", "left_semi").groupBy("gram", "ctx").agg(F.count("*").alias("n"), *firsts)
-        out = out.union(_hashed_block(contexts, length))
-        gathered = gathered.join(large, "gram", "left_anti")
-    return out.union(_sorted_blocks(gathered, length))
+    out = whole.select("id", "print", (F.col("pos") - F.col("left")).alias("start"), (F.col("pos") + F.col("right")).alias("stop"))
+    sizes = written(classes.groupBy(F.col("gram").alias("block")).agg(F.count("*").alias("contexts")).filter("contexts > 1"), "blocks")
+    wanted = _bitmap(sizes.select(F.shiftrightunsigned("block", 64 - BITS).alias("cell")).distinct())
+    rows = _gather(texts, length, wanted).withColumnRenamed("gram", "block")
+    rows = rows.withColumns({"n": F.lit(1).cast("long"), "low": F.lit(0), "high": F.lit(length - gram_of(length))})
+    while (large := sizes.filter(F.col("contexts") > block_contexts).select("block")).limit(1).count():
+        rows = written(rows, "gathered")
+        out = out.union(_sorted_blocks(rows.join(large, "block", "left_anti"), length))
+        halves = written(_halves(_combined(rows.join(large, "block", "left_semi")), length), "halves")
+        classes = written(halves.groupBy("block", "ctx").agg(F.sum("n").alias("n")), "contexts")
+        twice = halves.filter((F.col("n") == 1) & (F.octet_length("around") >= length)).join(classes.filter("n > 1"), ["block", "ctx"], "left_semi")
+        start = F.col("pos") - F.col("left")
+        out = out.union(twice.select("id", "print", start.alias("start"), (start + F.octet_length("around")).alias("stop")))
+        sizes = written(classes.groupBy("block").agg(F.count("*").alias("contexts")).filter("contexts > 1"), "blocks")
+        rows = _combined(halves.join(sizes.select("block"), "block", "left_semi"))
+    return out.union(_sorted_blocks(rows, length))
 
 
 def _cut(raw: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, bytes]:

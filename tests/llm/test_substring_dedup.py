@@ -40,12 +40,21 @@ def texts(seed):
     return rows
 
 
-@pytest.mark.parametrize(("seed", "length", "block"), [(1, 60, 20_000), (2, 100, 20_000), (3, 40, 20_000), (4, 80, 3)])
+@pytest.mark.parametrize(("seed", "length", "block"), [(1, 60, 20_000), (2, 100, 20_000), (3, 40, 20_000), (4, 80, 3), (5, 60, 1)])
 def test_equals_brute_force(spark, seed, length, block):
     rows = texts(seed)
     assert run(spark, rows, length, block_contexts=block) == brute(rows, length)
 
 
+@pytest.mark.parametrize("block", [2, 20_000])
+def test_one_passage_in_many_surroundings(spark, block):
+    r = random.Random(9)
+    some = lambda n: "".join(r.choice("abcdefgh") for _ in range(n))
+    core, heads, tails = some(45), [some(30) for _ in range(3)], [some(30) for _ in range(3)]
+    rows = [(i, some(r.randrange(20)) + r.choice(heads)[r.randrange(30) :] + core + r.choice(tails)[: r.randrange(30)] + some(r.randrange(20))) for i in range(80)]
+    assert run(spark, rows, 60, block_contexts=block) == brute(rows, 60)
+
+
 def test_large_blocks_equal_small_ones():
     r = np.random.default_rng(1)
     n, length = 60, 50
@@ -69,7 +78,7 @@ def test_large_blocks_equal_small_ones():
 
 
 def test_documents_and_empty(spark, sf_dir):
-    df = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(120)
+    df = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = [tuple(r) for r in df.select("doc_id", "text").collect()]
     assert run(spark, rows, 400) == brute(rows, 400)
     assert run(spark, [], 400) == []
