@@ -57,18 +57,18 @@ def prefix_length(n: int, percent: int) -> int:
     return n - required(n, percent) + 1
 
 
-def _cells(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - BITS)).astype(np.int64)
+def _cells(hashes: np.ndarray, bits: int = BITS) -> np.ndarray:
+    return (hashes >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def _has(bitmap: np.ndarray, cells: np.ndarray) -> np.ndarray:
     return (bitmap[cells >> 6] >> (cells & 63).astype(np.uint64)) & np.uint64(1) != 0
 
 
-def _bitmap(cells: DataFrame):
-    """cells (cell) -> a broadcast of 2**BITS bits. The words are made by Spark."""
+def _bitmap(cells: DataFrame, bits: int = BITS):
+    """cells (cell) -> a broadcast of 2**bits bits. The words are made by Spark."""
     words = cells.groupBy(F.expr("shiftright(cell, 6)").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(cell & 63 as int)))").alias("bits")).toArrow()
-    out = np.zeros(1 << (BITS - 6), np.uint64)
+    out = np.zeros(1 << (bits - 6), np.uint64)
     out[words["word"].to_numpy().astype(np.int64)] = words["bits"].to_numpy().astype(np.int64).view(np.uint64)
     return cells.sparkSession.sparkContext.broadcast(out)
 

@@ -32,12 +32,14 @@ from pyspark.sql import functions as F
 
 from .common import small_batches, written
 from .hashing import POWERS, U, pieces, prefix_sums, scramble
-from .jaccard_join import BITS, _bitmap, _cells, _has
+from .jaccard_join import _bitmap, _cells, _has
 
 NONE_ID = -(1 << 63)
 #: Blocks up to so many contexts compare all of them at once.
 SMALL = 24
 _MASK = U((1 << 24) - 1)
+#: 2**BITS cells of each bitmap (16 MB). A cell set by chance only lets a row through.
+BITS = 27
 #: Contexts that a task remembers having sent.
 REMEMBERED = 1_000_000
 
@@ -112,35 +114,48 @@ def _scan(texts: DataFrame, length: int) -> DataFrame:
     return texts.mapInArrow(run, "id long, print long, pos long, left int, right int, gram long, ctx long")
 
 
-def _gather(texts: DataFrame, length: int, wanted) -> DataFrame:
-    """The samples whose gram's bit is set, with the bytes around them. A task sends a context
-    once with its bytes, and once more without them when it meets it again: that it repeats
-    is all that counts."""
+def _cell(name: str):
+    return F.shiftrightunsigned(name, 64 - BITS)
+
+
+def _marked(bitmap):
+    """Column -> Column: is the cell's bit set?"""
+
+    @F.pandas_udf("boolean")
+    def marked(cells):
+        import pandas as pd
+
+        return pd.Series(_has(bitmap.value, cells.to_numpy()))
+
+    return marked
+
+
+def _gather(texts: DataFrame, length: int, wanted, senders) -> DataFrame:
+    """The samples whose gram's bit is set in wanted, with the bytes around them, from the text
+    that senders names for their context: one of equal contexts is enough, as the others
+    repeat as a whole. What a task has sent it doesn't send again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once, twice = set(), set()
+        sent = set()
         for batch in batches:
             ids, prints = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for first, text, pos, left, right, gram, ctx, data, at in _contexts(batch.column(2).to_pylist(), length):
+                named = _cells(ctx, BITS) ^ (ids[first + text] & ((1 << BITS) - 1))
                 keep = []
-                for i in np.flatnonzero(_has(wanted.value, _cells(gram))).tolist():
-                    name = (gram[i], ctx[i])
-                    if name not in once:
-                        once.add(name)
-                        keep.append((i, True))
-                    elif name not in twice:
-                        twice.add(name)
-                        keep.append((i, False))
-                if len(once) > REMEMBERED:
-                    once, twice = set(), set()
+                for i in np.flatnonzero(_has(wanted.value, _cells(gram, BITS)) & _has(senders.value, named)).tolist():
+                    if (gram[i], ctx[i]) not in sent:
+                        sent.add((gram[i], ctx[i]))
+                        keep.append(i)
+                if len(sent) > REMEMBERED:
+                    sent = set()
                 raw = data.tobytes()
-                around = [raw[at[i] - left[i] : at[i] + right[i]] if whole else None for i, whole in keep]
-                keep = np.array([i for i, _ in keep], np.int64)
+                around = [raw[at[i] - left[i] : at[i] + right[i]] for i in keep]
+                keep = np.array(keep, np.int64)
                 doc = first + text[keep]
                 cols = [ids[doc], prints[doc], pos[keep], left[keep].astype(np.int32), gram[keep].view(np.int64), ctx[keep].view(np.int64)]
-                yield pa.RecordBatch.from_arrays([*[pa.array(c) for c in cols], pa.array(around, pa.binary())], ["id", "print", "pos", "left", "gram", "ctx", "around"])
+                yield pa.RecordBatch.from_arrays([*[pa.array(c) for c in cols], pa.array(around, pa.binary())], ["id", "print", "pos", "left", "block", "ctx", "around"])
 
-    return texts.mapInArrow(run, "id long, print long, pos long, left int, gram long, ctx long, around binary")
+    return texts.mapInArrow(run, "id long, print long, pos long, left int, block long, ctx long, around binary")
 
 
 def _ranks(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -219,7 +234,7 @@ def _sorted_blocks(contexts: DataFrame, length: int) -> DataFrame:
                     found += block(seen)
                     name, seen = at, {}
                 n, held = seen.get(ctx, (0, row))
-                seen[ctx] = (n + times, held if held[4] is not None else row)
+                seen[ctx] = (n + times, held)
             yield out()
             found = []
         found += block(seen)
@@ -261,22 +276,30 @@ _TYPES = {"block": pa.binary(), "ctx": pa.binary(), "n": pa.int64(), "id": pa.in
 
 def _combined(rows: DataFrame) -> DataFrame:
     """One row a block and context, n summed; combined before the shuffle."""
-    firsts = [F.first(c, ignorenulls=c == "around").alias(c) for c in ("id", "print", "pos", "left", "around", "low", "high")]
+    firsts = [F.first(c).alias(c) for c in ("id", "print", "pos", "left", "around", "low", "high")]
     return rows.groupBy("block", "ctx").agg(F.sum("n").alias("n"), *firsts)
 
 
+def _mixed(classes: DataFrame) -> DataFrame:
+    """block, contexts: blocks of several contexts, of which one at least isn't known to repeat."""
+    return classes.groupBy("block").agg(F.count("*").alias("contexts"), F.min("n").alias("least")).filter("contexts > 1 and least = 1").drop("least")
+
+
 def repeated_intervals(texts: DataFrame, length: int, block_contexts: int) -> DataFrame:
     """texts (id, print, text) -> id, print, start, stop: together they cover the bytes that
     go, and no others. Every block is sorted; one of more than block_contexts contexts is
     halved first, at most log2(length) times."""
     samples = written(_scan(texts, length), "samples")
-    classes = written(samples.groupBy("gram", "ctx").agg(F.count("*").alias("n")), "contexts")
+    classes = written(samples.groupBy("gram", "ctx").agg(F.count("*").alias("n"), F.min("id").alias("id")), "contexts")
     again = classes.filter("n > 1").select("gram", "ctx")
-    whole = samples.filter(F.col("left") + F.col("right") >= length).join(again, ["gram", "ctx"], "left_semi")
+    often = _marked(_bitmap(again.select(_cell("ctx").alias("cell")).distinct(), BITS))
+    whole = samples.filter(often(_cell("ctx"))).join(again, ["gram", "ctx"], "left_semi")
     out = whole.select("id", "print", (F.col("pos") - F.col("left")).alias("start"), (F.col("pos") + F.col("right")).alias("stop"))
-    sizes = written(classes.groupBy(F.col("gram").alias("block")).agg(F.count("*").alias("contexts")).filter("contexts > 1"), "blocks")
-    wanted = _bitmap(sizes.select(F.shiftrightunsigned("block", 64 - BITS).alias("cell")).distinct())
-    rows = _gather(texts, length, wanted).withColumnRenamed("gram", "block")
+    sizes = written(_mixed(classes.select(F.col("gram").alias("block"), "n")), "blocks")
+    wanted = _bitmap(sizes.select(_cell("block").alias("cell")).distinct(), BITS)
+    sender = _cell("ctx").bitwiseXOR(F.col("id").bitwiseAND(F.lit((1 << BITS) - 1)))
+    senders = _bitmap(classes.filter(_marked(wanted)(_cell("gram"))).select(sender.alias("cell")).distinct(), BITS)
+    rows = _gather(texts, length, wanted, senders)
     rows = rows.withColumns({"n": F.lit(1).cast("long"), "low": F.lit(0), "high": F.lit(length - gram_of(length))})
     while (large := sizes.filter(F.col("contexts") > block_contexts).select("block")).limit(1).count():
         rows = written(rows, "gathered")
@@ -286,7 +309,7 @@ def repeated_intervals(texts: DataFrame, length: int, block_contexts: int) -> Da
         twice = halves.filter((F.col("n") == 1) & (F.octet_length("around") >= length)).join(classes.filter("n > 1"), ["block", "ctx"], "left_semi")
         start = F.col("pos") - F.col("left")
         out = out.union(twice.select("id", "print", start.alias("start"), (start + F.octet_length("around")).alias("stop")))
-        sizes = written(classes.groupBy("block").agg(F.count("*").alias("contexts")).filter("contexts > 1"), "blocks")
+        sizes = written(_mixed(classes), "blocks")
         rows = _combined(halves.join(sizes.select("block"), "block", "left_semi"))
     return out.union(_sorted_blocks(rows, length))
 
@@ -322,16 +345,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = rows.withColumn("print", F.xxhash64("text")).select("id", "print", "text")
     found = repeated_intervals(rows.filter(F.octet_length("text") >= length), length, block_contexts)
     spans = written(found.groupBy("id", "print").agg(F.collect_set(F.struct("start", "stop")).alias("spans")), "spans")
-    cell = F.shiftrightunsigned(F.xxhash64("id", "print"), 64 - BITS).alias("cell")
-    touched = _bitmap(spans.select(cell).distinct())
-
+    cell = F.shiftrightunsigned(F.xxhash64("id", "print"), 64 - BITS)
     # Only documents with something to remove move; a bit set by chance just moves one more.
-    @F.pandas_udf("boolean")
-    def marked(cells):
-        import pandas as pd
-
-        return pd.Series(_has(touched.value, cells.to_numpy()))
-
+    marked = _marked(_bitmap(spans.select(cell.alias("cell")).distinct(), BITS))
     rows = rows.withColumn("moves", marked(cell))
     schema = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_bytes else "")
 
