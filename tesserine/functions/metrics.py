@@ -109,3 +109,45 @@ def consistency(scores: Column, how: str) -> Column:
     """One score from those of the views that are there."""
     values = F.filter(F.map_values(scores), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     return {"max": F.array_max(values), "min": F.array_min(values), "mean": F.when(F.size(values) > 0, _mean(values))}[how]
+
+
+# Where the sides of a model face.
+NORMALS = {"front": (0, -1, 0), "back": (0, 1, 0), "left": (1, 0, 0), "right": (-1, 0, 0), "top": (0, 0, 1), "bottom": (0, 0, -1)}
+
+
+def front_rotation(side: Column) -> Column:
+    """The matrix, as rows, that turns the side to the front and keeps the top up (the
+    back, where the top or bottom turns); null for another name. The side, its upward
+    direction and their product go to front, top and theirs, so the rows are those three."""
+
+    def rows(name: str) -> Column:
+        f, u = NORMALS[name], NORMALS["back" if name in ("top", "bottom") else "top"]
+        cross = (f[1] * u[2] - f[2] * u[1], f[2] * u[0] - f[0] * u[2], f[0] * u[1] - f[1] * u[0])
+        return F.array(*[F.array(*[F.lit(float(s * x)) for x in v]) for s, v in ((-1, cross), (-1, f), (1, u))])
+
+    return F.create_map(*[c for n in NORMALS for c in (F.lit(n), rows(n))])[side]
+
+
+def decision_fault(side: Column, confidence: Column, reason: Column, least: float) -> Column:
+    """The first thing wrong with a decision, null if it is sound."""
+    return (
+        F.when(side.isNull() | confidence.isNull() | reason.isNull(), "missing field")
+        .when(~side.isin(*NORMALS), "unknown side")
+        .when(confidence < least, "confidence too low")
+        .when((confidence > 1) | F.isnan(confidence), "confidence above 1")
+    )
+
+
+def checked_decision(side: Column, confidence: Column, reason: Column, least: float) -> Column:
+    """The decision, its reason trimmed; an unsound one fails the query."""
+    fault = decision_fault(side, confidence, reason, least)
+    sound = F.struct(side.alias("side"), confidence.cast("double").alias("confidence"), F.trim(reason).alias("reason"))
+    return F.when(fault.isNull(), sound).otherwise(F.raise_error(fault))
+
+
+def slot_views(scores: Column) -> Column:
+    """W15, M21 without choice of views: scores maps the views that are there to their score.
+    Each slot takes its own view; without a front the best view does, the first of equals."""
+    entries = F.transform(F.map_entries(scores), lambda e, i: F.struct(e["value"].alias("score"), (-i).alias("at"), e["key"].alias("view")))
+    own = lambda s: F.when(F.map_contains_key(scores, s), F.lit(s))
+    return F.struct(F.coalesce(own("front"), F.array_max(entries)["view"]).alias("front"), *[own(s).alias(s) for s in ("left", "back", "right")])

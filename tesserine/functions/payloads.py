@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .records import VIEWS, optional_text, strict
-from .text import first_reason, first_text, legality_reject_reason
+from .text import clean, first_reason, first_text, legality_reject_reason
 
 # Statuses of prompts, providers, edit modes, verdict words, legality categories.
 PROMPT_STATUSES = ["pending", "completed", "failed", "deleted", "running"]
@@ -208,3 +208,70 @@ def export_candidates(edits: DataFrame, files: DataFrame, images: DataFrame, fai
     rows = rows.withColumn("dir", F.concat(F.lit("models_src/"), "model_id", F.lit("_edit_"), "edit_id")).join(first, "dir")
     known = images.filter((F.col("category") != "") & (F.col("object_name") != "")).select("model_id", "category", "object_name")
     return rows.join(known, "model_id").select("model_id", "edit_id", "category", "object_name", "instruction", "source_provider_id", F.regexp_extract("_glb", r"^model_(.*)\.glb$", 1).alias("target_provider_id"), "source_glb", F.concat_ws("/", "dir", "_glb").alias("target_glb"))
+
+
+def instruction_text(item: Column, is_text: bool = False) -> Column:
+    """Of a text, or of a struct with the field text; missing is empty."""
+    return F.coalesce(clean(item if is_text else item["text"]), F.lit(""))
+
+
+def instruction_item(text: Column, display: Column) -> Column:
+    """The item's own text, or the one on display where it has none."""
+    return F.coalesce(F.nullif(text, F.lit("")), display)
+
+
+def with_display(df: DataFrame, display: Column, text: str) -> DataFrame:
+    """All fields of the struct display as columns, and its field `text` in place of
+    instruction."""
+    fields = df.select(display.alias("d")).schema["d"].dataType.names
+    return df.withColumns({**{f: display[f] for f in fields}, "instruction": display[text]})
+
+
+def manifest_items(manifest: DataFrame) -> DataFrame:
+    """Schema, item: a row an item of the list triplets, else samples; a table with
+    neither fails."""
+    lists = {f.name for f in manifest.schema.fields if f.dataType.typeName() == "array"}
+    for schema in ("triplets", "samples"):
+        if schema in lists:
+            return manifest.select(F.lit(schema).alias("schema"), F.explode(schema).alias("item"))
+    raise ValueError("a manifest has a list of triplets or of samples")
+
+
+def item_id(schema: Column, item: dict[str, Column]) -> Column:
+    """Source and edit of a triplet, else the first id that isn't empty, else unknown."""
+    of = lambda k: F.nullif(item.get(k, F.lit(None)).cast("string"), F.lit(""))
+    pair = F.when(of("source_model_id").isNotNull() & of("edit_id").isNotNull(), F.concat(of("source_model_id"), F.lit("_edit_"), of("edit_id")))
+    triplet = F.coalesce(pair, of("target_model_id"), F.lit("unknown"))
+    return F.when(schema == "triplets", triplet).otherwise(F.coalesce(of("sample_id"), of("target_model_id"), of("model_id"), F.lit("unknown")))
+
+
+def quality_meta(enabled: Column, method: Column, checker: Column, result: Column, detail: dict[str, Column], at: Column, error: Column) -> Column:
+    """Result is a struct with status, reason, raw_response; null where no check ran, which
+    counts as passed. Only the grid method has raw_response, only the other two a detail, and of
+    its fields only two_stage_recon has diff_result and judge_result, only unified_judge has
+    unified_result."""
+    ran = result.isNotNull()
+    two, unified = method == "two_stage_recon", method == "unified_judge"
+    own = {"diff_result": two, "judge_result": two, "unified_result": unified}
+    fields = [(F.when(own[k], c) if k in own else c).alias(k) for k, c in detail.items()]
+    return F.struct(
+        enabled.alias("enabled"),
+        method.alias("method"),
+        F.when(ran, result["status"]).otherwise("passed").alias("status"),
+        F.when(ran, result["reason"]).otherwise("quality check disabled").alias("reason"),
+        checker.alias("checker"),
+        at.alias("checked_at"),
+        F.coalesce(error, F.lit("")).alias("error_message"),
+        F.when(ran & (method == "grid_vlm"), result["raw_response"]).alias("raw_response"),
+        F.when(ran & (two | unified), F.struct(*fields)).alias("stage_edit_correctness"),
+    )
+
+
+def index_entry(row: dict[str, Column]) -> Column:
+    """Flags from numbers, the list of batches from JSON text (empty where it can't be
+    read), and whether edits lack a target; the other fields as they are."""
+    flags = ("has_views", "has_instructions", "has_edits")
+    lacks = row["has_edits"].cast("boolean") & (row["target_ready_count"] < row["edit_count"])
+    batches = F.coalesce(F.from_json(row["edited_batches_json"], "array<string>"), F.array().cast("array<string>"))
+    rest = [(F.coalesce(c.cast("boolean"), F.lit(False)) if k in flags else c).alias(k) for k, c in row.items() if k != "edited_batches_json"]
+    return F.struct(*rest, batches.alias("edited_batches"), F.coalesce(lacks, F.lit(False)).alias("edits_without_target"))

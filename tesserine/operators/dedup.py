@@ -65,3 +65,16 @@ def capped_work(candidates: DataFrame, done: DataFrame, keys: Sequence[str], gro
     marked = marked.withColumn("_skip", skip)
     rank = F.row_number().over(Window.partitionBy(*group, "_skip").orderBy(*order))
     return marked.withColumn("label", F.when(F.col("_skip"), "skip").when(rank <= cap, "run").otherwise("limited")).drop("_done", "_skip")
+
+
+def edits_to_delete(edits: DataFrame, instructions: DataFrame, views: int = 6, limits: dict[str, int] | None = None, above: int = 4) -> DataFrame:
+    """model_id, edit_id, reason. edits (model_id, edit_id, png_count, instruction) go that
+    lack views, and of the rest those whose instruction isn't one that its model keeps of
+    instructions (model_id, kind, text, pos); an edit without an instruction or a model
+    without any says nothing. A model keeps `above` texts at most, so its list is short."""
+    kept = quota(instructions, ["model_id"], "kind", [F.col("pos")], limits or {"remove": 2, "replace": 2}, above)
+    kept = kept.groupBy("model_id").agg(F.collect_set(F.trim(F.coalesce("text", F.lit("")))).alias("_kept"))
+    orphan = (F.col("instruction") != "") & (F.size("_kept") > 0) & ~F.array_contains("_kept", F.col("instruction"))
+    few = F.coalesce("png_count", F.lit(0)) != views
+    told = F.when(few, F.concat(F.lit("Incomplete: "), F.coalesce("png_count", F.lit(0)).cast("string"), F.lit(f"/{views} views"))).when(orphan, "Orphan: instruction not in kept list")
+    return edits.join(kept, "model_id", "left").select("model_id", "edit_id", told.alias("reason")).filter("reason IS NOT NULL")

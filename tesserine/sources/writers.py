@@ -145,3 +145,12 @@ def manifest_issues(samples: DataFrame, files: DataFrame, metas: DataFrame, view
     )
     found = gone.union(told.select("sample_id", F.explode(of_row).alias("issue"))).groupBy("sample_id").agg(F.array_sort(F.collect_set("issue")).alias("issues"))
     return samples.select("sample_id").join(found, "sample_id", "left").withColumn("issues", F.coalesce("issues", F.array().cast("array<string>")))
+
+
+def write_export(head: DataFrame, samples: DataFrame, root: str, name: str, day: str) -> str:
+    """The folder of a dated export: one document, manifest.json, and a line a sample in
+    manifest.jsonl. The samples are in the lines only, as they don't fit a document."""
+    out = f"{root}/exports/{name}_{day}"
+    write_jsonl(samples, f"{out}/manifest.jsonl")
+    write_document(head, f"{out}/manifest.json")
+    return out

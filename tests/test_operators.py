@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tesserine.functions import metrics as M
+from tesserine.functions import payloads
 from tesserine.functions import records as R
 from tesserine.functions import text as T
 from tesserine.operators import dedup, nearest, planning, search, stats
@@ -209,3 +210,14 @@ def test_nearest(spark):
     to_b = [min(math.dist((i, 0), q) for q in ((0, 3), (5, 0))) for i in range(4)]
     to_a = [3.0, 2.0]
     assert abs(row["chamfer"] - (sum(to_b) / 4 + sum(to_a) / 2)) < 1e-12 and row["hausdorff"] == max(*to_b, *to_a)
+
+
+def test_faults_fail(spark):
+    ok = F.lit("left"), F.lit(0.9), F.lit(" seen ")
+    assert one(spark, M.checked_decision(*ok, 0.5))["reason"] == "seen"
+    with pytest.raises(Exception, match="confidence too low"):
+        one(spark, M.checked_decision(F.lit("left"), F.lit(0.1), F.lit(""), 0.5))
+    with pytest.raises(ValueError, match="manifest"):
+        payloads.manifest_items(spark.createDataFrame([(1,)], "triplets int"))
+    assert one(spark, payloads.instruction_text(F.lit(None).cast("string"), True)) == ""
+    assert one(spark, M.front_rotation(F.lit("odd"))) is None

@@ -106,3 +106,11 @@ def test_reconcile(spark):
     gone = incremental.refresh_one(old, snap, "id", "c", lambda df: df.withColumn("body", F.lit("new")))
     assert {r["id"] for r in gone.collect()} == {"a", "b"}
     assert incremental.versioned(spark, old, 1, 2).count() == 0
+
+
+def test_export_of_a_day(spark, tmp_path):
+    head = spark.createDataFrame([("set", 2)], "name string, samples long")
+    samples = spark.createDataFrame([(1, "a"), (2, "b")], "id long, text string")
+    out = writers.write_export(head, samples, str(tmp_path), "set", "2024-01-02")
+    assert out.endswith("exports/set_2024-01-02")
+    assert spark.read.json(f"{out}/manifest.json").first()["samples"] == 2 and spark.read.json(f"{out}/manifest.jsonl").count() == 2
