@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, jaccard_join, line_dedup, mixing, pii, quality_crf, secrets, substring_dedup, warc
+from . import decontaminate, exact_dedup, jaccard_join, line_dedup, mixing, pii, quality_crf, secrets, sharding, substring_dedup, vector_codes, warc, word_runs
 from .common import table
 
 
@@ -50,8 +50,20 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.query(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.query(table(spark, sf_dir, "embeddings"))
+
+
+def op12_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_runs.query(table(spark, sf_dir, "documents"))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.query(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_crf, op2_line_dedup, op3_suffix_dedup, op4_exact_dedup, op5_jaccard_join, op6_secret_scan, op7_mix_sources, op8_decontaminate, op9_warc, op10_pii)}
+    return {f.__name__: f for f in (op1_quality_crf, op2_line_dedup, op3_suffix_dedup, op4_exact_dedup, op5_jaccard_join, op6_secret_scan, op7_mix_sources, op8_decontaminate, op9_warc, op10_pii, op11_vector_codes, op12_word_runs, op13_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
