@@ -158,6 +158,8 @@ def z_values(words: np.ndarray, at: np.ndarray, period: np.ndarray, bound: np.nd
 def fragments(words: np.ndarray, begins: np.ndarray, least_words: int = LEAST_WORDS, folds: int = LEAST_FOLDS) -> tuple[np.ndarray, ...]:
     """(document, period, start, end), start and end counted in the document, of all that tiles
     show of runs. words: those of all documents in turn."""
+    if folds < OVERLAP:
+        raise ValueError("tiles show only runs of at least OVERLAP periods")
     lengths = np.diff(begins)
     out: list[tuple[np.ndarray, ...]] = []
     longest = int(lengths.max(initial=0))
@@ -175,9 +177,12 @@ def fragments(words: np.ndarray, begins: np.ndarray, least_words: int = LEAST_WO
                 names[octave - 2] = names[octave - 2][:0]
         doc, lo, hi = tiles(lengths, begins[:-1], size, max(least_words, folds * size))
         tile, period, start, end = solve(words, names, octave, lo, hi, least_prime)
-        # what doesn't reach the edge of its tile is whole
+        # what doesn't reach the edge of its tile is whole; what does, and is shorter than the
+        # overlap, is an end of a run that the neighbouring tile holds
         cut = (start == lo[tile]) & (lo[tile] > begins[doc[tile]]) | (end == hi[tile]) & (hi[tile] < begins[doc[tile] + 1])
-        true = agrees(words, start, end, period) & (cut | (end - start >= np.maximum(least_words, folds * period)))
+        long = end - start >= np.where(cut, OVERLAP * size, np.maximum(least_words, folds * period))
+        tile, period, start, end = tile[long], period[long], start[long], end[long]
+        true = agrees(words, start, end, period)
         tile, period, start, end = tile[true], period[true], start[true], end[true]
         out.append((doc[tile], period, start - begins[doc[tile]], end - begins[doc[tile]]))
         octave += 1
