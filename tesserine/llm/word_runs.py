@@ -29,8 +29,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .common import written
 from .hashing import scramble
@@ -39,8 +40,8 @@ from .hashing import scramble
 #: any LEAST_FOLDS * 2P words of period under 2P need an overlap of 4P, and hold a block.
 LEAST_WORDS, LEAST_FOLDS = 6, 4
 STRIDE, OVERLAP = 12, 4
-#: Words that are worked on together: documents are taken until so many, a longer one alone.
-PIECE_WORDS = 1 << 19
+#: Documents are worked on together up to so many bytes, a longer one alone.
+PIECE_BYTES = 1 << 21
 
 NO_WORDS = np.empty(0, np.int64)
 
@@ -198,13 +199,14 @@ def agrees(words: np.ndarray, start: np.ndarray, end: np.ndarray, period: np.nda
     return out
 
 
-def pieces(begins: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges of documents of about PIECE_WORDS words."""
+def pieces(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about PIECE_BYTES."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     lo = 0
-    for i in range(1, len(begins)):
-        if i == len(begins) - 1 or begins[i + 1] - begins[lo] > PIECE_WORDS:
-            yield lo, i
-            lo = i
+    while lo < len(sizes):
+        hi = max(lo + 1, int(np.searchsorted(sizes, (sizes[lo - 1] if lo else 0) + PIECE_BYTES, "right")))
+        yield lo, hi
+        lo = hi
 
 
 def sha256(text: str) -> str:
@@ -217,26 +219,25 @@ def scanned(docs: DataFrame, kind: str, plant: bool) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists, numbers, begins = words_of(batch.column("text"))
-            sums = batch.column("h").to_pylist()
-            for lo, hi in pieces(begins):
-                some, edges = numbers[begins[lo] : begins[hi]], begins[lo : hi + 1] - begins[lo]
-                put = {i: at for i in range(lo, hi) if plant and (at := planted(int(begins[i + 1] - begins[i]), sums[i])) is not None}
+            for lo, hi in pieces(batch.column("text")):
+                lists, numbers, begins = words_of(batch.column("text").slice(lo, hi - lo))
+                sums = batch.column("h").slice(lo, hi - lo).to_pylist()
+                put = {i: at for i, n in enumerate(np.diff(begins).tolist()) if plant and (at := planted(n, sums[i])) is not None}
                 if put:
-                    some = some.copy()
+                    numbers = numbers.copy()
                 for i, at in put.items():
-                    mine = some[edges[i - lo] : edges[i - lo + 1]]
+                    mine = numbers[begins[i] : begins[i + 1]]
                     mine[:] = mine[at]
-                doc, period, start, end = fragments(some, edges)
+                doc, period, start, end = fragments(numbers, begins)
                 by = np.argsort(doc, kind="stable")
                 held, at = np.unique(doc[by], return_index=True)
                 found = dict(zip(held.tolist(), np.split(by, at[1:]), strict=True)) if len(held) else {}
                 rows = []
-                for i in range(lo, hi):
+                for i in range(hi - lo):
                     words = lists[i].values
                     words = words.take(pa.array(put[i])) if i in put else words
                     text = " ".join(words.to_pylist())
-                    if (at := found.get(i - lo)) is None:
+                    if (at := found.get(i)) is None:
                         rows.append((len(words), sha256(text), None, []))
                     else:
                         rows.append((len(words), None, text, [{"period": q, "start": s, "end": e} for q, s, e in zip(period[at].tolist(), start[at].tolist(), end[at].tolist(), strict=True)]))
@@ -259,23 +260,23 @@ def stitched(fragments: DataFrame, least_words: int = LEAST_WORDS, folds: int =
 
 
 def collapsed(rows: DataFrame) -> DataFrame:
-    """rows (row, words, runs) -> row, collapsed: the words less those that a run holds after
-    its first period."""
+    """rows (words, runs, ...) -> the same with collapsed in place of words: the words less
+    those that a run holds after its first period."""
+    kept = [f for f in rows.schema.fields if f.name != "words"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for text, runs in zip(batch.column("words").to_pylist(), batch.column("runs").to_pylist(), strict=True):
-                words = text.split(" ") if text else []
+            for text, runs in zip(batch.column("words"), batch.column("runs").to_pylist(), strict=True):
+                words = text.as_py().split(" ")
                 change = np.zeros(len(words) + 1, np.int64)
                 for r in runs or []:
                     change[r["start"] + r["period"]] += 1
                     change[r["start"] + r["length"]] -= 1
-                kept = np.flatnonzero(np.cumsum(change)[:-1] == 0)
-                out.append(" ".join([words[i] for i in kept.tolist()]))
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.string())], ["row", "collapsed"])
+                out.append(" ".join([words[i] for i in np.flatnonzero(np.cumsum(change)[:-1] == 0).tolist()]))
+            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in kept], pa.array(out, pa.string())], [*[f.name for f in kept], "collapsed"])
 
-    return rows.mapInArrow(run, "row long, collapsed string")
+    return rows.mapInArrow(run, StructType([*kept, StructField("collapsed", StringType())]))
 
 
 def run_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", plant: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -301,25 +302,29 @@ def collapse(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     raw = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     raw = written(raw, "texts")
     seen, runs = run_table(raw.select(F.struct("row", "doc_id").alias("id"), "text"), "id", "text")
-    cut = collapsed(seen.join(runs, "row").select("row", "words", "runs"))
+    cut = collapsed(seen.join(runs, "row").select("doc_id", "words", "runs"))
     spaced = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+", " "))
-    of = seen.select(F.col("doc_id.row").alias("source_row"), "row").join(cut, "row")
-    return raw.join(of.select(F.col("source_row").alias("row"), "collapsed"), "row", "left").select("doc_id", F.coalesce("collapsed", spaced).alias("text"))
+    return raw.join(cut.select("doc_id.row", "collapsed"), "row", "left").select("doc_id", F.coalesce("collapsed", spaced).alias("text"))
 
 
 def query(docs: DataFrame) -> DataFrame:
     """doc_id, n_runs, start, length, period, exponent_milli, runs_sha256, collapsed_sha256:
     one row a document, of the words with planted repeats."""
     seen, runs = run_table(docs, plant=True)
-    held = seen.filter("words is not null").select("row", "words").join(runs, "row", "left")
-    cut = collapsed(held).select("row", F.sha2("collapsed", 256).alias("cut_sha256"))
-    first: Column = F.element_at(F.transform(F.array_sort(F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("s"), r["period"].alias("p")))), lambda r: F.struct(r["s"].alias("start"), (-r["l"]).alias("length"), r["p"].alias("period"))), 1)
-    lines = F.array_join(F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n"))), "")
-    told = runs.select("row", F.size("runs").cast("long").alias("n_runs"), first.alias("top"), F.sha2(lines, 256).alias("runs_sha256"))
-    more = cut.join(told, "row", "left")
-    whole = seen.filter("words is null").select("doc_id", F.lit(0).cast("long").alias("n_runs"), F.lit(None).cast("struct<start: long, length: long, period: long>").alias("top"), F.lit(None).cast("string").alias("runs_sha256"), "collapsed_sha256")
-    rest = seen.filter("words is not null").select("row", "doc_id").join(more, "row").select("doc_id", F.coalesce("n_runs", F.lit(0).cast("long")).alias("n_runs"), "top", "runs_sha256", F.col("cut_sha256").alias("collapsed_sha256"))
-    out = whole.unionByName(rest)
-    none = hashlib.sha256(b"").hexdigest()
-    exponent = F.floor(1000 * F.col("top.length") / F.col("top.period")).cast("long")
-    return out.select("doc_id", "n_runs", "top.start", "top.length", "top.period", exponent.alias("exponent_milli"), F.coalesce("runs_sha256", F.lit(none)).alias("runs_sha256"), "collapsed_sha256")
+    cut = collapsed(seen.filter("words is not null").select("row", "doc_id", "words").join(runs, "row", "left"))
+    cut = cut.select("doc_id", "runs", F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    whole = seen.filter("words is null").select("doc_id", F.lit(None).cast(runs.schema["runs"].dataType).alias("runs"), "collapsed_sha256")
+    rows = whole.unionByName(cut).withColumn("runs", F.coalesce("runs", F.array().cast(runs.schema["runs"].dataType)))
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    top = rows.withColumn("top", longest)
+    return top.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "top.start",
+        (-F.col("top.less")).alias("length"),
+        "top.period",
+        F.expr("1000 * -top.less div top.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", F.transform(lines, lambda x: F.concat(x, F.lit("\n")))), 256).alias("runs_sha256"),
+        "collapsed_sha256",
+    )

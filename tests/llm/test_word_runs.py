@@ -73,9 +73,9 @@ def some_text(r, n):
     return " ".join(out)
 
 
-@pytest.mark.parametrize("piece", [1 << 19, 100])
+@pytest.mark.parametrize("piece", [1 << 21, 100])
 def test_equals_plain_loops(spark, monkeypatch, piece):
-    monkeypatch.setattr(word_runs, "PIECE_WORDS", piece)
+    monkeypatch.setattr(word_runs, "PIECE_BYTES", piece)
     r = random.Random(12)
     rows = [(i, some_text(r, r.randrange(1, 260))) for i in range(400)]
     rows += [(1000 + i, " ".join(r.choice("ab") for _ in range(r.randrange(1, 120)))) for i in range(200)]
