@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import assets, lists, rules, schemas, statistics
+from . import assets, lists, pixels, rules, runs, schemas, statistics
 from .base import QUERIES, SQL
 
-__all__ = ["assets", "lists", "oracle_sql", "queries", "rules", "schemas", "statistics"]
+__all__ = ["assets", "lists", "oracle_sql", "pixels", "queries", "rules", "runs", "schemas", "statistics"]
 
 
 def queries():
