@@ -1,7 +1,7 @@
 """Line deduplication by site-relative frequency (operator 2).
 
-A line is boilerplate on a host when the share of the host's pages that contain it is
-above `ratio`, and at least `min_pages` pages do. Only DataFrame functions. Lines are
+A line is boilerplate on a host when it is repeated, that is, on two pages at least, and the
+share of the host's pages that contain it is above `ratio`. Only DataFrame functions. Lines are
 counted by 64-bit hash, once a page, and combined before the shuffle, so a line on every
 page of a host costs a row a task. The lines of a host above the ratio number at most its
 mean lines a page over the ratio, so one array a host holds them.
@@ -19,6 +19,11 @@ BROADCAST_LINES = 100_000
 EDGE = " \t\r\x0b\x0c"
 
 
+def host_of(url: Column) -> Column:
+    """The host that a URL names, in lower case without its port; null where it names none."""
+    return F.nullif(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]]*\]|[^/?#:]*)", 1)), F.lit(""))
+
+
 def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
@@ -27,26 +32,27 @@ def _key(line: Column) -> Column:
     return F.xxhash64(F.btrim(line, F.lit(EDGE)))
 
 
-def boilerplate(docs: DataFrame, ratio: float, min_pages: int) -> DataFrame:
+def boilerplate(docs: DataFrame, ratio: float) -> DataFrame:
     """docs (host, text) -> host, lines: the hashes of its boilerplate lines."""
     filled = F.filter(_lines(F.col("text")), lambda x: F.btrim(x, F.lit(EDGE)) != "")
     keys = docs.select("host", F.explode(F.array_distinct(F.transform(filled, _key))).alias("line"))
     seen = keys.groupBy("host", "line").agg(F.count("*").alias("n"))
     pages = docs.groupBy("host").agg(F.count("*").alias("pages")).withColumnRenamed("host", "_host")
-    often = seen.filter(F.col("n") >= min_pages).join(pages, F.col("host").eqNullSafe(F.col("_host"))).filter(F.col("n") > ratio * F.col("pages"))
+    often = seen.filter("n >= 2").join(pages, F.col("host").eqNullSafe(F.col("_host"))).filter(F.col("n") > ratio * F.col("pages"))
     return often.groupBy("host").agg(F.collect_list("line").alias("lines"))
 
 
-def drop_boilerplate(docs: DataFrame, text_col: str = "text", host_col: str = "source", ratio: float = 0.1, min_pages: int = 5) -> DataFrame:
+def drop_boilerplate(docs: DataFrame, text_col: str = "text", host_col: str = "source", ratio: float = 0.1) -> DataFrame:
     """docs with two more columns, _n_lines and _n_dropped, and boilerplate lines taken out
     of the text. Lines end at a line feed and are compared without ASCII space around them.
 
     Blank lines are never counted or dropped. Null text stays null with 0 lines, empty text
-    has one blank line. A null host is a host of its own. A line repeated on a page counts
+    has one blank line. A null host is a host of its own; a line of a host with one page always
+    stays. A line repeated on a page counts
     once and is dropped wherever it stands. Repeated rows are pages of their own. An empty
     table gives an empty result. All other columns stay.
     """
-    found = written(boilerplate(docs.select(F.col(host_col).alias("host"), F.col(text_col).alias("text")), ratio, min_pages), "boilerplate")
+    found = written(boilerplate(docs.select(F.col(host_col).alias("host"), F.col(text_col).alias("text")), ratio), "boilerplate")
     small = (found.agg(F.sum(F.size("lines"))).first()[0] or 0) <= BROADCAST_LINES
     found = found.select(F.col("host").alias("_host"), F.col("lines").alias("_boilerplate"))
     out = docs.join(F.broadcast(found) if small else found, F.col(host_col).eqNullSafe(F.col("_host")), "left")
@@ -71,7 +77,7 @@ WITH l AS (
 k AS (SELECT *, trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS key FROM l),
 n AS (SELECT source, key, count(DISTINCT doc_id) AS n FROM k WHERE key <> '' GROUP BY source, key),
 p AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
-b AS (SELECT n.source, n.key FROM n JOIN p ON n.source IS NOT DISTINCT FROM p.source WHERE n.n >= 5 AND n.n > 0.1 * p.pages),
+b AS (SELECT n.source, n.key FROM n JOIN p ON n.source IS NOT DISTINCT FROM p.source WHERE n.n >= 2 AND n.n > 0.1 * p.pages),
 j AS (SELECT k.doc_id, k.pos, k.line, b.key IS NOT NULL AS drop FROM k LEFT JOIN b ON k.source IS NOT DISTINCT FROM b.source AND k.key = b.key)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE drop) AS n_dropped,
        coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT drop), '') AS text

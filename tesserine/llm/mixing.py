@@ -110,13 +110,17 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 17) -> DataFrame:
-    """docs, each row as often as the mix takes it, with its number in the new column copy.
+    """docs, each row as often as the mix takes it, with its number in the new column copy (with
+    underscores before it where docs has a column of that name).
     The rules are mix()'s. Each row carries its own count, so rows that share an id are
     taken one by one; columns of any names stay as they are."""
+    taken, name = {c.lower() for c in docs.columns}, "copy"
+    while name in taken:
+        name = f"_{name}"
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
     thin = written(whole.select("id", "source", "size"), "sizes")
     out = _copies(whole, thin, seed).filter("copies > 0")
-    return out.select("doc.*", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
+    return out.select("doc.*", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias(name))
 
 
 ORACLE_SQL = """

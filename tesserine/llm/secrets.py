@@ -57,12 +57,15 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
 
 
 def added_spans(text: str, base: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int, str]]:
-    """Random-looking tokens that overlap no base span."""
-    out = []
+    """Random-looking tokens that overlap no base span. Both lists are in order, so one pass
+    takes in the base spans that begin before each token's end, and knows how far they reach."""
+    out, at, reach = [], 0, 0
     for m in TOKEN.finditer(text):
+        while at < len(base) and base[at][0] < m.end():
+            reach, at = max(reach, base[at][2]), at + 1
         s = m.group()
         kinds = bool(re.search("[a-z]", s)) + bool(re.search("[A-Z]", s)) + bool(re.search("[0-9]", s))
-        if kinds == 3 and entropy(s) >= MIN_ENTROPY and not any(a < m.end() and m.start() < b for a, _, b, _ in base):
+        if kinds == 3 and reach <= m.start() and entropy(s) >= MIN_ENTROPY:
             out.append((m.start(), 3, m.end(), s))
     return out
 

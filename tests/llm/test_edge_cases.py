@@ -86,6 +86,9 @@ def test_mixing(spark):
         taken[r["source"]] += r["taken"]
     assert all(abs(taken[s] - target[s]) <= 40 for s in total)
     assert mixing.mix(docs(spark, [])).count() == 0
+    named = docs(spark, rows).withColumnsRenamed({"n": "Copy", "host": "_copy"})
+    out = mixing.mixed(named)
+    assert out.columns == [*named.columns, "__copy"] and out.count() == sum(r["copies"] for r in mixing.mix(named).collect())
 
 
 def test_line_dedup(spark):
@@ -97,6 +100,8 @@ def test_line_dedup(spark):
     assert by[20, 1]["text"] == "Share this" and by[21, 0]["text"] is None and by[22, 1]["text"] == "" and by[23, 4]["text"] == "\n\n  \n"
     assert by[24, 4]["text"] == "x\nx" and by[24, 2]["text"] == "a\r\nb" and by[0, 3]["host"] == "h"
     assert line_dedup.drop_boilerplate(docs(spark, [])).count() == 0
+    few = line_dedup.drop_boilerplate(docs(spark, [(1, "own\nshared", "t"), (2, "shared\nmine", "t"), (3, "alone\nalone", "u"), (4, "v\nw", "v")]), ratio=0.5).collect()
+    assert {r["doc_id"]: r["text"] for r in few} == {1: "own", 2: "mine", 3: "alone\nalone", 4: "v\nw"}
     line_dedup.BROADCAST_LINES, kept = 0, line_dedup.BROADCAST_LINES
     try:
         again = line_dedup.drop_boilerplate(docs(spark, rows), ratio=0.5).select("doc_id", "text", "_n_lines", "_n_dropped", "host").collect()
@@ -105,6 +110,24 @@ def test_line_dedup(spark):
     assert sorted(map(repr, again)) == sorted(map(repr, got))
 
 
+def test_line_dedup_by_hosts_of_pages(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").withColumn("host_name", line_dedup.host_of(F.col("url")))
+    rows = pages.select("page_id", "host_name", "html").collect()
+    assert all(r["host_name"] for r in rows)
+    holders, total = {}, {}
+    for r in rows:
+        total[r["host_name"]] = total.get(r["host_name"], 0) + 1
+        for key in {x.strip(" \t\r\x0b\x0c") for x in (r["html"] or "").split("\n")} - {""}:
+            holders[r["host_name"], key] = holders.get((r["host_name"], key), 0) + 1
+    gone = {k for k, n in holders.items() if n >= 2 and n > 0.1 * total[k[0]]}
+    want = {r["page_id"]: sum((r["host_name"], x.strip(" \t\r\x0b\x0c")) in gone for x in (r["html"] or "").split("\n")) for r in rows}
+    got = line_dedup.drop_boilerplate(pages, "html", "host_name").select("page_id", "_n_dropped").collect()
+    assert {r["page_id"]: r["_n_dropped"] for r in got} == want
+    urls = ["HTTP://User:pw@Ex.Org:80/a?b", "https://[::1]:8/x", "ftp://a", "no url", "http:///x", None]
+    got = spark.createDataFrame([(u,) for u in urls], "u string").select(line_dedup.host_of(F.col("u"))).collect()
+    assert [r[0] for r in got] == ["ex.org", "[::1]", "a", None, None, None]
+
+
 ITEM = "Anna bought 12 apples and 30 pears for 5 kg of jam, then her friend Bob ate exactly 12 apples in one long afternoon."
 
 

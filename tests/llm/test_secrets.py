@@ -19,8 +19,18 @@ def base(text):
     return sorted(out)
 
 
+def judge(held, max_owners, max_repos):
+    owners = {o for o, _, _ in held}
+    least = lambda of, t: min(r for o, u, r in held if u == t and o in of)
+    repos = lambda of: len({least(of, t) for o, t, _ in held if o in of})
+    return len(owners) <= max_owners and repos(owners) - max(repos({o}) for o in owners) <= max_repos
+
+
 def brute(rows, max_owners=2, max_repos=5):
-    found, owners, repos = [], defaultdict(set), defaultdict(set)
+    """A document is a repository, its source the owner; equal texts of an owner, or of the
+    corpus, count as their least repository. A value is live while few owners have it, and few
+    repositories that aren't its main owner's."""
+    found, texts = [], defaultdict(set)
     for i, t, o in rows:
         t = t or ""
         b = base(t)
@@ -30,12 +40,11 @@ def brute(rows, max_owners=2, max_repos=5):
             if re.search("[a-z]", s) and re.search("[A-Z]", s) and re.search("[0-9]", s) and h >= S.MIN_ENTROPY and not any(x < m.end() and m.start() < y for x, _, y, _ in b):
                 b.append((m.start(), 3, m.end(), s))
         for *_, v in b:
-            owners[v].add(o)
-            repos[v].add((o, i))
+            texts[v].add((o, t, "" if i is None else f"r{i}"))
         found.append((i, sorted(b)))
     out = set()
     for i, spans in found:
-        live = lambda v: len(owners[v]) <= max_owners and len(repos[v]) <= max_repos
+        live = lambda v: judge(texts[v], max_owners, max_repos)
         kept = [x for x in spans if x[1] < 3 or live(x[3])]
         text = lambda xs: ",".join(f"{S.KINDS[k]}:{a}:{b}" for a, k, b, _ in xs)
         out.add((i, *(sum(x[1] == k for x in kept) for k in range(3)), hashlib.sha256(text([x for x in kept if x[1] < 3]).encode()).hexdigest(), text(kept)))
@@ -74,3 +83,23 @@ def test_documents_of_one_owner_do_not_make_an_example(spark):
     rows += [(200 + i, f"page {i} {two}", "a" if i else "b") for i in range(20)] + [(300 + i, f"page {i} {spread}", "ab"[i % 2]) for i in range(40)]
     got = {r[0]: r[5] for r in run(spark, rows)}
     assert all(got[i] for i in got if i < 300) and not any(got[i] for i in got if i >= 300)
+
+
+def test_live_rule_equals_brute_force(spark):
+    """Values on few and many owners and repositories, in texts that repeat."""
+    r = random.Random(9)
+    values = ["".join(r.choice("abcdefghijkLMNOPQRST0123456789") for _ in range(24)) + "aZ7" for _ in range(30)]
+    rows = [(i, f"page {r.randrange(9)} of {values[min(r.randrange(30), r.randrange(30))]}", r.choice("aaaaaabbbc" if i % 3 else "aab")) for i in range(500)]
+    rows += [(None, rows[3][1], "a"), (3, rows[3][1], "b")]
+    got, want = run(spark, rows), brute(rows)
+    assert got == want and 50 < sum(bool(x[5]) for x in want) < 500
+
+
+def test_ten_megabytes_in_one_pass():
+    import time
+
+    text = "token=abcdefghij0123 Zx9aB3qR7tY2uI5pO8sD1fG deadbeefdeadbeefdeadbeefdeadbeef12\n" * 130_000
+    begun = time.time()
+    base_ = S.base_spans(text)
+    added = S.added_spans(text, base_)
+    assert len(text) > 10_000_000 and len(base_) == 260_000 and len(added) == 130_000 and time.time() - begun < 30
