@@ -4,7 +4,7 @@ the driver tables."""
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators import recovery
+from ..operators import feasibility, recovery
 from .base import Tables, listed, query, r6
 
 RUN = {"experiment_id": "run", "plan_path": "plan.yaml", "source_provider": "src", "source_provider_id": "s", "target_provider": "tgt", "target_provider_id": "t", "edit_mode": "single", "images_dir": "images", "triplets_dir": "triplets"}
@@ -83,3 +83,40 @@ def recovered_objects(t: Tables) -> DataFrame:
         F.col("object_index").cast("long").alias("k"), "category", F.col("instruction_count_planned").cast("long").alias("planned"), F.col("attempts_total").alias("attempts"), F.array_join("edit_ids", ",").alias("ids"), F.col("stage1_failed_count").alias("failed1"), F.col("stage2_entered_count").alias("entered"), F.col("stage2_passed_count").alias("passed2"), F.col("stage2_failed_count").alias("failed2"), F.col("stage2_error_count").alias("error2"),
         r6("stage2_lpips_mean").alias("mean"), r6("stage2_lpips_std").alias("std"), told.alias("statuses"), F.col("source_pipeline_status").alias("source_status"),
     )
+
+
+@query(
+    """WITH v AS (SELECT DISTINCT 'cat' || (p_partkey % 23) AS category, 'o' || p_size AS object FROM part WHERE p_size <= 1 + (p_partkey % 23) // 2),
+    s AS (SELECT category, count(*) AS size, list(object) AS objs FROM v GROUP BY 1),
+    e AS (SELECT o_custkey AS plan_id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS position, o_orderkey % 3 = 0 AS ac, o_orderkey % 4 <> 0 AS ao, CASE WHEN o_orderkey % 3 <> 0 AND o_orderkey % 31 <> 0 OR o_orderkey % 42 = 0 THEN 'cat' || (o_orderkey % 25) END AS name,
+      CASE WHEN o_orderkey % 4 = 0 AND o_orderkey % 5 <> 0 OR o_orderkey % 37 = 0 THEN ['o' || (o_orderkey % 7), 'o' || (1 + o_orderkey % 11)] END AS objects, 1 + (o_orderkey * 13) % 9 AS n FROM orders),
+    k AS (SELECT e.*, size, list_filter(objects, lambda o: NOT list_contains(objs, o)) AS bad FROM e LEFT JOIN s ON s.category = name),
+    f AS (SELECT plan_id, position, unnest([[CASE WHEN ac AND NOT ao THEN 'random category without random object' END], [CASE WHEN ac AND name IS NOT NULL THEN 'category_name not allowed' END], [CASE WHEN ac AND objects IS NOT NULL THEN 'objects not allowed' END], [CASE WHEN NOT ac AND name IS NULL THEN 'category_name required' END], [CASE WHEN NOT ac AND name IS NOT NULL AND size IS NULL THEN 'unknown category' END],
+      [CASE WHEN NOT ac AND size IS NOT NULL AND ao AND objects IS NOT NULL THEN 'objects not allowed' END], [CASE WHEN NOT ac AND ao AND n > size THEN 'object_count exceeds the category' END], [CASE WHEN NOT ac AND size IS NOT NULL AND NOT ao AND objects IS NULL THEN 'objects required' END], [CASE WHEN NOT ac AND size IS NOT NULL AND NOT ao AND n <> len(objects) THEN 'object_count differs from objects' END],
+      [CASE WHEN NOT ac AND size IS NOT NULL AND NOT ao AND objects[1] = objects[2] THEN 'duplicate objects' END], [CASE WHEN NOT ac AND size IS NOT NULL AND NOT ao AND len(bad) > 0 THEN 'unknown objects' END]]) AS told, unnest(range(11)) AS rule FROM k),
+    own AS (SELECT plan_id, string_agg('categories[' || position || ']: ' || told[1], ';' ORDER BY position, rule) AS own FROM f WHERE told[1] IS NOT NULL GROUP BY plan_id),
+    p AS (SELECT plan_id, count(name) FILTER (WHERE NOT ac) AS named, count(DISTINCT name) FILTER (WHERE NOT ac) AS dist, count(*) FILTER (WHERE ac) AS rnd FROM e GROUP BY plan_id),
+    h AS (SELECT a.plan_id, max(a.n) AS demand FROM (SELECT DISTINCT plan_id, n FROM e WHERE ac) a WHERE (SELECT count(*) FROM e b WHERE b.plan_id = a.plan_id AND b.ac AND b.n >= a.n) > (SELECT count(*) FROM s WHERE size >= a.n AND category NOT IN (SELECT name FROM e c WHERE c.plan_id = a.plan_id AND NOT c.ac AND c.name IS NOT NULL)) GROUP BY a.plan_id)
+    SELECT plan_id, concat_ws(';', own, CASE WHEN named > dist THEN 'duplicate category_name' END, CASE WHEN dist + rnd > (SELECT count(*) FROM s) THEN 'more entries than categories' END, CASE WHEN demand IS NOT NULL THEN 'no category left for object_count=' || demand END) AS faults FROM p LEFT JOIN own USING (plan_id) LEFT JOIN h USING (plan_id)"""
+)
+def plan_feasibility(t: Tables) -> DataFrame:
+    """every customer's orders as a plan, against categories of parts."""
+    k = F.col("o_orderkey")
+    text = lambda prefix, c: F.concat(F.lit(prefix), c.cast("string"))
+    words = t.part.filter("p_size <= 1 + (p_partkey % 23) div 2").select(text("cat", F.col("p_partkey") % 23).alias("category"), text("o", F.col("p_size")).alias("object"))
+    entries = t.orders.select(
+        F.col("o_custkey").alias("plan_id"), (F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")) - 1).alias("position"), (k % 3 == 0).alias("random_category"), (k % 4 != 0).alias("random_object"),
+        F.when((k % 3 != 0) & (k % 31 != 0) | (k % 42 == 0), text("cat", k % 25)).alias("category_name"), F.when((k % 4 == 0) & (k % 5 != 0) | (k % 37 == 0), F.array(text("o", k % 7), text("o", 1 + k % 11))).alias("objects"), (1 + k * 13 % 9).cast("int").alias("object_count"),
+    )
+    return feasibility.plan_faults(entries, words).select("plan_id", F.array_join("faults", ";").alias("faults"))
+
+
+@query()
+def assigned_categories(t: Tables) -> DataFrame:
+    """Every supplier's parts as a plan of random categories; the choice is by hash, so
+    tests hold it against the rule, not SQL."""
+    words = t.part.select(F.col("p_brand").alias("category"), F.col("p_partkey").alias("object"))
+    most = F.struct("l_orderkey", "l_linenumber", "l_partkey")
+    entries = t.lineitem.groupBy("l_suppkey", (F.col("l_partkey") % 11).alias("slot")).agg(F.max_by("l_quantity", most).alias("q"))
+    plans = entries.select(F.col("l_suppkey").alias("plan_id"), F.col("slot").cast("int").alias("position"), F.lit(True).alias("random_category"), F.lit(None).cast("string").alias("category_name"), (F.col("q") % 4 + 1).cast("int").alias("object_count"))
+    return feasibility.assigned(plans, words, seed=7)
