@@ -151,3 +151,55 @@ def slot_views(scores: Column) -> Column:
     entries = F.transform(F.map_entries(scores), lambda e, i: F.struct(e["value"].alias("score"), (-i).alias("at"), e["key"].alias("view")))
     own = lambda s: F.when(F.map_contains_key(scores, s), F.lit(s))
     return F.struct(F.coalesce(own("front"), F.array_max(entries)["view"]).alias("front"), *[own(s).alias(s) for s in ("left", "back", "right")])
+
+
+SLOTS = ("front", "left", "back", "right")
+# For the pair of views left out, the view of each slot, how far it is turned, and
+# the view that is up.
+VIEW_PLANS = {
+    "top_bottom": ({"front": "front", "left": "left", "back": "back", "right": "right"}, {"front": 0, "left": 0, "back": 0, "right": 0}, "top"),
+    "front_back": ({"front": "top", "left": "left", "back": "bottom", "right": "right"}, {"front": 0, "left": 270, "back": 180, "right": 90}, "bottom"),
+    "left_right": ({"front": "front", "left": "bottom", "back": "back", "right": "top"}, {"front": 270, "left": 270, "back": 90, "right": 270}, "left"),
+}
+NO_SCORE = -1e9
+
+
+def _lookup(pairs: dict) -> Column:
+    return F.create_map(*[F.lit(x) for kv in pairs.items() for x in kv])
+
+
+def excluded_pair(scores: Column, threshold: Column, judged_front: Column) -> Column:
+    """Top and bottom are left out, unless top scores more than the threshold above front
+    and the judge (null: wasn't asked) holds it for the front."""
+    of = lambda view: F.coalesce(F.try_element_at(scores, F.lit(view)), F.lit(NO_SCORE))
+    return F.when((of("top") - of("front") > threshold) & F.coalesce(judged_front, F.lit(False)), "front_back").otherwise("top_bottom")
+
+
+def view_plan(scores: Column, selects: Column, strategy: Column, threshold: Column, judged_front: Column) -> Column:
+    """From the scores of the views there are, which view goes into each slot. Without
+    selection each slot has its own view, if there; a missing front is the view of greatest
+    score, in the order of slots, then top and bottom. With it the pair left out tells. Fails
+    without views, for an unknown strategy, a side view that isn't there, or fewer than two
+    views in all."""
+    order = F.array(*map(F.lit, (*SLOTS, "top", "bottom")))
+    there = F.filter(order, lambda v: F.map_contains_key(scores, v))
+    best = F.array_max(F.transform(there, lambda v, i: F.struct(scores[v].alias("score"), (-i).alias("i"), v.alias("view"))))["view"]
+    own = F.map_filter(_lookup({s: s for s in SLOTS}), lambda _, v: F.array_contains(there, v))
+    plain = F.map_from_arrays(F.array(*map(F.lit, SLOTS)), F.array(*[F.coalesce(F.try_element_at(own, F.lit(s)), best if s == "front" else F.lit(None).cast("string")) for s in SLOTS]))
+    pair = excluded_pair(scores, threshold, judged_front)
+    told = {name: F.element_at(F.create_map(*[x for k, parts in VIEW_PLANS.items() for x in (F.lit(k), F.lit(parts[i]) if i == 2 else _lookup(parts[i]))]), pair) for i, name in enumerate(("slots", "turns", "up"))}
+    slots = F.when(~selects, plain).when(strategy == "entropy_edge", told["slots"]).otherwise(F.raise_error(F.concat(F.lit("unknown strategy "), strategy)).cast("map<string,string>"))
+
+    def checked(s: Column) -> Column:
+        sides = F.filter(F.array(*[s[x] for x in SLOTS[1:]]), lambda v: v.isNotNull())
+        count = F.size(sides) + 1
+        fault = F.when(F.size(there) == 0, "there are no views").when(~F.forall(sides, lambda v: F.array_contains(there, v)), "a side view is missing").when(count < 2, "at least two views are needed")
+        return F.struct(
+            s.alias("slots"),
+            F.when(selects, told["turns"]).otherwise(_lookup(dict.fromkeys(SLOTS, 0))).alias("turns"),
+            F.when(selects, told["up"]).otherwise("top").alias("virtual_up"),
+            F.when(fault.isNull(), count).otherwise(F.raise_error(fault).cast("int")).alias("input_count"),
+            F.transform_values(scores, lambda _, x: F.round(x, 4)).alias("scores"),
+        )
+
+    return F.transform(F.array(slots), checked)[0]
