@@ -4,7 +4,8 @@ the driver tables."""
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators import feasibility, recovery
+from ..functions import metrics
+from ..operators import exports, feasibility, recovery
 from .base import Tables, listed, query, r6
 
 RUN = {"experiment_id": "run", "plan_path": "plan.yaml", "source_provider": "src", "source_provider_id": "s", "target_provider": "tgt", "target_provider_id": "t", "edit_mode": "single", "images_dir": "images", "triplets_dir": "triplets"}
@@ -120,3 +121,64 @@ def assigned_categories(t: Tables) -> DataFrame:
     entries = t.lineitem.groupBy("l_suppkey", (F.col("l_partkey") % 11).alias("slot")).agg(F.max_by("l_quantity", most).alias("q"))
     plans = entries.select(F.col("l_suppkey").alias("plan_id"), F.col("slot").cast("int").alias("position"), F.lit(True).alias("random_category"), F.lit(None).cast("string").alias("category_name"), (F.col("q") % 4 + 1).cast("int").alias("object_count"))
     return feasibility.assigned(plans, words, seed=7)
+
+
+_PAIRS = """WITH d AS (SELECT event_id AS id, 's' || (user_id % 40) AS src, 'e' || (event_id % 60) AS edit, event_type, user_id, nullif(event_id % 11, 0) AS score, CAST(ts AS VARCHAR) AS made_at FROM events),
+    k AS (SELECT * FROM d WHERE id % 17 <> 0 AND score <= 8 QUALIFY row_number() OVER (PARTITION BY src, edit ORDER BY made_at DESC, id) = 1),
+    r AS (SELECT *, CAST(substr(src, 2) AS INT) AS s, CAST(substr(edit, 2) AS INT) AS e, CASE WHEN s % 9 = 4 THEN 'source_glb_missing' WHEN (s + e) % 7 = 3 THEN 'target_glb_missing' WHEN s % 8 = 5 THEN 'source_views_incomplete' WHEN (s * e) % 6 = 1 THEN 'edited_views_incomplete' END AS lacks FROM k)"""
+
+
+def _pairs(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Events as edit records of 40 sources and 60 edits, and the files that there are."""
+    text = lambda prefix, c: F.concat(F.lit(prefix), c.cast("string"))
+    src, edit = F.col("user_id") % 40, F.col("event_id") % 60
+    target = F.when(F.col("event_id") % 17 != 0, F.concat(text("s", src), text("_edit_e", edit)))
+    records = t.events.select(
+        F.col("event_id").alias("line"), text("s", src).alias("source_model_id"), text("e", edit).alias("edit_id"), target.alias("target_model_id"), F.lit("p").alias("source_provider_id"), F.nullif(F.col("event_id") % 11, F.lit(0)).cast("double").alias("stage2_score"),
+        F.col("ts").cast("string").alias("created_at"), F.when(F.col("event_type") == "view", F.col("event_type")).alias("category"), F.col("event_type").alias("object_name"), F.lit("Remove it").alias("instruction_text"), F.lit("stage2_passed").alias("final_status"),
+    )
+    s, e = F.col("s"), F.col("e")
+    pairs = t.events.select(src.alias("s"), edit.alias("e")).distinct()
+    views = F.array(*[F.lit(f"{v}.png") for v in ("front", "back", "right", "left", "top", "bottom")])
+    at = lambda dir_, short: F.transform(F.when(short, F.slice(views, 1, 5)).otherwise(views), lambda v: F.concat(dir_, F.lit("/"), v))
+    files = F.concat(
+        F.when(s % 9 != 4, F.array(F.concat(text("models_src/s", s), F.lit("/model_p.glb")))).otherwise(F.array().cast("array<string>")),
+        F.when((s + e) % 7 != 3, F.transform(F.array(F.lit("z"), F.lit("t")), lambda m: F.concat(text("models_src/s", s), text("_edit_e", e), F.lit("/model_"), m, F.lit(".glb")))).otherwise(F.array().cast("array<string>")),
+        at(F.concat(text("triplets/s", s), F.lit("/views/p")), s % 8 == 5),
+        at(F.concat(text("triplets/s", s), text("/edited/e", e)), s * e % 6 == 1),
+    )
+    images = pairs.select(text("s", s).alias("model_id"), F.lit("cat").alias("category"), F.lit("other").alias("object_name")).distinct()
+    return records, pairs.select(F.explode(files).alias("path")).distinct(), images
+
+
+@query(_PAIRS + """ SELECT src AS model_id, edit AS edit_id, CASE WHEN event_type = 'view' THEN event_type ELSE 'cat' END AS category, event_type AS object_name, 't' AS target_provider_id, 'models_src/' || src || '/model_p.glb' AS source_glb, 'models_src/' || src || '_edit_' || edit || '/model_t.glb' AS target_glb, CAST(score AS DOUBLE) AS score FROM r WHERE lacks IS NULL""")
+def record_candidates(t: Tables) -> DataFrame:
+    """Candidates of an export from edit records."""
+    rows, _ = exports.record_candidates(*_pairs(t), most=8.0)
+    return rows.select("model_id", "edit_id", "category", "object_name", "target_provider_id", "source_glb", "target_glb", F.col("stage2_score").alias("score"))
+
+
+@query(_PAIRS + """, c AS (SELECT coalesce(lacks, 'kept') AS what, count(*) AS n FROM r GROUP BY 1 UNION ALL SELECT 'pairs', count(*) FROM r)
+    SELECT w AS what, coalesce(n, 0) AS n FROM (SELECT unnest(['pairs', 'kept', 'source_glb_missing', 'target_glb_missing', 'source_views_incomplete', 'edited_views_incomplete']) AS w) LEFT JOIN c ON what = w""")
+def candidate_counters(t: Tables) -> DataFrame:
+    """How many pairs were kept, and what others lacked first, as observed in the pass that
+    computes the candidates."""
+    rows, counters = exports.record_candidates(*_pairs(t), most=8.0)
+    rows.write.format("noop").mode("overwrite").save()
+    return t.spark.createDataFrame(list(counters.get.items()), "what string, n long")
+
+
+@query(
+    """WITH s AS (SELECT vec_id, map_from_entries(list_filter([{'k': 'front', 'v': embedding[1]}, {'k': 'left', 'v': embedding[2]}, {'k': 'back', 'v': embedding[3]}, {'k': 'right', 'v': embedding[4]}, {'k': 'top', 'v': embedding[5]}, {'k': 'bottom', 'v': embedding[6]}], lambda e: vec_id % 3 <> 0 OR e.k IN ('left', 'right') OR abs(e.v) > 0.1)) AS m, vec_id % 3 <> 0 AS sel, CAST(embedding[5] AS DOUBLE) - CAST(embedding[1] AS DOUBLE) > 0.05 AND vec_id % 5 < 3 AS up FROM embeddings),
+    b AS (SELECT *, list_sort(list_filter([{'s': -coalesce(m['front'], -9), 'i': 0, 'k': 'front'}, {'s': -coalesce(m['left'], -9), 'i': 1, 'k': 'left'}, {'s': -coalesce(m['back'], -9), 'i': 2, 'k': 'back'}, {'s': -coalesce(m['right'], -9), 'i': 3, 'k': 'right'}, {'s': -coalesce(m['top'], -9), 'i': 4, 'k': 'top'}, {'s': -coalesce(m['bottom'], -9), 'i': 5, 'k': 'bottom'}], lambda e: e.s < 9))[1].k AS best FROM s)
+    SELECT vec_id, CASE WHEN sel THEN CASE WHEN up THEN 'top' ELSE 'front' END WHEN m['front'] IS NOT NULL THEN 'front' ELSE best END AS front, CASE WHEN sel THEN CASE WHEN up THEN 'bottom' ELSE 'back' END WHEN m['back'] IS NOT NULL THEN 'back' END AS back, CASE WHEN sel AND up THEN 'bottom' ELSE 'top' END AS virtual_up, CASE WHEN sel AND up THEN '0,270,180,90' ELSE '0,0,0,0' END AS turns, CASE WHEN sel OR m['back'] IS NOT NULL THEN 4 ELSE 3 END AS views FROM b"""
+)
+def view_plans(t: Tables) -> DataFrame:
+    """Which view goes into each slot, with and without selection."""
+    names = F.array(*map(F.lit, ("front", "left", "back", "right", "top", "bottom")))
+    every = F.map_from_arrays(names, F.transform(F.slice("embedding", 1, 6), lambda x: x.cast("double")))
+    selects = F.col("vec_id") % 3 != 0
+    scores = F.map_filter(every, lambda k, v: selects | k.isin("left", "right") | (F.abs(v.cast("float")) > 0.1))
+    plan = metrics.view_plan(scores, selects, F.lit("entropy_edge"), F.lit(0.05), F.col("vec_id") % 5 < 3)
+    rows = t.embeddings.select("vec_id", plan.alias("p"))
+    return rows.select("vec_id", F.col("p.slots")["front"].alias("front"), F.col("p.slots")["back"].alias("back"), "p.virtual_up", F.array_join(F.transform(F.array(*map(F.lit, metrics.SLOTS)), lambda s: F.col("p.turns")[s].cast("string")), ",").alias("turns"), F.col("p.input_count").alias("views"))

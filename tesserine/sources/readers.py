@@ -83,6 +83,49 @@ def catalog(spark: SparkSession, pattern: str, schema: str, equal: dict[str, str
     return rows.orderBy(text("started_at").desc(), text("finished_at").desc(), text("experiment_id").desc())
 
 
+def catalog_or_rejects(spark: SparkSession, pattern: str, schema: str, equal: dict[str, str | None], required: Sequence[str] = ("experiment_id", "source_provider", "target_provider", "plan_path")) -> tuple[DataFrame, DataFrame]:
+    """catalog() of the files that can be read, and (path, error) of the others: files that
+    aren't one JSON object, have a field of another type, or lack a required one or have it
+    blank. One bad file costs its own row. No matching file gives two empty tables."""
+    kind = _typed(schema)
+    try:
+        raw = spark.read.text(pattern, wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
+    except AnalysisException as e:
+        if not _missing(e):
+            raise
+        raw = spark.createDataFrame([], "value string, path string")
+    marked = StructType([*kind.fields, *_typed("_bad string").fields])
+    rows = raw.withColumn("v", F.from_json("value", marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
+    blank = [F.when(F.coalesce(F.trim(F.col(f"v.{c}").cast("string")), F.lit("")) == "", F.lit(f"missing {c}")) for c in required]
+    error = F.coalesce(F.when(F.json_object_keys("value").isNull(), "not a JSON object"), F.when(F.col("v._bad").isNotNull(), "a field has another type"), *blank)
+    rows = rows.withColumn("error", error)
+    good = rows.filter("error is null").select("v.*").drop("_bad")
+    for c, v in equal.items():
+        if v:
+            good = good.filter(F.col(c) == v)
+    text = lambda c: F.coalesce(F.col(c), F.lit(""))
+    good = good.orderBy(text("finished_at").desc(), text("started_at").desc(), text("experiment_id").desc())
+    return good, rows.filter("error is not null").select("path", "error")
+
+
+def prompt_batches(spark: SparkSession, pattern: str, schema: str) -> DataFrame:
+    """The prompts of all batch files with source_file (its name) and position, the file
+    with the greatest name first, and within it in order of lines. Blank lines are skipped; a
+    bad line fails the query. Lines are numbered by where they stand in their file, which stays
+    the same however the file is split."""
+    kind = _typed(schema)
+    try:
+        raw = spark.read.text(pattern).select("value", F.col("_metadata.file_name").alias("source_file"), F.monotonically_increasing_id().alias("_at"))
+    except AnalysisException as e:
+        if not _missing(e):
+            raise
+        raw = spark.createDataFrame([], "value string, source_file string, _at long")
+    rows = raw.filter(F.trim("value") != "").withColumn("v", F.from_json("value", kind, {"mode": "FAILFAST"}))
+    rows = rows.withColumn("keys", F.json_object_keys("value"))
+    order = Window.partitionBy("source_file").orderBy("_at")
+    return rows.withColumn("position", F.row_number().over(order)).select("v.*", "keys", "source_file", "position").orderBy(F.desc("source_file"), "position")
+
+
 def records_or_recovered(stored: DataFrame, recovered: DataFrame, key: str) -> DataFrame:
     """Stored records; recovered ones, flagged, for keys that have none."""
     rest = recovered.join(stored.select(key).distinct(), key, "left_anti")

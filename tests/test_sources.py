@@ -114,3 +114,25 @@ def test_export_of_a_day(spark, tmp_path):
     out = writers.write_export(head, samples, str(tmp_path), "set", "2024-01-02")
     assert out.endswith("exports/set_2024-01-02")
     assert spark.read.json(f"{out}/manifest.json").first()["samples"] == 2 and spark.read.json(f"{out}/manifest.jsonl").count() == 2
+
+
+def test_catalog_rejects(spark, tmp_path):
+    whole = {"experiment_id": "e1", "source_provider": "s", "target_provider": "t", "plan_path": "p", "started_at": "2024-01"}
+    for name, body in {"a": json.dumps(whole, indent=1), "b": "{broken", "c": json.dumps(whole | {"experiment_id": "e2", "finished_at": "2024-02"}), "d": json.dumps(whole | {"plan_path": " "}), "e": json.dumps(whole | {"totals": [1]}), "f": "[1]", "g": json.dumps(whole | {"experiment_id": "e3", "plan_path": "q"}), "h": ""}.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "manifest.json").write_text(body)
+    rows, rejects = readers.catalog_or_rejects(spark, f"{tmp_path}/*/manifest.json", schemas.MANIFEST, {"plan_path": "p", "source_provider": None})
+    assert [r["experiment_id"] for r in rows.collect()] == ["e2", "e1"]
+    got = {r["path"].split("/")[-2]: r["error"] for r in rejects.collect()}
+    assert {k: v for k, v in got.items() if k != "h"} == {"b": "not a JSON object", "d": "missing plan_path", "e": "a field has another type", "f": "not a JSON object"}
+    none = readers.catalog_or_rejects(spark, f"{tmp_path}/none/*.json", schemas.MANIFEST, {})
+    assert [x.count() for x in none] == [0, 0]
+
+
+def test_prompt_batches(spark, tmp_path):
+    (tmp_path / "batch_1.jsonl").write_text("".join(json.dumps({"id": f"a{i}"}) + "\n\n" for i in range(40)))
+    (tmp_path / "batch_2.jsonl").write_text(json.dumps({"id": "b0", "prompt": "x"}) + "\n" + json.dumps({"prompt_id": "b1"}))
+    got = readers.prompt_batches(spark, f"{tmp_path}/*.jsonl", "id string, prompt string, prompt_id string").collect()
+    assert [r["id"] or r["prompt_id"] for r in got] == ["b0", "b1", *[f"a{i}" for i in range(40)]]
+    assert [(r["source_file"], r["position"], r["keys"]) for r in got[:3]] == [("batch_2.jsonl", 1, ["id", "prompt"]), ("batch_2.jsonl", 2, ["prompt_id"]), ("batch_1.jsonl", 1, ["id"])]
+    assert readers.prompt_batches(spark, f"{tmp_path}/none*.jsonl", "id string").count() == 0
