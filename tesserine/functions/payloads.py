@@ -115,8 +115,9 @@ def stage1_fields(meta: Column) -> Column:
 
 
 def plan_errors(p: Column) -> Column:
-    """All that is wrong with a plan, in order; empty if it is valid.
-    A plan without a target provider has its source's."""
+    """All that the runner finds wrong with a plan, in order; empty if it is valid.
+    A plan without a target provider has its source's. The form's rules (F29, P36) are those of
+    operators.plan_rules."""
     blank = lambda c: optional_text(c).isNull()
     target = F.coalesce(p["target_provider"], p["source_provider"])
 
@@ -163,7 +164,10 @@ def verdict_error(v: Column, categories: list[str]) -> Column:
             (blank(legal["reason"]), "instruction_legality.reason"),
             ((word(legal["decision"]) == "allow") & (word(legal["category"]) != "structural_part"), "allowed_category"),
             (no(word(v["view_sanity"]["decision"]).isin("pass", "fail")), "view_sanity.decision"),
+            (blank(v["view_sanity"]["reason"]), "view_sanity.reason"),
+            (v["view_sanity"]["problematic_views"].isNull(), "view_sanity.problematic_views"),
             (no(word(follow["decision"]).isin("pass", "fail")), "instruction_following.decision"),
+            (blank(follow["reason"]), "instruction_following.reason"),
             (((word(follow["decision"]) == "pass") | word(v["evidence_strength"]).isin("strong", "medium")) & empty, "no_supporting_views"),
             (no(word(relabel["status"]).isin("none", "rewrite", "cannot_rewrite")), "relabel.status"),
             ((word(relabel["status"]) == "rewrite") & (blank(relabel["instruction"]) | legality_reject_reason(relabel["instruction"]).isNotNull()), "relabel.instruction"),
@@ -179,9 +183,11 @@ def masks_missing(names: Column, view_paths: Column, path: Column) -> Column:
 
 
 def remapped_view(front: Column, view: Column) -> Column:
-    """The view a final one is made from, and how far it is turned."""
+    """The view a final one is made from, and how far it is turned; an unknown front side
+    fails the query."""
     known = F.create_map(*[F.lit(x) for f, sides in SIDES.items() for v, s in sides.items() for x in (f"{f}/{v}", s)])
     turns = F.create_map(*[F.lit(x) for f, (top, bottom) in TURNS.items() for x in (f"{f}/top", top, f"{f}/bottom", bottom)])
+    front = F.when(front.isin(*SIDES), front).otherwise(F.raise_error(F.concat(F.lit("unknown front side "), front)).cast("string"))
     at = F.concat_ws("/", front, view)
     return F.struct(F.coalesce(known[at], view).alias("source"), F.coalesce(turns[at], F.lit(0)).alias("angle"))
 

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import metrics
-from ..operators import exports, feasibility, recovery
+from ..operators import exports, feasibility, plan_rules, recovery
 from .base import Tables, listed, query, r6
 
 RUN = {"experiment_id": "run", "plan_path": "plan.yaml", "source_provider": "src", "source_provider_id": "s", "target_provider": "tgt", "target_provider_id": "t", "edit_mode": "single", "images_dir": "images", "triplets_dir": "triplets"}
@@ -182,3 +182,33 @@ def view_plans(t: Tables) -> DataFrame:
     plan = metrics.view_plan(scores, selects, F.lit("entropy_edge"), F.lit(0.05), F.col("vec_id") % 5 < 3)
     rows = t.embeddings.select("vec_id", plan.alias("p"))
     return rows.select("vec_id", F.col("p.slots")["front"].alias("front"), F.col("p.slots")["back"].alias("back"), "p.virtual_up", F.array_join(F.transform(F.array(*map(F.lit, metrics.SLOTS)), lambda s: F.col("p.turns")[s].cast("string")), ",").alias("turns"), F.col("p.input_count").alias("views"))
+
+
+@query(
+    """WITH v AS (SELECT DISTINCT 'cat' || (p_partkey % 23) AS category, 'o' || p_size AS object FROM part), s AS (SELECT category, count(*) AS size FROM v GROUP BY 1),
+    p AS (SELECT o_orderkey AS k, o_custkey AS c, CASE WHEN o_orderkey % 29 = 0 THEN NULL WHEN o_orderkey % 31 = 0 THEN '' ELSE 'cat' || (o_orderkey % 25) END AS name, 'o' || (1 + o_orderkey % 50) AS a, 'o' || (1 + o_custkey % 50) AS b, CASE WHEN o_orderkey % 6 = 0 THEN 0 ELSE 2 - o_orderkey % 6 % 3 END AS n FROM orders),
+    q AS (SELECT p.*, s.size, coalesce(name, '') <> '' AND s.size IS NOT NULL AS known FROM p LEFT JOIN s ON s.category = name),
+    e AS (SELECT k, list_filter([CASE WHEN k % 7 = 0 THEN 'name is required' WHEN k % 7 = 1 THEN 'name has a path' END, CASE WHEN k % 5 = 0 THEN 'source_provider is unknown' END, CASE WHEN k % 5 = 1 THEN 'target_provider is required' END, CASE WHEN k % 3 = 0 THEN 'edit_mode is unknown' END, CASE WHEN k % 11 = 0 THEN 'deprecated fields: category_workers' END,
+      CASE WHEN k % 4 <> 0 THEN 'categories[0]: deprecated fields: style_ids' END, CASE WHEN k % 13 = 0 THEN 'categories[0]: random must be a mapping' END,
+      CASE WHEN k % 13 <> 0 AND n < 1 THEN 'categories[0]: object_count must be positive' END, CASE WHEN k % 13 <> 0 AND k % 8 = 1 THEN 'categories[0]: instruction_plan.mode must be adaptive_k' WHEN k % 13 <> 0 AND k % 8 = 2 THEN 'categories[0]: instruction_plan is required' END,
+      CASE WHEN k % 13 <> 0 AND coalesce(name, '') = '' THEN 'categories[0]: category_name required' WHEN k % 13 <> 0 AND NOT known THEN 'categories[0]: unknown category' END, CASE WHEN k % 13 <> 0 AND known AND n <> 2 THEN 'categories[0]: object_count differs from objects' END,
+      CASE WHEN k % 13 <> 0 AND known AND a = b THEN 'categories[0]: duplicate objects' END, CASE WHEN k % 13 <> 0 AND known AND (NOT EXISTS (SELECT 1 FROM v WHERE category = name AND object = a) OR NOT EXISTS (SELECT 1 FROM v WHERE category = name AND object = b)) THEN 'categories[0]: unknown objects' END], lambda x: x IS NOT NULL) AS errors FROM q)
+    SELECT k, array_to_string(errors, ';') AS errors FROM e"""
+)
+def plan_form_errors(t: Tables) -> DataFrame:
+    """Every order as the JSON of a plan with one fixed category."""
+    k, text = F.col("o_orderkey"), lambda prefix, c: F.concat(F.lit(prefix), c.cast("string"))
+    name = F.when(k % 29 == 0, F.lit(None).cast("string")).when(k % 31 == 0, "").otherwise(text("cat", k % 25))
+    count = F.when(k % 6 == 0, 0).otherwise(2 - k % 6 % 3)
+    made = F.when(k % 8 != 2, F.struct(F.when(k % 8 == 1, "fixed").otherwise("adaptive_k").alias("mode"), F.lit(2).alias("count"), F.array(F.lit("remove")).alias("allowed_types")))
+    category = F.struct(
+        name.alias("category_name"), F.when(k % 13 != 0, F.struct(F.lit(False).alias("category"), F.lit(False).alias("object"))).alias("random"), F.array(text("o", 1 + k % 50), text("o", 1 + F.col("o_custkey") % 50)).alias("objects"),
+        count.cast("int").alias("object_count"), made.alias("instruction_plan"), F.when(k % 4 != 0, F.array(F.lit("s"))).alias("style_ids"),
+    )
+    plan = F.struct(
+        F.when(k % 7 == 0, " ").when(k % 7 == 1, "a/b").otherwise("plan").alias("name"), F.when(k % 5 == 0, "other").otherwise("tripo").alias("source_provider"), F.when(k % 5 != 1, "rodin").alias("target_provider"),
+        F.when(k % 3 == 0, "triple").otherwise("single").alias("edit_mode"), F.when(k % 11 == 0, 3).alias("category_workers"), F.array(category).alias("categories"),
+    )
+    words = t.part.select(text("cat", F.col("p_partkey") % 23).alias("category"), text("o", F.col("p_size")).alias("object")).distinct()
+    plans = t.orders.select(k.alias("plan_id"), F.to_json(plan).alias("plan"))
+    return plan_rules.plan_form_errors(plans, words).select(F.col("plan_id").alias("k"), F.array_join("errors", ";").alias("errors"))

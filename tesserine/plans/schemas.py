@@ -153,17 +153,29 @@ def plan_errors(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", F.array_join(payloads.plan_errors(plan), ",").alias("errors"))
 
 
-@query("SELECT event_id, CASE user_id % 9 WHEN 0 THEN 'observation' WHEN 1 THEN 'supporting_views' WHEN 2 THEN 'evidence_strength' WHEN 3 THEN 'allowed_category' WHEN 4 THEN 'view_sanity.decision' WHEN 5 THEN 'no_supporting_views' WHEN 6 THEN 'relabel.instruction' WHEN 7 THEN 'instruction_legality.category' END AS fault FROM events")
+# The faults of a reply in the order in which they are found.
+_FAULTS = ["observation", "supporting_views", "evidence_strength", "instruction_legality.decision", "instruction_legality.category", "instruction_legality.reason", "allowed_category", "view_sanity.decision", "view_sanity.reason", "view_sanity.problematic_views", "instruction_following.decision", "instruction_following.reason", "no_supporting_views", "relabel.status", "relabel.instruction"]
+
+
+@query(f"SELECT event_id, {_FAULTS!r}[CAST(event_id % 17 AS INT) + 1] AS fault FROM events")
 def verdict_faults(t: Tables) -> DataFrame:
-    """F17."""
-    n = F.col("user_id") % 9
-    either = lambda i, bad, good: F.when(n == i, F.lit(bad)).otherwise(F.lit(good))
-    views = F.when(n == 1, F.array(F.lit("inside"))).when(n == 5, F.array().cast("array<string>")).otherwise(F.array(F.lit(" Front")))
+    """every fault, replies without one, and replies with a later fault besides."""
+    n = (F.col("event_id") % 17).cast("int")
+    at = {name: i for i, name in enumerate(_FAULTS)}
+
+    def field(name: str, bad: str | None, good: str) -> Column:
+        # a reply with this fault, or with an earlier one and an even user, has it
+        wrong = (n == at[name]) | (n < at[name]) & (F.col("user_id") % 2 == 0)
+        return F.when(wrong, F.lit(bad).cast("string")).otherwise(F.lit(good)).alias(name.split(".")[-1])
+
+    views = F.when(n == at["supporting_views"], F.array(F.lit("inside"))).when(n == at["no_supporting_views"], F.array().cast("array<string>")).otherwise(F.array(F.lit(" Front"), F.lit("top")))
+    category = F.when(n == at["instruction_legality.category"], "odd").when(n == at["allowed_category"], "main_body").otherwise("Structural_Part ").alias("category")
     v = F.struct(
-        either(0, " ", "seen").alias("observation"), views.alias("supporting_views"), either(2, "huge", "Strong ").alias("evidence_strength"),
-        F.struct(F.lit("allow").alias("decision"), F.when(n == 3, "main_body").when(n == 7, "odd").otherwise("structural_part").alias("category"), F.lit("r").alias("reason")).alias("instruction_legality"),
-        F.struct(either(4, "maybe", "pass").alias("decision")).alias("view_sanity"), F.struct(F.lit("fail").alias("decision")).alias("instruction_following"),
-        F.struct(F.lit("rewrite").alias("status"), either(6, "Remove the left wheel", "Remove the lamp").alias("instruction")).alias("relabel"),
+        field("observation", " ", "seen"), views.alias("supporting_views"), field("evidence_strength", "huge", "Strong "),
+        F.struct(field("instruction_legality.decision", None, "allow"), category, field("instruction_legality.reason", "", "r")).alias("instruction_legality"),
+        F.struct(field("view_sanity.decision", "maybe", "Pass"), field("view_sanity.reason", " ", "fine"), F.when(n != at["view_sanity.problematic_views"], F.array().cast("array<string>")).alias("problematic_views")).alias("view_sanity"),
+        F.struct(field("instruction_following.decision", "so-so", "fail"), field("instruction_following.reason", None, "done")).alias("instruction_following"),
+        F.struct(field("relabel.status", "later", "rewrite"), F.when(n == at["relabel.instruction"], "Remove the left wheel").otherwise("Remove the lamp").alias("instruction")).alias("relabel"),
     )
     return t.events.select("event_id", payloads.verdict_error(v, ["structural_part", "appearance_only", "main_body", "material_only", "unclear"]).alias("fault"))
 
