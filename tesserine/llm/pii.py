@@ -8,11 +8,15 @@ by features of format and context, and each kind has its own threshold.
 
 The trees learn from candidates of all kinds, base formats included, in at most
 `sample_docs` texts of the table itself that hold one (the least hashes of texts, a
-documented bound), and in `LESSONS` invented sentences for kinds that the table lacks. A
-candidate of the table is labelled by a check that no feature shows: Luhn's digit, octets
-up to 255, an IBAN's remainder, ranges of area codes and serials, a top-level domain of
-letters. Odd texts are held out: on them each kind's threshold is the least score from
-which precision is at least `PRECISION`. The trees reach Spark as one SQL expression.
+documented bound), and in `LESSONS` invented sentences for contexts and kinds that the table
+lacks. A candidate of the table is labelled by a check of its format: Luhn's digit, octets up
+to 255, an IBAN's remainder, ranges of area codes and serials, a top-level domain of letters.
+The check is also a feature: nothing else tells a good number from a bad one in running text.
+In the lessons a candidate is good if it passes its check and what stands before it doesn't
+speak against it, so the trees learn both; on candidates of the table their figures show only
+that they keep to the check. Odd texts are held out: on them each kind's threshold is set
+where precision is still at least `PRECISION`. The trees reach Spark as one SQL
+expression.
 """
 
 from __future__ import annotations
@@ -62,7 +66,7 @@ DIGIT = "regexp_like(text, '[0-9]')"
 CUES = "(?i)\\b(phone|tel|call|mobile|cell|fax|contact|ssn|social security|iban|account|card|visa|mastercard|credit|mail|email|e-mail|write|passport)\\b"
 AGAINST = "(?i)\\b(isbn|order|invoice|version|ref|reference|ticket|serial|part|model|sku|build|issue|pages?|doi|id)\\b"
 CONTEXT, CHUNK = 32, 256
-FEATURES = ("family", "digits", "size", "cue", "against", "seps", "distinct", "glued_left", "glued_right", "longest", "secret")
+FEATURES = ("family", "digits", "size", "cue", "against", "seps", "distinct", "glued_left", "glued_right", "longest", "secret", "valid")
 FAMILY = {"email": 3, "ip": 1, "card": 0, "phone": 2, "ssn": 4, "iban": 5, "local": 2, "mail": 3, "number": 0, "dial": 2}
 _SPAN = "array<struct<start:int,stop:int,value:string,before:string,after:string>>"
 
@@ -119,7 +123,7 @@ def _iban(x: str) -> str:
 
 
 def _checks(kind: str) -> str:
-    """The label of a candidate of the table: a check of its value that no feature shows."""
+    """Whether a candidate's value passes the check of its format."""
     d, v = _digits("s.value"), "s.value"
     if kind in ("card", "number"):
         return f"length({d}) between 13 and 19 and {luhn(d)}"
@@ -149,6 +153,7 @@ def _features(kind: str) -> str:
         "glued_right": flag("regexp_like(left(s.after, 1), '[A-Za-z0-9_%/]')"),
         "longest": "double(array_max(transform(split(s.value, '[^0-9]+'), x -> length(x))))",
         "secret": flag("regexp_like(s.before, '(?i)(?:token|secret|key|passw)')"),
+        "valid": flag(_checks(kind)),
     }
     return f"named_struct('kind', '{kind}', 'start', s.start, 'stop', s.stop, {', '.join(f'{chr(39)}{f}{chr(39)}, {values[f]}' for f in FEATURES)})"
 
@@ -156,9 +161,6 @@ def _features(kind: str) -> str:
 # ---- the model ---------------------------------------------------------------------------
 
 ROUNDS, RATE, PRECISION = 40, 0.3, 0.95
-#: Held-out candidates that a kind needs for a threshold of its own; else that of all kinds holds.
-ENOUGH = 20
-
 
 @dataclass
 class Trees:
@@ -167,8 +169,10 @@ class Trees:
     start: float
     trees: list[tuple]
     thresholds: dict[str, float] = field(default_factory=dict)
-    #: On held-out texts: candidates, labelled good, chosen, both.
+    #: On held-out texts, by kind: candidates, labelled good, chosen, both; of the table, and of
+    #: the lessons.
     held_out: dict[str, tuple[int, int, int, int]] = field(default_factory=dict)
+    held_out_lessons: dict[str, tuple[int, int, int, int]] = field(default_factory=dict)
 
     def sql(self, s: str) -> str:
         """The score of a struct of features."""
@@ -219,47 +223,71 @@ def boost(x: np.ndarray, y: np.ndarray) -> Trees:
 
 
 def _threshold(p: np.ndarray, y: np.ndarray) -> float:
-    """The least score such that of those that reach it PRECISION are good."""
+    """Between the least score such that of those that reach it PRECISION are good, and the next
+    one below."""
     order = np.argsort(-p, kind="stable")
     p, good = p[order], np.cumsum(y[order]) / np.arange(1, len(p) + 1)
     ends = np.append(p[1:] < p[:-1], True)  # equal scores stand or fall together
     ok = np.flatnonzero((good >= PRECISION) & ends)
-    return float(p[ok[-1]]) if len(ok) else 1.1
+    return float(p[ok[-1] : ok[-1] + 2].mean()) if len(ok) else 1.1
 
 
 LESSONS = 1200
 
 
 def lessons(n: int = LESSONS, seed: int = 7) -> list[tuple[str, int]]:
-    """Invented sentences, each with one candidate, and whether that is personal data: what
-    stands before it says so."""
+    """Invented sentences, each with one candidate, and whether that is personal data: its value
+    passes its check, and what stands before it isn't the name of something else."""
     r = random.Random(seed)
     d = lambda k: "".join(r.choice("0123456789") for _ in range(k))
     first = lambda k: r.choice("23456789") + d(k - 1)
+
+    def number(good: bool) -> str:
+        head = first(15)
+        total = sum(sum(divmod(int(c) * (2 - i % 2), 10)) for i, c in enumerate(reversed(head)))
+        return f"{head}{(-total + (0 if good else r.randint(1, 9))) % 10}"
+
+    def iban(good: bool) -> str:
+        body = d(18)
+        check = 98 - int(f"{body}131400") % 97
+        flat = f"DE{check if good else (check - 2 + r.randint(1, 96)) % 97 + 2:02d}{body}"
+        return " ".join(flat[i : i + 4] for i in range(0, len(flat), 4))
+
+    def ssn(good: bool) -> str:
+        area = f"{r.choice('1234578')}{d(2)}" if good else r.choice(("000", "666", f"9{d(2)}"))
+        return f"{area}-{r.randint(10, 99)}-{first(4)}"
+
+    def mail(good: bool) -> str:
+        return f"{r.choice(('ann', 'j.doe', 'kim_7'))} (at) {r.choice(('mail', 'example'))} (dot) {r.choice(('org', 'com')) if good else d(3)}"
+
     form = {
-        "ssn": (lambda: f"{r.choice('1234578')}{d(2)}-{r.randint(10, 99)}-{first(4)}", ("SSN", "my social security number is", "passport or SSN"), ("part", "serial", "model")),
-        "iban": (lambda: f"DE{d(2)} {d(4)} {d(4)} {d(4)} {d(4)} {d(2)}", ("IBAN", "my account", "account IBAN"), ("serial", "build", "ref")),
-        "local": (lambda: f"{first(3)}-{first(3)}-{d(4)}", ("call", "phone", "tel", "fax"), ("order", "invoice", "ticket", "part")),
-        "mail": (lambda: f"{r.choice(('ann', 'j.doe', 'kim_7'))} (at) {r.choice(('mail', 'example'))} (dot) {r.choice(('org', 'com'))}", ("write to", "mail", "contact", "reach"), ("version", "build", "issue", "doi")),
-        "number": (lambda: first(16), ("card", "visa", "credit card"), ("order", "isbn", "invoice", "id")),
-        "dial": (lambda: f"+{r.randint(1, 99)} ({first(3)}) {first(3)}-{d(4)}", ("call", "phone", "mobile"), ("order", "sku", "ref")),
+        "ssn": (ssn, ("SSN", "my social security number is", "passport or SSN"), ("part", "serial", "model")),
+        "iban": (iban, ("IBAN", "my account", "account IBAN"), ("serial", "build", "ref")),
+        "local": (lambda good: f"{first(3) if good else r.choice('01') + d(2)}-{first(3)}-{d(4)}", ("call", "phone", "tel", "fax"), ("order", "invoice", "ticket", "part")),
+        "mail": (mail, ("write to", "mail", "contact", "reach"), ("version", "build", "issue", "doi")),
+        "number": (number, ("card", "visa", "credit card"), ("order", "isbn", "invoice", "id")),
+        "dial": (lambda good: f"+{r.randint(1, 99) if good else f'0{d(1)}'} ({first(3)}) {first(3)}-{d(4)}", ("call", "phone", "mobile"), ("order", "sku", "ref")),
     }
+    plain = ("and", "with", "the", "of")
     out = []
     for i in range(n):
-        value, good, bad = form[ADDED[i % len(ADDED)]]
-        is_good = r.random() < 0.5
-        out.append((f"Please {r.choice(good if is_good else bad)} {value()} today", int(is_good)))
+        make, for_it, against = form[ADDED[i % len(ADDED)]]
+        good, valid = r.random() < 0.5, r.random() < 0.5
+        before = r.choice((*for_it, *plain) if good else against if valid else (*for_it, *plain, *against))
+        out.append((f"Please {before} {make(good or valid)} today", int(good)))
     return out
 
 
 def candidates(texts: DataFrame, labelled: bool) -> DataFrame:
-    """texts (key, text[, good]) -> key, s: a candidate with features, good: its label."""
+    """texts (key, text[, good, of]) -> key, s: a candidate with features, good: its label. A
+    labelled text is about its candidate of kind `of`; others that it holds are left out."""
     every = []
     for k in (*BASE, *ADDED):
         wanted = f"filter({_spans(k)}, s -> length({_digits('s.value')}) between 13 and 19)" if k == "card" else _spans(k)
         good = "good = 1" if labelled else _checks(k)
         every.append(F.expr(f"transform({wanted}, s -> named_struct('s', {_features(k)}, 'good', if({good}, 1D, 0D)))"))
-    return texts.withColumn("digit", F.expr(DIGIT)).select("key", F.explode(F.concat(*every)).alias("c")).select("key", "c.s", "c.good")
+    found = texts.withColumn("digit", F.expr(DIGIT)).select("*", F.explode(F.concat(*every)).alias("c"))
+    return (found.filter("c.s.kind = of") if labelled else found).select("key", "c.s", "c.good")
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = 4000, sample_rows: int = 20_000) -> Trees:
@@ -270,20 +298,20 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     # Copies of a text give the same candidates, which are combined before they move.
     of_table = candidates(rows.join(F.broadcast(chosen), F.col("key") == F.col("_key")).drop("_key"), False).distinct()
     of_table = of_table.orderBy(F.xxhash64("key", "s.start"), "s.kind", "s.stop").limit(sample_rows)
-    taught = spark.createDataFrame([(i // len(ADDED), t, g) for i, (t, g) in enumerate(lessons())], "key long, text string, good int")
-    got = sorted(of_table.unionByName(candidates(taught, True)).collect(), key=lambda r: (r["key"], r["s"]["kind"], r["s"]["start"], r["s"]["stop"]))
+    taught = spark.createDataFrame([(i // len(ADDED), t, g, ADDED[i % len(ADDED)]) for i, (t, g) in enumerate(lessons())], "key long, text string, good int, of string")
+    got = sorted(of_table.withColumn("taught", F.lit(False)).unionByName(candidates(taught, True).withColumn("taught", F.lit(True))).collect(), key=lambda r: (r["key"], r["s"]["kind"], r["s"]["start"], r["s"]["stop"]))
     kind = np.array([r["s"]["kind"] for r in got])
     x = np.array([[r["s"][f] for f in FEATURES] for r in got], float)
     y = np.array([r["good"] for r in got])
     out = np.array([r["key"] % 2 != 0 for r in got])
     model = boost(x[~out], y[~out])
-    p = model.score(x)
-    every = _threshold(p[out], y[out])
+    p, invented = model.score(x), np.array([r["taught"] for r in got])
     for k in ADDED:
         mine = out & (kind == k)
-        t = model.thresholds[k] = _threshold(p[mine], y[mine]) if mine.sum() >= ENOUGH else every
-        picked = mine & (p >= t)
-        model.held_out[k] = (int(mine.sum()), int(y[mine].sum()), int(picked.sum()), int(y[picked].sum()))
+        t = model.thresholds[k] = _threshold(p[mine], y[mine])
+        for held, part in ((model.held_out, mine & ~invented), (model.held_out_lessons, mine & invented)):
+            picked = part & (p >= t)
+            held[k] = (int(part.sum()), int(y[part].sum()), int(picked.sum()), int(y[picked].sum()))
     return model
 
 
