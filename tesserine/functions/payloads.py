@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .records import VIEWS, optional_text, strict
+from .records import VIEWS, display_payload, optional_text, strict
 from .text import clean, first_reason, first_text, legality_reject_reason
 
 # Statuses of prompts, providers, edit modes, verdict words, legality categories.
@@ -28,34 +28,57 @@ def _required(c: Column, name: str) -> Column:
     return strict(optional_text(c).isNotNull(), f"{name} must be a non-empty string", optional_text(c))
 
 
-def prompt_record(r: dict[str, Column]) -> Column:
-    """A prompt of the old schema (it has an id) or of an experiment (prompt_id and
-    experiment_id) as one; anything else fails, as does an old one with an unknown status."""
+def prompt_record(r: dict[str, Column], keys: Column | None = None, source_file: Column | None = None, image_there: Column | None = None) -> Column:
+    """A prompt of the old schema (it has the key id) or of an experiment (the keys
+    prompt_id and experiment_id) as one; anything else fails, as does an old one with an unknown
+    status. keys tells the record's own keys; without it a field that isn't null counts as
+    one. An experiment's image without a path is that of its image id, if image_there."""
     of = lambda k: r.get(k, F.lit(None).cast("string"))
-    null = F.lit(None).cast("string")
-    old, new = of("id").isNotNull(), of("prompt_id").isNotNull() & of("experiment_id").isNotNull()
+    null, no = F.lit(None).cast("string"), F.lit(False)
+    has = (lambda k: F.array_contains(keys, k)) if keys is not None else (lambda k: of(k).isNotNull())
+    old, new = has("id"), has("prompt_id") & has("experiment_id")
     status = strict(of("status").isin(PROMPT_STATUSES), "unsupported legacy prompt status", of("status"))
-    image = optional_text(of("image_path"))
-    stage = F.when(optional_text(of("source_model_id")).isNotNull(), "experiment_source_model_ready").when(image.isNotNull() | optional_text(of("image_id")).isNotNull(), "experiment_image_ready").otherwise("experiment_prompt_only")
+    own, image_id, model = optional_text(of("image_path")), optional_text(of("image_id")), optional_text(of("source_model_id"))
+    found = F.when(F.coalesce(image_there if image_there is not None else no, no), F.concat(F.lit("images/"), image_id, F.lit("/image.png")))
+    image = F.coalesce(own, found)
+    stage = F.when(model.isNotNull(), "experiment_source_model_ready").when(image.isNotNull() | image_id.isNotNull(), "experiment_image_ready").otherwise("experiment_prompt_only")
     either = lambda a, b: F.when(old, a).when(new, b).otherwise(F.raise_error(F.lit("unsupported prompt record schema")))
     label = F.element_at(F.create_map(*map(F.lit, ("experiment_source_model_ready", "source model ready", "experiment_image_ready", "image ready", "experiment_prompt_only", "experiment prompt"))), stage)
     badge = F.when(status == "deleted", "failed").otherwise(status)
+    ident = either(_required(of("id"), "id"), _required(of("prompt_id"), "prompt_id"))
     return F.struct(
-        either(_required(of("id"), "id"), _required(of("prompt_id"), "prompt_id")).alias("id"),
+        *[ident.alias(name) for name in ("id", "ui_id", "raw_id")],
         either(F.lit("legacy_prompt"), F.lit("experiment_prompt")).alias("schema"),
+        either(F.lit("Legacy"), F.lit("Experiment")).alias("schema_label"),
         either(optional_text(of("subject")), _required(of("object_name"), "object_name")).alias("subject"),
         _required(of("prompt"), "prompt").alias("prompt"),
+        optional_text(of("created_at")).alias("created_at"),
+        either(optional_text(of("updated_at")), null).alias("updated_at"),
+        either(null, _required(of("experiment_id"), "experiment_id")).alias("experiment_id"),
+        either(null, model).alias("source_model_id"),
+        either(null, image_id).alias("image_id"),
+        either(own, image).alias("image_path"),
+        (null if source_file is None else source_file).alias("source_file"),
+        either(status == "pending", no).alias("can_generate_image"),
+        either(status == "pending", no).alias("can_batch_generate"),
+        either(F.lit(True), no).alias("can_delete"),
+        either(status == "completed", image.isNotNull()).alias("can_open_image"),
         either(status, stage).alias("status"),
         either(status, label).alias("status_label"),
         either(badge, F.when(stage == "experiment_prompt_only", "running").otherwise("completed")).alias("status_badge_class"),
-        image.alias("image_path"),
-        either(null, optional_text(of("experiment_id"))).alias("experiment_id"),
-        either(status == "pending", F.lit(False)).alias("can_generate_image"),
-        either(F.lit(True), F.lit(False)).alias("can_delete"),
-        either(status == "completed", image.isNotNull()).alias("can_open_image"),
     )
 
 
+def prompt_listing(prompts: DataFrame, files: DataFrame) -> DataFrame:
+    """Prompts (their fields, keys, source_file, position; readers.prompt_batches)
+    as one schema, in their order; files (path below the root) tells which images there are."""
+    fields = [c for c in prompts.columns if c not in ("keys", "source_file", "position")]
+    there = files.filter(F.col("path").rlike("^images/[^/]+/image\\.png$")).select(F.split("path", "/")[1].alias("_image"), F.lit(True).alias("_there")).distinct()
+    rows = prompts.join(there, optional_text(F.col("image_id")) == F.col("_image"), "left") if "image_id" in fields else prompts.withColumn("_there", F.lit(False))
+    record = prompt_record({c: F.col(c) for c in fields}, F.col("keys"), F.col("source_file"), F.col("_there"))
+    return rows.select(record.alias("p"), "position").select("p.*", "position").orderBy(F.desc("source_file"), "position")
+
+
 def image_schema(keys: Column) -> Column:
     """The schema that the keys of an image's meta tell; fails where none does."""
     has = lambda *ks: F.arrays_overlap(keys, F.array(*map(F.lit, ks)))
@@ -81,12 +104,14 @@ def image_entries(images: DataFrame, objects: DataFrame) -> DataFrame:
 
 
 def object_rows(objects: DataFrame) -> DataFrame:
-    """Statistics of objects, under the present names of the scores, sorted."""
-    same = ["experiment_id", "plan_index", "object_index", "category", "object_name", "stage1_failed_count", "source_pipeline_status"]
+    """Statistics of objects, 17 columns, under the present names of the scores, sorted; a
+    field that no record has is null."""
+    names = ["experiment_id", "plan_index", "object_index", "selection_mode", "category", "object_name", "prompt_id", "image_id", "source_model_id", "attempts_total", "stage1_failed_count", "stage2_entered_count", "stage2_passed_count", "stage2_failed_count", "source_pipeline_status"]
+    same = [(F.col(c) if c in objects.columns else F.lit(None)).alias("edit_attempts_total" if c == "attempts_total" else c) for c in names]
     scores = [F.coalesce(f"stage2_lpips_{x}", f"stage2_dreamsim_{x}").alias(f"stage2_lpips_{x}") for x in ("mean", "std")]
     blank = lambda c: F.coalesce(c, F.lit(""))
     order = [blank("category"), blank("object_name"), blank("experiment_id"), F.coalesce("object_index", F.lit(0))]
-    return objects.orderBy(*order).select(*same, F.col("attempts_total").alias("edit_attempts_total"), *scores)
+    return objects.orderBy(*order).select(*same, *scores)
 
 
 def edit_rows(edits: DataFrame, shown: Column) -> DataFrame:
@@ -281,3 +306,37 @@ def index_entry(row: dict[str, Column]) -> Column:
     batches = F.coalesce(F.from_json(row["edited_batches_json"], "array<string>"), F.array().cast("array<string>"))
     rest = [(F.coalesce(c.cast("boolean"), F.lit(False)) if k in flags else c).alias(k) for k, c in row.items() if k != "edited_batches_json"]
     return F.struct(*rest, batches.alias("edited_batches"), F.coalesce(lacks, F.lit(False)).alias("edits_without_target"))
+
+
+def unified_decision(v: Column, instruction: Column, rejudged: Column | None = None, require_evidence: bool = True, require_rejudge: bool = True) -> Column:
+    """what a sound reply (F17) of the judge decides, in its order of precedence: views that
+    can't be, an instruction that isn't legal, weak evidence, an instruction that was followed,
+    and else its rewriting, which a second judge (rejudged: decision, reason; null where there
+    is none) may have to confirm. status, reason, effective, candidate, and what is on display."""
+    word = lambda c: F.lower(F.trim(c))
+    say = lambda tag, *parts: F.concat(F.lit(f"[{tag}] "), *[F.coalesce(p, F.lit("")) if isinstance(p, Column) else F.lit(p) for p in parts])
+    legal, follow, relabel = v["instruction_legality"], v["instruction_following"], v["relabel"]
+    geometry, illegal = word(v["view_sanity"]["decision"]) == "fail", word(legal["decision"]) == "reject"
+    weak = F.lit(require_evidence) & (word(v["evidence_strength"]) == "weak")
+    followed = word(follow["decision"]) == "pass"
+    asks = ~geometry & ~illegal & ~weak & ~followed
+    rewrite = asks & (word(relabel["status"]) == "rewrite") & (F.coalesce(relabel["instruction"], F.lit("")) != "")
+    second = F.lit(require_rejudge) & rejudged.isNotNull() if rejudged is not None else F.lit(False)
+    confirmed = F.coalesce(word(rejudged["decision"]) == "pass", F.lit(False)) if rejudged is not None else F.lit(False)
+    renamed = rewrite & (~second | confirmed)
+    passed = (~geometry & ~illegal & ~weak & followed) | renamed
+    effective = F.when(renamed, relabel["instruction"]).otherwise(instruction)
+    not_followed = say("instruction_following", follow["reason"])
+    after = F.when(rewrite, say("rejudge", rejudged["reason"]) if rejudged is not None else F.lit("")).when(word(relabel["status"]) == "cannot_rewrite", say("relabel", "cannot_rewrite: ", relabel["reason"])).otherwise(F.lit("[relabel] status=none but instruction not followed"))
+    failed = (
+        F.when(geometry, say("view_sanity", v["view_sanity"]["reason"]))
+        .when(illegal, say("instruction_legality", legal["category"], ": ", legal["reason"]))
+        .when(weak, F.lit("[evidence] weak visual evidence for the requested edit"))
+        .otherwise(F.concat(not_followed, F.lit("; "), after))
+    )
+    told = F.when(second, "relabel succeeded and rejudge passed").otherwise("relabel succeeded")
+    reason = F.when(renamed & (effective != instruction), told).when(passed, "unified judge passed").otherwise(failed)
+    given = F.struct(F.when(passed, "passed").otherwise("failed_quality").alias("status"), reason.alias("reason"), effective.alias("effective"), F.when(rewrite, relabel["instruction"]).alias("candidate"), F.when(word(relabel["status"]) == "rewrite", relabel["reason"]).alias("why"), instruction.alias("original"), (renamed & (effective != instruction)).alias("rewritten"))
+    none = F.lit(None).cast("string")
+    shown = lambda d: display_payload(d["original"], d["effective"], d["candidate"], d["status"], d["rewritten"], d["why"], none, none, F.lit(False))
+    return F.transform(F.array(given), lambda d: F.struct(d["status"].alias("status"), d["reason"].alias("reason"), d["effective"].alias("effective"), d["candidate"].alias("candidate"), shown(d).alias("display")))[0]

@@ -79,7 +79,7 @@ def task_recovery(t: Tables) -> DataFrame:
     CASE WHEN o_orderkey % 2 = 1 THEN CASE WHEN o_orderstatus = 'P' THEN 'running' ELSE 'completed' END WHEN o_orderstatus = 'F' THEN 'failed' WHEN o_orderstatus = 'O' THEN 'pending' ELSE 'completed' END AS badge, o_orderkey % 2 = 0 AND o_orderstatus = 'P' AS can_open FROM orders"""
 )
 def prompt_records(t: Tables) -> DataFrame:
-    """P04, P05, P06, S17."""
+    """P04, P05, P06."""
     k, st = _text("o_orderkey"), F.col("o_orderstatus")
     old = F.col("o_orderkey") % 2 == 0
     r = {
@@ -109,20 +109,21 @@ def image_entries(t: Tables) -> DataFrame:
     return out.select(F.substring("id", 2, 20).cast("long").alias("id"), "schema_name", "subject", "display_subject")
 
 
-@query("SELECT p_partkey AS plan_index, p_brand AS category, p_size AS edit_attempts_total, CASE WHEN p_size % 2 = 0 THEN p_retailprice ELSE 1.5 END AS stage2_lpips_mean FROM part")
+@query("SELECT p_partkey AS plan_index, 1 AS object_index, p_brand AS category, p_name AS object_name, 'pr' || p_partkey AS prompt_id, NULL AS image_id, p_size AS edit_attempts_total, p_size % 4 AS stage1_failed_count, p_size % 5 AS stage2_passed_count, CASE WHEN p_size % 2 = 0 THEN p_retailprice ELSE 1.5 END AS stage2_lpips_mean, CASE WHEN p_size % 3 = 0 THEN 'failed' END AS source_pipeline_status, 17 AS columns FROM part")
 def object_rows(t: Tables) -> DataFrame:
     """P22."""
-    none = F.lit(None).cast("string")
+    none, size = F.lit(None).cast("string"), F.col("p_size")
     rows = t.part.select(
-        none.alias("experiment_id"), F.col("p_partkey").alias("plan_index"), F.lit(1).alias("object_index"), F.col("p_brand").alias("category"), none.alias("object_name"), F.lit(0).alias("stage1_failed_count"), none.alias("source_pipeline_status"),
-        F.col("p_size").alias("attempts_total"), *[F.when(F.col("p_size") % 2 == 0, F.col("p_retailprice")).alias(f"stage2_lpips_{x}") for x in ("mean", "std")], *[F.lit(1.5).alias(f"stage2_dreamsim_{x}") for x in ("mean", "std")],
+        none.alias("experiment_id"), F.col("p_partkey").alias("plan_index"), F.lit(1).alias("object_index"), F.col("p_brand").alias("category"), F.col("p_name").alias("object_name"), F.concat(F.lit("pr"), _text("p_partkey")).alias("prompt_id"), (size % 4).alias("stage1_failed_count"), (size % 5).alias("stage2_passed_count"), F.when(size % 3 == 0, "failed").alias("source_pipeline_status"),
+        size.alias("attempts_total"), *[F.when(size % 2 == 0, F.col("p_retailprice")).alias(f"stage2_lpips_{x}") for x in ("mean", "std")], *[F.lit(1.5).alias(f"stage2_dreamsim_{x}") for x in ("mean", "std")],
     )
-    return payloads.object_rows(rows).select("plan_index", "category", "edit_attempts_total", "stage2_lpips_mean")
+    out = payloads.object_rows(rows)
+    return out.select("plan_index", "object_index", "category", "object_name", "prompt_id", F.col("image_id").cast("string").alias("image_id"), "edit_attempts_total", "stage1_failed_count", "stage2_passed_count", "stage2_lpips_mean", "source_pipeline_status", F.lit(len(out.columns)).alias("columns"))
 
 
 @query("SELECT l_orderkey, l_linenumber, CASE WHEN l_linestatus = 'F' THEN 'new' ELSE 'old' END AS instruction_text, CASE WHEN l_returnflag = 'A' THEN 'detail' ELSE 'whole' END AS reason, CASE WHEN l_tax > 0.04 THEN 'scoped' WHEN l_discount > 0.04 THEN 'single' END AS score_of, CASE WHEN l_quantity > 25 THEN 'passed' ELSE 'failed_quality' END AS s1 FROM lineitem")
 def stage_fields(t: Tables) -> DataFrame:
-    """P19, P23-P27."""
+    """P19, P23, P24."""
     none = F.lit(None).cast("string")
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_linestatus", "l_returnflag", "l_tax", "l_discount", "l_quantity", *[none.alias(c) for c in ("category", "object_name", "experiment_id")], F.col("l_linenumber").alias("instruction_index"))
     shown = records.display_payload(F.lit("old"), F.when(F.col("l_linestatus") == "F", "new"), none, F.lit("passed"), none.cast("boolean"), none, none, none, F.lit(False))["instruction_display_text"]
@@ -226,3 +227,59 @@ def relabel_lifecycles(t: Tables) -> DataFrame:
     st, even = F.col("o_orderstatus"), F.col("o_orderkey") % 2 == 0
     r = records.relabel_lifecycle(F.when(st == "P", " failed"), F.when(st == "F", "relabel_passed"), even, F.when((st == "P") & even, "passed").otherwise("odd"), F.when(F.col("o_orderkey") % 3 == 0, "last").otherwise(""), F.lit(None).cast("string"), F.lit("e"))
     return t.orders.select("o_orderkey", r.alias("r")).select("o_orderkey", "r.state", "r.terminal", F.col("r.terminal_outcome").alias("outcome"), "r.attempted", F.col("r.last_edit_id").alias("last_edit"), F.col("r.terminal_edit_id").alias("terminal_edit"))
+
+
+@query(
+    """SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 = 0 THEN 'legacy_prompt' ELSE 'experiment_prompt' END AS schema, CASE WHEN o_orderkey % 3 = 0 THEN 'p' || o_orderkey ELSE 'x' || o_orderkey END AS ui_id,
+    CASE WHEN o_orderkey % 3 = 0 THEN CASE WHEN o_orderstatus = 'P' THEN 'own.png' END WHEN o_orderkey % 3 = 1 AND o_orderkey % 2 = 0 THEN 'images/i' || o_custkey || '/image.png' END AS image_path, CASE WHEN o_orderkey % 3 <> 0 AND o_orderkey % 3 = 1 THEN 'i' || o_custkey END AS image_id,
+    CASE WHEN o_orderkey % 3 = 0 THEN 'pending' WHEN o_orderstatus = 'F' THEN 'experiment_source_model_ready' WHEN o_orderkey % 3 = 1 THEN 'experiment_image_ready' ELSE 'experiment_prompt_only' END AS status, o_orderkey % 3 = 0 AS can_batch_generate, o_orderkey % 3 = 1 AND o_orderkey % 2 = 0 AS can_open_image,
+    'batch_' || (o_custkey % 4) || '.jsonl' AS source_file, CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_orderdate AS VARCHAR) END AS updated_at FROM orders"""
+)
+def prompt_listing(t: Tables) -> DataFrame:
+    """All columns, keys told by the records, images told by the files there are."""
+    k, old, image = F.col("o_orderkey"), F.col("o_orderkey") % 3 == 0, F.concat(F.lit("i"), _text("o_custkey"), F.when(F.col("o_orderkey") % 2 == 1, "-none").otherwise(""))
+    keys = F.when(old, F.array(F.lit("id"), F.lit("prompt"))).otherwise(F.array(F.lit("prompt_id"), F.lit("experiment_id"), F.lit("prompt")))
+    rows = t.orders.select(
+        F.when(old, F.concat(F.lit("p"), _text(k))).alias("id"), F.when(~old, F.concat(F.lit("x"), _text(k))).alias("prompt_id"), F.when(~old, "e").alias("experiment_id"), F.lit(" Make ").alias("prompt"), F.lit("lamp").alias("object_name"), F.when(old, "pending").alias("status"),
+        F.when((k % 3 == 1), image).alias("image_id"), F.when(old & (F.col("o_orderstatus") == "P"), " own.png ").alias("image_path"), F.when(F.col("o_orderstatus") == "F", "m").alias("source_model_id"), F.col("o_orderdate").cast("string").alias("updated_at"),
+        keys.alias("keys"), F.concat(F.lit("batch_"), _text(F.col("o_custkey") % 4), F.lit(".jsonl")).alias("source_file"), k.alias("position"),
+    )
+    files = t.customer.select(F.concat(F.lit("images/i"), _text("c_custkey"), F.lit("/image.png")).alias("path"))
+    out = payloads.prompt_listing(rows, files)
+    return out.select(F.col("position").alias("k"), "schema", "ui_id", "image_path", F.regexp_replace("image_id", "-none$", "").alias("image_id"), "status", "can_batch_generate", "can_open_image", "source_file", "updated_at")
+
+
+@query(
+    """WITH d AS (SELECT event_id, event_id % 2 = 0 AS geo, event_id % 3 = 0 AS ill, event_id % 5 = 0 AS weak, event_id % 7 = 0 AS fol, CASE user_id % 3 WHEN 0 THEN 'rewrite' WHEN 1 THEN 'cannot_rewrite' ELSE 'none' END AS rel, CASE event_type WHEN 'view' THEN 'pass' WHEN 'click' THEN 'fail' END AS again FROM events),
+    r AS (SELECT *, NOT geo AND NOT ill AND NOT weak AND NOT fol AND rel = 'rewrite' AS rw FROM d), s AS (SELECT *, rw AND coalesce(again = 'pass', true) AS renamed FROM r)
+    SELECT event_id, CASE WHEN NOT geo AND NOT ill AND NOT weak AND fol OR renamed THEN 'passed' ELSE 'failed_quality' END AS status, CASE WHEN renamed THEN 'Remove the cap' ELSE 'Remove it' END AS effective,
+    CASE WHEN renamed THEN CASE WHEN again IS NULL THEN 'relabel succeeded' ELSE 'relabel succeeded and rejudge passed' END WHEN NOT geo AND NOT ill AND NOT weak AND fol THEN 'unified judge passed' WHEN geo THEN '[view_sanity] torn' WHEN ill THEN '[instruction_legality] main_body: whole' WHEN weak THEN '[evidence] weak visual evidence for the requested edit'
+      ELSE '[instruction_following] not done; ' || CASE WHEN rw THEN '[rejudge] no' WHEN rel = 'cannot_rewrite' THEN '[relabel] cannot_rewrite: why' ELSE '[relabel] status=none but instruction not followed' END END AS reason,
+    CASE WHEN renamed THEN 'relabel_passed' WHEN NOT geo AND NOT ill AND NOT weak AND fol THEN 'original_passed' WHEN rw THEN 'relabel_failed' ELSE 'stage1_failed' END AS display FROM s"""
+)
+def unified_decisions(t: Tables) -> DataFrame:
+    """every step of the order of precedence, with and without a second judge."""
+    e = F.col("event_id")
+    either = lambda n, yes, no: F.when(e % n == 0, yes).otherwise(no)
+    relabel = F.element_at(F.array(*map(F.lit, ("rewrite", "cannot_rewrite", "none"))), (F.col("user_id") % 3 + 1).cast("int"))
+    v = F.struct(
+        F.struct(either(2, "Fail", "pass").alias("decision"), F.lit("torn").alias("reason")).alias("view_sanity"), F.struct(either(3, "reject", "allow").alias("decision"), F.lit("main_body").alias("category"), F.lit("whole").alias("reason")).alias("instruction_legality"),
+        either(5, " weak", "strong").alias("evidence_strength"), F.struct(either(7, "pass", "fail").alias("decision"), F.lit("not done").alias("reason")).alias("instruction_following"), F.struct(relabel.alias("status"), F.lit("Remove the cap").alias("instruction"), F.lit("why").alias("reason")).alias("relabel"),
+    )
+    again = F.when(F.col("event_type") == "view", "pass").when(F.col("event_type") == "click", "fail")
+    second = F.when(again.isNotNull(), F.struct(again.alias("decision"), F.lit("no").alias("reason")))
+    rows = t.events.select("event_id", payloads.unified_decision(v, F.lit("Remove it"), second).alias("d"))
+    return rows.select("event_id", "d.status", "d.effective", "d.reason", F.col("d.display.instruction_display_status").alias("display"))
+
+
+_TEXTS = ["Remove the left wheel", "replace a wheel", "Repaint the door", "Remove the entire frame", "Replace the logo", "Replace the wooden seat with a metal seat", "Remove the lamp", "REMOVE one front wheel", "Swap the colour of it", "Remove the whole object", "remove the seam line", "移除左边的门", "Remove the leftover part", None]
+
+
+@query(
+    f"SELECT event_id, {[t or '' for t in _TEXTS]!r}[CAST(event_id % 14 AS INT) + 1] AS said, event_id % 14 IN (0, 11) AS lateral, event_id % 14 IN (1, 7) AS ambiguous, event_id % 14 IN (2, 8) AS texture, event_id % 14 IN (3, 9) AS main_body, event_id % 14 IN (4, 10) AS appearance, event_id % 14 = 5 AS swap FROM events"
+)
+def term_predicates(t: Tables) -> DataFrame:
+    """F06-F11, with the true lists."""
+    said = F.element_at(F.array(*map(F.lit, _TEXTS)), (F.col("event_id") % 14 + 1).cast("int"))
+    rules = {"lateral": text.is_lateral, "ambiguous": text.is_ambiguous_part, "texture": text.is_texture_edit, "main_body": text.is_main_body_edit, "appearance": text.is_appearance_edit, "swap": text.is_material_swap}
+    return t.events.select("event_id", F.coalesce(said, F.lit("")).alias("said"), *[rule(said).alias(name) for name, rule in rules.items()])
