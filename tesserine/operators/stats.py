@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.records import ERROR, FAILED, PASSED, optional_text, safe_float, timing_scope
+from ..functions.stages import Doc
 from ..functions.text import clean
 
 
@@ -171,15 +172,18 @@ def run_summary(manifests: DataFrame, edits: DataFrame) -> DataFrame:
 
 
 def run_state(manifests: DataFrame, objects: DataFrame, edits: DataFrame) -> DataFrame:
-    """Failures by kind, and the state they tell. Stored totals stand before counts."""
+    """Planned and recorded counts, failures by kind, and the state they tell. Stored totals
+    stand before counts."""
     s1, s2 = F.col("stage1_status"), F.col("stage2_status")
     by_edit = edits.groupBy("experiment_id").agg(F.count("*").alias("_edits"), _count(s1.isin(FAILED, ERROR), "_s1"), _count(s2 == FAILED, "_s2"), _count(s2 == ERROR, "stage2_error_count"))
     by_object = objects.groupBy("experiment_id").agg(F.count("*").alias("_objects"), _count(F.col("source_pipeline_status") == "failed", "source_pipeline_failed_count"))
     out = manifests.join(by_edit, "experiment_id", "left").join(by_object, "experiment_id", "left")
     zero = lambda *c: F.coalesce(*c, F.lit(0))
     raw = optional_text(F.col("status"))
+    progress = Doc(F.col("progress"), manifests.schema["progress"].dataType)
     out = out.select(
         "experiment_id",
+        *[progress.get(c, "long").alias(c) for c in ("planned_object_count", "planned_edit_count")],
         raw.alias("raw_status"),
         zero("progress.object_record_count", "_objects").alias("object_record_count"),
         zero("progress.edit_record_count", "_edits").alias("edit_record_count"),
@@ -208,6 +212,25 @@ def plan_summary(manifests: DataFrame, *by: str) -> DataFrame:
     return manifests.groupBy("plan_path", *by).agg(F.count("*").alias("run_count"), F.max(t).alias("latest"), F.max_by("name", F.struct(t, F.col("name"))).alias("name")).orderBy(F.desc("latest"), "plan_path")
 
 
+def plan_details(manifests: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """plan_path, yaml_name, plan_name, source_provider, target_provider, edit_mode,
+    category_count, experiment_run_count, latest_run_time, plan_file_exists, plan_categories: a
+    row a plan, told by its newest run; files: path of the plan files there are."""
+    t = F.coalesce(F.nullif("finished_at", F.lit("")), F.col("started_at"), F.lit(""))
+    doc = Doc(F.struct(*manifests.columns), manifests.schema)
+    plan = doc.doc("plan")
+    held = plan.get("categories", "array<struct<category_name: string>>")
+    newest = F.max_by(F.struct(doc.get("name").alias("plan_name"), *[doc.get(c).alias(c) for c in ("source_provider", "target_provider", "edit_mode")], held.alias("plan_categories")), F.struct(t, doc.get("started_at"), doc.get("experiment_id")))
+    out = manifests.groupBy("plan_path").agg(F.count("*").alias("experiment_run_count"), F.nullif(F.max(t), F.lit("")).alias("latest_run_time"), newest.alias("n"))
+    there = F.lit(None).cast("boolean")
+    if files is not None:
+        out = out.join(files.select(F.col("path").alias("plan_path"), F.lit(True).alias("_there")).distinct(), "plan_path", "left")
+        there = F.coalesce("_there", F.lit(False))
+    name = F.regexp_extract("plan_path", "([^/]*)$", 1).alias("yaml_name")
+    count = F.greatest(F.coalesce(F.size("n.plan_categories"), F.lit(0)), F.lit(0)).alias("category_count")
+    return out.select("plan_path", name, "n.plan_name", "n.source_provider", "n.target_provider", "n.edit_mode", count, "experiment_run_count", "latest_run_time", there.alias("plan_file_exists"), "n.plan_categories").orderBy(F.desc("latest_run_time"), "plan_path")
+
+
 def plan_categories(manifests: DataFrame) -> DataFrame:
     """The categories of a plan, numbered from 1; those of its first run count."""
     first = manifests.groupBy("plan_path").agg(F.min_by("categories", "experiment_id").alias("categories"))

@@ -36,7 +36,7 @@ def redacted_requests(t: Tables) -> DataFrame:
     r AS (SELECT m.*, coalesce(e, 0) AS edit_record_count, coalesce(tot, s1, 0)::BIGINT AS stage1_failed_count, coalesce(s2, 0) AS stage2_failed_count, coalesce(s3, 0) AS stage2_error_count, coalesce(f, 0) AS source_pipeline_failed_count FROM m LEFT JOIN o USING (id)),
     s AS (SELECT *, CASE WHEN rec THEN 'repair_needed' WHEN (fin OR coalesce(raw = 'completed', false)) AND greatest(stage1_failed_count, stage2_failed_count, stage2_error_count, source_pipeline_failed_count) > 0 THEN 'completed_with_failures'
       WHEN fin OR coalesce(raw = 'completed', false) THEN 'completed' WHEN raw IN ('running', 'interrupted') THEN 'interrupted' ELSE coalesce(raw, 'interrupted') END AS status FROM r)
-    SELECT id, raw, edit_record_count, stage1_failed_count, stage2_failed_count, stage2_error_count, source_pipeline_failed_count, status, status IN ('interrupted', 'repair_needed') AS resumable FROM s"""
+    SELECT id, raw, id % 9 AS planned_edit_count, edit_record_count, stage1_failed_count, stage2_failed_count, stage2_error_count, source_pipeline_failed_count, status, status IN ('interrupted', 'repair_needed') AS resumable FROM s"""
 )
 def run_states(t: Tables) -> DataFrame:
     """A11."""
@@ -45,12 +45,12 @@ def run_states(t: Tables) -> DataFrame:
     runs = t.customer.select(
         F.col("c_custkey").alias("experiment_id"), raw.alias("status"), F.when(n % 7 == 1, "2024").alias("finished_at"), (n % 11 == 2).alias("partial_recovered"),
         F.struct(F.when(n % 2 == 0, F.lit(3).cast("long")).alias("stage1_failed_count"), F.lit(None).cast("long").alias("stage2_failed_count")).alias("totals"),
-        F.struct(F.lit(None).cast("long").alias("object_record_count"), F.lit(None).cast("long").alias("edit_record_count")).alias("progress"),
+        F.struct(F.lit(None).cast("long").alias("object_record_count"), F.lit(None).cast("long").alias("edit_record_count"), (F.col("c_custkey") % 9).alias("planned_edit_count")).alias("progress"),
     )
     edits = t.orders.select(F.col("o_custkey").alias("experiment_id"), F.when(p == "1", "error_quality_check").otherwise("passed").alias("stage1_status"), F.when(p == "2", "failed_quality").when(p == "3", "error_quality_check").alias("stage2_status"))
     objects = t.orders.select(F.col("o_custkey").alias("experiment_id"), F.when(p == "5", "failed").alias("source_pipeline_status"))
     out = stats.run_state(runs, objects, edits)
-    return out.select(F.col("experiment_id").alias("id"), F.col("raw_status").alias("raw"), "edit_record_count", "stage1_failed_count", "stage2_failed_count", "stage2_error_count", "source_pipeline_failed_count", "status", "resumable")
+    return out.select(F.col("experiment_id").alias("id"), F.col("raw_status").alias("raw"), "planned_edit_count", "edit_record_count", "stage1_failed_count", "stage2_failed_count", "stage2_error_count", "source_pipeline_failed_count", "status", "resumable")
 
 
 @query(
@@ -283,3 +283,21 @@ def term_predicates(t: Tables) -> DataFrame:
     said = F.element_at(F.array(*map(F.lit, _TEXTS)), (F.col("event_id") % 14 + 1).cast("int"))
     rules = {"lateral": text.is_lateral, "ambiguous": text.is_ambiguous_part, "texture": text.is_texture_edit, "main_body": text.is_main_body_edit, "appearance": text.is_appearance_edit, "swap": text.is_material_swap}
     return t.events.select("event_id", F.coalesce(said, F.lit("")).alias("said"), *[rule(said).alias(name) for name, rule in rules.items()])
+
+
+@query(
+    """WITH m AS (SELECT 'plans/p' || (o_custkey % 30) || '.yaml' AS plan_path, o_orderkey AS id, nullif(CAST(o_orderdate AS VARCHAR), CASE WHEN o_orderkey % 4 = 0 THEN CAST(o_orderdate AS VARCHAR) END) AS t, o_orderpriority AS name, CASE WHEN o_orderkey % 2 = 0 THEN 'tripo' ELSE 'rodin' END AS source, o_orderkey % 5 AS cats FROM orders),
+    n AS (SELECT *, row_number() OVER (PARTITION BY plan_path ORDER BY coalesce(t, '') DESC, 'e' || id DESC) AS r FROM m)
+    SELECT plan_path, substr(plan_path, 7) AS yaml_name, name AS plan_name, source AS source_provider, cats AS category_count, (SELECT count(*) FROM m WHERE m.plan_path = n.plan_path) AS experiment_run_count, t AS latest_run_time, CAST(regexp_extract(plan_path, '[0-9]+') AS INT) % 2 = 0 AS plan_file_exists FROM n WHERE r = 1"""
+)
+def plan_details(t: Tables) -> DataFrame:
+    """All columns of a plan's summary, told by its newest run."""
+    k = F.col("o_orderkey")
+    path = lambda c: F.concat(F.lit("plans/p"), c.cast("string"), F.lit(".yaml"))
+    cats = F.transform(F.sequence(F.lit(0), (k % 5).cast("int")), lambda i: F.struct(i.cast("string").alias("category_name")))
+    runs = t.orders.select(
+        path(F.col("o_custkey") % 30).alias("plan_path"), F.concat(F.lit("e"), k.cast("string")).alias("experiment_id"), F.when(k % 4 != 0, F.col("o_orderdate").cast("string")).alias("finished_at"), F.lit(None).cast("string").alias("started_at"), F.col("o_orderpriority").alias("name"),
+        F.when(k % 2 == 0, "tripo").otherwise("rodin").alias("source_provider"), F.lit("t").alias("target_provider"), F.lit("single").alias("edit_mode"), F.struct(F.slice(cats, 2, 9).alias("categories")).alias("plan"),
+    )
+    files = t.customer.select(path(F.col("c_custkey") % 15 * 2).alias("path"))
+    return stats.plan_details(runs, files).select("plan_path", "yaml_name", "plan_name", "source_provider", "category_count", "experiment_run_count", "latest_run_time", "plan_file_exists")
