@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import written
+
 #: Points in one block; a task compares a block of a with a block of b at a time.
 BLOCK = 512
 #: Pivots of one key: about the root of its points in b, and about so many at most.
@@ -26,22 +24,6 @@ def _blocks(df: DataFrame, by: list[str], spread: Column, value: Column, name: s
     return rows.join(sizes, by).groupBy(*by, F.pmod("_h", "_n").alias("_block")).agg(F.collect_list("_v").alias(name))
 
 
-def _written(df: DataFrame) -> DataFrame:
-    """df as a table in the folder of spark.checkpoint.dir, read again, so that each step is
-    planned and run once. Only a local session without that setting gets a temporary folder."""
-    spark = df.sparkSession
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not at:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        own = tempfile.mkdtemp(prefix="nearest-")
-        atexit.register(shutil.rmtree, own, True)
-        at = f"file://{own}"
-    path = f"{at.rstrip('/')}/nearest-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def _distances(p: np.ndarray, to: np.ndarray) -> np.ndarray:
     return np.sqrt(((to - p) ** 2).sum(axis=1))
 
@@ -62,7 +44,7 @@ def nearest(a: DataFrame, b: DataFrame, key: str, point: str, id_col: str) -> Da
     share = F.least(F.sqrt("_n"), F.lit(float(PIVOTS))) / F.col("_n") * F.lit(float(1 << 30))
     some = qs.join(sizes, key).filter((hashed < share) | (F.col("_q") == F.col("_first")))
     pivots = some.groupBy(key).agg(F.sort_array(F.collect_set("_q")).alias("_pivots"))
-    pivots = _written(pivots)
+    pivots = written(pivots, "nearest")
 
     def to_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
@@ -74,13 +56,13 @@ def nearest(a: DataFrame, b: DataFrame, key: str, point: str, id_col: str) -> Da
                 yield pd.DataFrame(out, columns=[key, "_cell", "_r", "_q"])
 
     dealt = _blocks(qs, [key], F.xxhash64("_q"), F.col("_q"), "_points").join(pivots, key).select(key, "_points", "_pivots")
-    celled = _written(dealt.mapInPandas(to_cells, f"{key} {kind}, _cell int, _r double, _q {double}"))
+    celled = written(dealt.mapInPandas(to_cells, f"{key} {kind}, _cell int, _r double, _q {double}"), "nearest")
     rings = celled.groupBy(key, "_cell").agg(F.min("_r").alias("lo"), F.max("_r").alias("hi"))
     rings = rings.groupBy(key).agg(F.collect_list(F.struct(F.col("_cell").alias("cell"), "lo", "hi")).alias("_rings"))
     maps = pivots.join(rings, key).select(key, "_pivots", F.col("_rings.cell").alias("_cells"), F.col("_rings.lo").alias("_lo"), F.col("_rings.hi").alias("_hi"))
-    maps = _written(maps)
+    maps = written(maps, "nearest")
     targets = _blocks(celled, [key, "_cell"], F.xxhash64("_q"), F.col("_q"), "_points").select(key, "_cell", "_points")
-    targets = _written(targets)
+    targets = written(targets, "nearest")
 
     def visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """The home cell of points without a bound, else the cells that may be nearer."""
@@ -110,11 +92,11 @@ def nearest(a: DataFrame, b: DataFrame, key: str, point: str, id_col: str) -> Da
     def met(rows: DataFrame) -> DataFrame:
         value = F.struct(F.col("_id").alias("id"), F.col("_p").alias("p"), F.col("_bound").alias("bound"))
         sent = _blocks(rows, [key], F.xxhash64("_id", "_p"), value, "_block_of_a").join(maps, key).select(key, "_block_of_a", "_pivots", "_cells", "_lo", "_hi")
-        sent = _written(sent.mapInPandas(visits, f"{key} {kind}, _cell int, _id {id_kind}, _p {double}"))
+        sent = written(sent.mapInPandas(visits, f"{key} {kind}, _cell int, _id {id_kind}, _p {double}"), "nearest")
         value = F.struct(F.col("_id").alias("id"), F.col("_p").alias("p"))
         pairs = _blocks(sent, [key, "_cell"], F.xxhash64("_id", "_p"), value, "_block_of_a").join(targets, [key, "_cell"]).select(key, "_block_of_a", "_points")
         got = pairs.mapInPandas(compare, f"{key} {kind}, _id {id_kind}, _p {double}, _bound double")
-        return _written(got.groupBy(key, "_id", "_p").agg(F.min("_bound").alias("_bound")))
+        return written(got.groupBy(key, "_id", "_p").agg(F.min("_bound").alias("_bound")), "nearest")
 
     first = met(ps.withColumn("_bound", F.lit(None).cast("double")))
     return first.union(met(first)).groupBy(key, F.col("_id").alias(id_col)).agg(F.min("_bound").alias("distance"))

@@ -29,7 +29,7 @@ def reuse_lookup(wanted: DataFrame, edits: DataFrame, allowed: Column) -> DataFr
 
 
 def reasons(df: DataFrame, rules: Sequence[tuple[Column, str]], accepted: str = "accepted") -> DataFrame:
-    """The first rule a row breaks."""
+    """The common form of J12 and J13: the first rule a row breaks."""
     return df.withColumn("reason", F.coalesce(first_reason(rules), F.lit(accepted)))
 
 

@@ -82,7 +82,7 @@ def work_list_capped(t: Tables) -> DataFrame:
 
 @query("SELECT CASE WHEN n_regionkey = 0 THEN 'region_closed' WHEN o_totalprice < 50000 THEN 'too_small' WHEN c_acctbal < 0 THEN 'in_debt' ELSE 'accepted' END AS reason, count(*) AS count FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1")
 def reason_breakdown(t: Tables) -> DataFrame:
-    """J12, J13, J26, S20, F18."""
+    """The common form of J12 and J13: counts by the first rule that a row breaks."""
     rows = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     return planning.reason_counts(rows, [(F.col("n_regionkey") == 0, "region_closed"), (F.col("o_totalprice") < 50000, "too_small"), (F.col("c_acctbal") < 0, "in_debt")])
 
@@ -119,11 +119,11 @@ def assembled_models(t: Tables) -> DataFrame:
 
 
 _PRIORITY = """p AS (SELECT category, style_id, row_number() OVER (PARTITION BY category ORDER BY weight DESC, cover DESC, pos) - 1 AS rank
-  FROM (SELECT p_brand AS category, p_type AS style_id, min(p_partkey) AS pos, length(p_type) AS weight, count(*) OVER (PARTITION BY p_type) AS cover FROM part WHERE p_size <= 20 GROUP BY p_brand, p_type))"""
+  FROM (SELECT p_brand AS category, p_type AS style_id, min(p_partkey) AS pos, length(p_type) AS weight, count(*) OVER (PARTITION BY p_type) AS cover FROM part GROUP BY p_brand, p_type))"""
 
 
 def _priority(t: Tables) -> DataFrame:
-    mapping = t.part.filter("p_size <= 20").groupBy(F.col("p_brand").alias("category"), F.col("p_type").alias("style_id")).agg(F.min("p_partkey").alias("pos"))
+    mapping = t.part.groupBy(F.col("p_brand").alias("category"), F.col("p_type").alias("style_id")).agg(F.min("p_partkey").alias("pos"))
     styles = mapping.select("style_id").distinct().withColumn("weight", F.length("style_id"))
     return planning.style_priority(styles, mapping)
 
@@ -345,7 +345,7 @@ def metric_sheet(t: Tables) -> DataFrame:
 
 
 @query(
-    """SELECT o_orderkey AS sample_id, concat_ws(',', CASE WHEN k % 7 = 4 THEN 'instruction_mismatch' END, CASE WHEN k % 2 = 1 THEN 'missing:edited_views' END, CASE WHEN k % 7 = 5 THEN 'missing:meta' END, CASE WHEN k % 3 = 1 THEN 'missing:source_glb' END,
+    """SELECT o_orderkey AS sample_id, concat_ws(',', CASE WHEN k % 7 = 4 THEN 'instruction_mismatch' END, CASE WHEN k % 2 = 1 THEN 'missing:edited_views' END, CASE WHEN k % 7 = 5 THEN 'missing:meta' END, CASE WHEN k % 3 = 1 THEN 'missing:source_glb' END, CASE WHEN k % 5 = 0 AND k % 3 = 1 THEN 'missing:target_glb' END,
     CASE WHEN k % 7 = 6 THEN 'no_edit_in_path' END, CASE WHEN k % 11 < 2 THEN 'possible_typo' END, CASE WHEN k % 5 = 0 THEN 'same_file' END) AS issues FROM (SELECT *, o_orderkey AS k FROM orders)"""
 )
 def manifest_issues(t: Tables) -> DataFrame:
@@ -364,8 +364,7 @@ def manifest_issues(t: Tables) -> DataFrame:
     files = t.orders.select(F.explode(F.array_compact(paths)).alias("path")).union(t.orders.filter((k % 5 == 0) & (k % 3 == 1)).select(F.concat(F.lit("x/"), s)))
     metas = rows.filter((F.col("sample_id") % 7 != 5)).select(F.concat(F.lit("/r/triplets/m"), F.col("sample_id").cast("string"), F.lit("/edited/e"), F.col("sample_id").cast("string"), F.lit("/meta.json")).alias("path"), F.when(F.col("sample_id") % 7 == 4, "Else").otherwise(F.concat(F.lit(" "), F.col("instruction"))).alias("instruction"))
     found = writers.manifest_issues(rows, files, metas, ["front"], "/r")
-    # A shared file that isn't there is missed twice; once is enough to see.
-    return found.withColumn("issues", listed(F.filter("issues", lambda x: x != "missing:target_glb")))
+    return found.withColumn("issues", listed("issues"))
 
 
 _NEAR = "SELECT min(sqrt(list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda x: (x[1]::DOUBLE - x[2]) ** 2)))) AS d FROM embeddings a, embeddings b WHERE a.label = {0} AND b.label = {1} GROUP BY a.vec_id"

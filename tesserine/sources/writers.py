@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
 from ..functions.records import removal_reasons
+from .scratch import written
 
 
 def write_jsonl(df: DataFrame, path: str, append: bool = False) -> None:
@@ -85,12 +86,15 @@ def replace_table(spark: SparkSession, df: DataFrame, path: str) -> None:
 
 
 def numbered(df: DataFrame, order: Sequence[Column], prefix: str, width: int = 4) -> DataFrame:
-    """sample_id, zero-padded in order. Positions add up over range partitions, so no
-    task sorts the whole: rank within a partition plus the rows of those before."""
-    ranged = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    """sample_id, zero-padded in order; rows that are equal in all of order may change
+    places. The ranged rows are written once, so that ranks and the sizes of ranges are of the
+    same ones, whatever is computed again; positions add up over ranges, and no task sorts the
+    whole."""
+    ranged = written(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "numbered")
     by = Window.partitionBy("_part").orderBy(*order)
     ranked = ranged.withColumn("_rn", F.row_number().over(by))
-    sizes = ranked.groupBy("_part").agg(F.count("*").alias("_n"))
+    sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
+    # one row a range
     sizes = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
     n = (F.col("_before") + F.col("_rn")).cast("string")
     padded = F.when(F.length(n) < width, F.lpad(n, width, "0")).otherwise(n)
