@@ -38,7 +38,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the least id stays. Documents
     without words, or without an id, are in no group and stay; rows that repeat the least id
-    all stay."""
+    all stay. Rows that share an id are one document with all their texts, so what is near to
+    any of them is in their group."""
     groups = written(jaccard_join.jaccard_components(docs), "groups")
     return without_ids(docs, groups.filter("doc_id != component_id").select("doc_id"), "doc_id")
 
@@ -51,7 +52,8 @@ def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it, numbered in the new column copy. Rows that
+    """Each document as often as the mix takes it, numbered in the new column copy (_copy where
+    there is a column copy). Rows that
     share an id, or have none, are taken one by one; documents without words have size 0 and
     go with their source's rate; an empty table gives an empty one. Equal rows are alike, so
     it doesn't matter which of them is taken."""
