@@ -13,7 +13,7 @@ a few entries, fitted by a fixed number of Lloyd rounds.
 2. Rounds. A node whose nearest entry is nearer than the second nearest by more than twice
    its radius gives its whole subtree to it (triangle inequality); other nodes pass the
    question to their children and, at the end, to their own bucket, whose points are
-   compared exactly. Only sums and counts, entries x components for a task, are shuffled,
+   compared exactly with those entries that its radius leaves. Only sums and counts, entries x components for a task, are shuffled,
    and only the totals, as many numbers as the codebooks have, come to the driver.
 3. Codes. A last pass over the trees gives each vector its entries and exact errors.
 
@@ -84,25 +84,30 @@ class Tree:
         radius = np.array([away(starts[k], slice(starts[k], starts[k + sizes[k]])).max() for k in range(m)])
         return cls(points[order], order, starts, sizes, at[np.array(parent)[by]], radius, np.maximum.reduceat(near, starts[:-1]))
 
-    def settle(self, book: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(from, to, entry) of the ranges that are settled whole, and the places of the
-        points that must be compared."""
+    def settle(self, book: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(from, to, entry) of the ranges that are settled whole, the places of the points that
+        must be compared, and for each of these the entries that may be its nearest."""
         if self.points.dtype == object or len(book) < 2 or not self.points.shape[1]:
             whole = np.array([[0, len(self.points), 0]] if len(book) < 2 or not self.points.shape[1] else np.empty((0, 3)), np.int64)
-            return *whole.T, np.arange(0 if len(whole) else len(self.points))
-        entries, found, open_ranges = book.astype(np.float64), [], []
+            places = np.arange(0 if len(whole) else len(self.points))
+            return *whole.T, places, np.ones((len(places), len(book)), bool)
+        entries, found, open_ranges, left = book.astype(np.float64), [], [], []
         nodes = np.zeros(1, np.int64)
         while len(nodes):
             lo, end = self.starts[nodes], self.starts[nodes + self.sizes[nodes]]
             c = self.points[lo].astype(np.float64)
             d = np.sqrt(np.square(c[:, None] - entries).sum(2))
-            first, second = np.partition(d, 1, axis=1)[:, :2].T
-            spare = second - first - MARGIN * (1 + second)
-            whole, bucket, best = spare > 2 * self.radius[nodes], spare > 2 * self.bucket_radius[nodes], d.argmin(1)
+            best = d.argmin(1)
+            # an entry further off than the nearest by more than twice the radius is nobody's
+            spare = d - d.min(1, keepdims=True) - MARGIN * (1 + d)
+            whole = (spare > 2 * self.radius[nodes, None]).sum(1) == len(book) - 1
+            near = spare <= 2 * self.bucket_radius[nodes, None]
+            bucket = near.sum(1) == 1
             own = self.starts[nodes + 1]
             found.append(np.stack([lo[whole], end[whole], best[whole]], 1))
             found.append(np.stack([lo, own, best], 1)[bucket & ~whole])
             open_ranges.append(np.stack([lo, own], 1)[~bucket & ~whole])
+            left.append(near[~bucket & ~whole])
             asked = np.zeros(len(self.sizes), bool)
             asked[nodes[~whole]] = True
             asked[0], root = False, asked[0]
@@ -111,26 +116,26 @@ class Tree:
             nodes = np.flatnonzero(below)
         lo, end = np.concatenate(open_ranges).T
         places = np.repeat(lo - np.concatenate([[0], np.cumsum(end - lo)[:-1]]), end - lo) + np.arange((end - lo).sum())
-        return *np.concatenate(found).T, places
+        return *np.concatenate(found).T, places, np.repeat(np.concatenate(left), end - lo, axis=0)
 
     def codes(self, book: np.ndarray) -> np.ndarray:
         """The entry of every point, in depth-first order."""
-        lo, end, entry, places = self.settle(book)
+        lo, end, entry, places, near = self.settle(book)
         out = np.zeros(len(self.points), np.int64)
         for a, b, e in zip(lo, end, entry, strict=True):
             out[a:b] = e
-        out[places] = nearest(self.points[places], book)
+        out[places] = nearest(self.points[places], book, near)
         return out
 
     def totals(self, book: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sum and count of the points of each entry."""
-        lo, end, entry, places = self.settle(book)
+        lo, end, entry, places, near = self.settle(book)
         past = np.concatenate([np.zeros((1, self.points.shape[1]), self.points.dtype), np.cumsum(self.points, axis=0)])
         sums, counts = np.zeros(book.shape, self.points.dtype), np.zeros(len(book), np.int64)
         np.add.at(sums, entry, past[end] - past[lo])
         np.add.at(counts, entry, end - lo)
         rest = self.points[places]
-        codes = nearest(rest, book)
+        codes = nearest(rest, book, near)
         for e in np.unique(codes):
             mine = codes == e
             sums[e] += rest[mine].sum(0)
@@ -142,11 +147,22 @@ def squares(points: np.ndarray, entry: np.ndarray) -> np.ndarray:
     return np.square(points - entry).sum(1)
 
 
-def nearest(points: np.ndarray, book: np.ndarray) -> np.ndarray:
-    """The nearest entry of each point, the least index of equals; exact."""
+def nearest(points: np.ndarray, book: np.ndarray, near: np.ndarray | None = None) -> np.ndarray:
+    """The nearest entry of each point, the least index of equals; exact. near tells which
+    entries are asked for each point."""
+    out = np.zeros(len(points), np.int64)
     if not len(points) or not points.shape[1]:
-        return np.zeros(len(points), np.int64)
-    return np.stack([squares(points, e) for e in book], 1).argmin(1).astype(np.int64)
+        return out
+    # where most entries are left, asking all of them is quicker and gives the same
+    if near is None or points.dtype == object or near.mean() > 0.5:
+        return np.stack([squares(points, e) for e in book], 1).argmin(1).astype(np.int64)
+    least = np.full(len(points), np.iinfo(np.int64).max)
+    for e, entry in enumerate(book):
+        at = np.flatnonzero(near[:, e])
+        d = squares(points[at], entry)
+        closer = d < least[at]
+        out[at[closer]], least[at[closer]] = e, d[closer]
+    return out
 
 
 def whole_numbers(vectors: pa.Array, width: int) -> np.ndarray:

@@ -92,7 +92,8 @@ def test_trees_keep_their_rules():
         assert (t.codes(book) == codes).all()
         sums, counts = t.totals(book)
         assert all((sums[e] == t.points[codes == e].sum(0)).all() and counts[e] == (codes == e).sum() for e in range(16))
-        lo, hi, _, places = t.settle(book)
+        lo, hi, _, places, near = t.settle(book)
+        assert near[np.arange(len(places)), codes[places]].all() and near.mean() < 0.6
         assert (hi - lo).sum() + len(places) == 700 and (hi - lo).sum() > 100
 
 
