@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import metrics
-from ..operators import exports, feasibility, plan_rules, recovery
+from ..operators import exports, feasibility, plan_rules, recovery, refresh
 from .base import Tables, listed, query, r6
 
 RUN = {"experiment_id": "run", "plan_path": "plan.yaml", "source_provider": "src", "source_provider_id": "s", "target_provider": "tgt", "target_provider_id": "t", "edit_mode": "single", "images_dir": "images", "triplets_dir": "triplets"}
@@ -212,3 +212,60 @@ def plan_form_errors(t: Tables) -> DataFrame:
     words = t.part.select(text("cat", F.col("p_partkey") % 23).alias("category"), text("o", F.col("p_size")).alias("object")).distinct()
     plans = t.orders.select(k.alias("plan_id"), F.to_json(plan).alias("plan"))
     return plan_rules.plan_form_errors(plans, words).select(F.col("plan_id").alias("k"), F.array_join("errors", ";").alias("errors"))
+
+
+_REFRESH = """WITH m AS (SELECT 'c' || c_custkey AS model_id, c_custkey AS c, c_custkey % 7 <> 0 AS dir FROM customer),
+    e AS (SELECT model_id, dir, o_orderkey AS k, 'o' || o_orderkey AS edit_id, o_orderkey % 5 <> 0 AS meta, o_orderkey % 4 <> 0 AS tdir, o_orderkey % 9 <> 0 AS glb FROM m JOIN orders ON o_custkey = c),
+    g AS (SELECT *, unnest(CASE WHEN meta AND tdir AND glb THEN ['tp3', 'zz'] ELSE [NULL] END) AS pid FROM e WHERE dir),
+    r AS (SELECT model_id, edit_id, CASE WHEN meta THEN model_id || '_edit_' || edit_id END AS target_model_id, CASE WHEN pid = 'tp3' THEN 'tripo' END AS provider, pid AS provider_id,
+      CASE WHEN NOT meta THEN 'edit meta not found' WHEN NOT tdir THEN 'target model directory not found' WHEN pid IS NULL THEN 'target GLB not found' WHEN pid = 'zz' THEN 'unsupported provider id' {views} END AS reason FROM g),
+    b AS (SELECT model_id, CASE WHEN NOT dir THEN 'model directory not found' WHEN NOT EXISTS (SELECT 1 FROM e WHERE e.model_id = m.model_id) THEN 'no edited batches found' ELSE 'no refreshable targets found' END AS reason FROM m WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.model_id = m.model_id AND reason IS NULL))
+    SELECT * FROM r UNION ALL SELECT model_id, NULL, NULL, NULL, NULL, reason FROM b"""
+
+
+def _listing(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Customers as models, their orders as edits, and the files that there are."""
+    k = F.col("o_orderkey")
+    model, edit = F.concat(F.lit("c"), F.col("o_custkey").cast("string")), F.concat(F.lit("o"), k.cast("string"))
+    target = F.concat(model, F.lit("_edit_"), edit)
+    at = lambda *p: F.concat_ws("/", *[F.lit(x) if isinstance(x, str) else x for x in p])
+    paths = F.array(
+        at("triplets", model, "edited", edit, "front.png"), F.when(k % 5 != 0, at("triplets", model, "edited", edit, "meta.json")), F.when(k % 4 != 0, at("models_src", target, "meta.json")), F.when((k % 4 != 0) & (k % 9 != 0), at("models_src", target, "model_tp3.glb")),
+        F.when((k % 4 != 0) & (k % 9 != 0), at("models_src", target, "model_zz.glb")), F.when(k % 11 != 0, at("triplets", target, "views", "tp3", "front.png")), at("triplets", model, "edited", edit, "logs", "back.png"),
+    )
+    files = t.orders.select(F.explode(F.array_compact(paths)).alias("path"))
+    own = t.customer.filter("c_custkey % 7 <> 0").select(F.concat(F.lit("models_src/c"), F.col("c_custkey").cast("string"), F.lit("/model_tp3.glb")).alias("path"))
+    return t.customer.select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("model_id")), files.unionByName(own)
+
+
+@query(_REFRESH.format(views="WHEN k % 11 = 0 THEN 'target render views not found'"))
+def refresh_targets(t: Tables) -> DataFrame:
+    """Targets to be scored again, and why others aren't."""
+    return refresh.refresh_targets(*_listing(t), {"tp3": "tripo", "hy3": "hunyuan"})
+
+
+@query(_REFRESH.format(views=""))
+def refresh_targets_undrawn(t: Tables) -> DataFrame:
+    """The same without asking for drawn views."""
+    return refresh.refresh_targets(*_listing(t), {"tp3": "tripo", "hy3": "hunyuan"}, rendered=False)
+
+
+@query(
+    """SELECT 'm' || o_custkey AS model_id, 'o' || o_orderkey AS edit_id, o_orderkey % 3 AS n, CASE WHEN o_orderkey % 4 = 0 THEN 'Missing meta.json' WHEN o_orderkey % 4 = 1 THEN 'Failed to read meta.json' WHEN o_orderkey % 3 <> 0 THEN 'Expected 6 png files, found ' || (6 - o_orderkey % 3) ELSE '' END AS reason, o_orderkey % 4 > 1 AND o_orderkey % 3 = 0 AS valid, CASE WHEN o_orderkey % 4 > 1 THEN 'Remove it' ELSE '' END AS instruction,
+    CASE WHEN o_orderkey % 4 = 0 THEN 'edit meta not found' WHEN o_orderkey % 4 = 1 THEN 'edit meta invalid' WHEN o_orderkey % 5 <> 0 AND o_orderkey % 4 = 2 THEN 'mask already complete' END AS mask_reason FROM orders"""
+)
+def edit_folder_states(t: Tables) -> DataFrame:
+    """Whether edits are whole, and which need masks."""
+    k = F.col("o_orderkey")
+    model, edit = F.concat(F.lit("m"), F.col("o_custkey").cast("string")), F.concat(F.lit("o"), k.cast("string"))
+    views = ["front", "back", "right", "left", "top", "bottom"]
+    # pictures are counted in a listing without masks
+    names = F.concat(F.slice(F.array(*[F.lit(f"{v}.png") for v in views]), 1, (6 - k % 3).cast("int")), F.when(k % 4 != 0, F.array(F.lit("meta.json"))).otherwise(F.array().cast("array<string>")))
+    files = t.orders.select(F.explode(F.transform(names, lambda n: F.concat(F.lit("triplets/"), model, F.lit("/edited/"), edit, F.lit("/"), n))).alias("path"))
+    masks = t.orders.filter("o_orderkey % 5 <> 0").select(F.explode(F.array(*[F.concat(F.lit("triplets/"), model, F.lit("/edited/"), edit, F.lit(f"/{v}_mask.png")) for v in views], F.concat(F.lit("triplets/"), model, F.lit("/edited/"), edit, F.lit("/edit_mask_grid.png")))).alias("path"))
+    text = F.when(k % 4 == 1, "{broken").when(k % 4 > 1, '{"instruction": " Remove it ", "a": 1}')
+    metas = t.orders.select(model.alias("model_id"), edit.alias("edit_id"), text.alias("text"), F.map_from_arrays(F.array(*map(F.lit, views)), F.array_repeat(F.when(k % 4 == 2, "p").otherwise(""), 6)).alias("views"))
+    whole = refresh.edit_status(files, metas)
+    need = refresh.mask_targets(metas.select("model_id"), files.unionByName(masks), metas, F.col("views"), F.lit("grid"))
+    out = whole.join(need.withColumnRenamed("reason", "mask_reason"), ["model_id", "edit_id"])
+    return out.select("model_id", "edit_id", (6 - F.col("png_count")).alias("n"), "reason", "valid", F.when(F.col("reason").startswith("Failed"), "").otherwise(F.col("instruction")).alias("instruction"), "mask_reason")
