@@ -5,7 +5,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import payloads, records, text
-from ..operators import stats
+from ..operators import index, planning, stats
 from ..streaming import incremental
 from .base import Tables, listed, query
 
@@ -301,3 +301,27 @@ def plan_details(t: Tables) -> DataFrame:
     )
     files = t.customer.select(path(F.col("c_custkey") % 15 * 2).alias("path"))
     return stats.plan_details(runs, files).select("plan_path", "yaml_name", "plan_name", "source_provider", "category_count", "experiment_run_count", "latest_run_time", "plan_file_exists")
+
+
+@query(
+    """WITH v AS (SELECT o_custkey AS c, count(*) FILTER (WHERE o_orderkey % 4 = 0) AS n, min(o_orderkey) FILTER (WHERE o_orderkey % 4 = 0) AS f, count(*) FILTER (WHERE o_orderkey % 3 = 0) AS e, count(*) FILTER (WHERE o_orderkey % 3 = 0 AND o_orderstatus = 'F') AS t, count(*) FILTER (WHERE o_orderkey % 3 = 0 AND o_orderstatus = 'F' AND o_orderkey % 2 = 0) AS r,
+      string_agg('e' || o_orderkey || CASE WHEN o_orderstatus = 'F' THEN '+' ELSE '' END, ',' ORDER BY 'e' || o_orderkey) FILTER (WHERE o_orderkey % 3 = 0) AS b FROM orders GROUP BY 1)
+    SELECT 'm' || c_custkey AS id, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS provider, coalesce(n, 0) AS rendered_views_count, CASE WHEN f IS NOT NULL THEN 'v' || f END AS first_rendered_view_path, coalesce(n, 0) > 0 AS has_views, c_custkey % 4 > 0 AS has_instructions, coalesce(e, 0) > 0 AS has_edits, coalesce(e, 0) AS edit_count, coalesce(t, 0) AS target_ready_count, coalesce(r, 0) AS ready_pair_count, coalesce(t < e, false) AS edits_without_target,
+    coalesce(b, '') AS batches, CASE WHEN c_nationkey % 3 = 0 THEN 'own' WHEN c_nationkey % 5 <> 0 AND c_nationkey % 2 = 0 THEN 'region' || c_nationkey % 4 END AS category_name, CASE WHEN c_nationkey % 5 <> 0 THEN 'nation' || c_nationkey END AS object_name, 'g' || c_custkey || '/a.glb' AS path FROM customer LEFT JOIN v ON c = c_custkey WHERE c_custkey % 6 <> 5"""
+)
+def model_entries(t: Tables) -> DataFrame:
+    """Index entries of models made from customers and their orders."""
+    k, c, n = F.col("o_orderkey"), F.col("c_custkey"), F.col("c_nationkey")
+    name = lambda prefix, x: F.concat(F.lit(prefix), _text(x))
+    model, none = name("m", F.col("o_custkey")).alias("model_id"), F.lit(None).cast("string")
+    files = t.customer.filter("c_custkey % 6 <> 5").select(name("m", c).alias("model_id"), F.explode(F.array(F.concat(name("g", c), F.lit("/b.glb")), F.concat(name("g", c), F.lit("/a.glb")))).alias("path"))
+    metas = t.customer.select(name("m", c).alias("model_id"), F.when(c % 2 == 0, F.col("c_mktsegment")).alias("provider"), none.alias("generated_at"))
+    views = t.orders.filter("o_orderkey % 4 = 0").select(model, name("w", k).alias("view"), name("v", k).alias("path"), k.alias("position"))
+    counts = t.customer.select(name("m", c).alias("model_id"), (c % 4).alias("count"))
+    edits = t.orders.filter("o_orderkey % 3 = 0").select(model, name("e", k).alias("edit_id"), (F.col("o_orderstatus") == "F").alias("has_target_3d"), ((F.col("o_orderstatus") == "F") & (k % 2 == 0)).alias("ready_pair"))
+    nation = F.when(n % 5 != 0, name("nation", n))
+    images = t.customer.select(name("m", c).alias("image_id"), F.when(n % 4 == 0, nation).otherwise("").alias("object_name"), nation.alias("subject"), F.when(n % 3 == 0, " own ").otherwise("").alias("category"))
+    words = t.nation.filter("n_nationkey % 2 = 0").groupBy((F.col("n_nationkey") % 4).alias("pos")).agg(F.collect_list(name("nation", F.col("n_nationkey"))).alias("objects")).select("pos", name("region", F.col("pos")).alias("category"), "objects")
+    out = index.model_entries(files, metas, views, counts, edits, index.object_context(images, planning.reverse_lookup(words)))
+    told = F.array_join(F.transform("edited_batches", lambda b: F.concat(b["edit_id"], F.when(b["has_target_3d"], "+").otherwise(""))), ",")
+    return out.select("id", "provider", "rendered_views_count", "first_rendered_view_path", "has_views", "has_instructions", "has_edits", "edit_count", "target_ready_count", "ready_pair_count", "edits_without_target", told.alias("batches"), "category_name", "object_name", "path")
