@@ -4,7 +4,8 @@ The latest prompt of each object is the spine. Its edits come from the image's i
 list, or, where there is none, from the edit folders of its source model; each is joined to
 its edit's meta, its target's meta and the folders that exist, takes its final status from
 them, and is added up to its object. Where an edit was found stays in a column. All joins
-are on keys; nothing is read twice, and no list is longer than a prompt's plan."""
+are on keys; the latest prompts are written once, as several joins read them; no list is
+longer than a prompt's plan."""
 
 from __future__ import annotations
 
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import stages
 from ..functions.records import ERROR, FAILED, PASSED, exclusion_reason, final_status, strict, target_id
 from ..functions.stages import DISPLAY_FIELDS, RELABEL_FIELDS, Doc, base_edit_fields, display_from_item, display_from_meta, relabel_fields
+from ..sources.scratch import written
 from .dedup import last_write
 
 KEY = ("plan_index", "object_index")
@@ -201,6 +203,6 @@ def recovered_objects(run: dict[str, str], prompts: DataFrame, edits: DataFrame,
 def recovered(run: dict[str, str], prompts: DataFrame, items: DataFrame, edits: DataFrame, targets: DataFrame, generated: DataFrame, rendered: DataFrame, models: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
     """(object records, edit records) of a run; prompts with the column line, its order."""
     spine = latest_prompts(prompts)
-    spine = spine.withColumn("planned", planned_entries(Doc(F.struct(*[F.col(f"`{c}`") for c in spine.columns]), spine.schema)))
+    spine = written(spine.withColumn("planned", planned_entries(Doc(F.struct(*[F.col(f"`{c}`") for c in spine.columns]), spine.schema))), "prompts")
     found = recovered_edits(run, models or {}, spine, items, edits, targets, generated, rendered)
     return recovered_objects(run, spine.drop("planned"), found, rendered), found
