@@ -109,7 +109,7 @@ def image_entries(t: Tables) -> DataFrame:
     return out.select(F.substring("id", 2, 20).cast("long").alias("id"), "schema_name", "subject", "display_subject")
 
 
-@query("SELECT p_partkey AS plan_index, 1 AS object_index, p_brand AS category, p_name AS object_name, 'pr' || p_partkey AS prompt_id, NULL AS image_id, p_size AS edit_attempts_total, p_size % 4 AS stage1_failed_count, p_size % 5 AS stage2_passed_count, CASE WHEN p_size % 2 = 0 THEN p_retailprice ELSE 1.5 END AS stage2_lpips_mean, CASE WHEN p_size % 3 = 0 THEN 'failed' END AS source_pipeline_status, 17 AS columns FROM part")
+@query("SELECT p_partkey AS plan_index, 1 AS object_index, p_brand AS category, p_name AS object_name, 'pr' || p_partkey AS prompt_id, CAST(NULL AS VARCHAR) AS image_id, p_size AS edit_attempts_total, p_size % 4 AS stage1_failed_count, p_size % 5 AS stage2_passed_count, CASE WHEN p_size % 2 = 0 THEN p_retailprice ELSE 1.5 END AS stage2_lpips_mean, CASE WHEN p_size % 3 = 0 THEN 'failed' END AS source_pipeline_status, 17 AS columns FROM part")
 def object_rows(t: Tables) -> DataFrame:
     """P22."""
     none, size = F.lit(None).cast("string"), F.col("p_size")
