@@ -33,7 +33,7 @@ EDIT_TYPES = ["remove", "replace"]
 
 def clean(c: Column) -> Column:
     """Trimmed text; null becomes empty."""
-    return F.coalesce(F.trim(F.regexp_replace(c, r"^\s+|\s+$", "")), F.lit(""))
+    return F.coalesce(F.trim(c, F.lit(" \t\n\x0b\f\r")), F.lit(""))
 
 
 def first_text(*cols: Column) -> Column:

@@ -27,10 +27,14 @@ def latest_prompts(prompts: DataFrame, line: str = "line") -> DataFrame:
     """The last record of each object in order of lines; an object's number is the record's,
     or, where that is null or 0, its place in order of plan and object."""
     rows = last_write(prompts, list(KEY), line).drop(line)
-    counts = rows.groupBy("plan_index").agg(F.count("*").alias("_n"))
+    index = F.col("object_index")
+    # After last_write a plan has one record without a number and one with 0 at most, so their
+    # places are known from counts: no plan is sorted.
+    ahead = F.count_if(index.isNull() | (index < 0)).alias("_ahead")
+    counts = prompts.select(*KEY).distinct().groupBy("plan_index").agg(F.count("*").alias("_n"), ahead)
     starts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("plan_index").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    place = F.row_number().over(Window.partitionBy("plan_index").orderBy("object_index")) + F.col("_before")
-    return rows.join(starts, "plan_index").withColumn("object_number", F.coalesce(F.nullif("object_index", F.lit(0)), place.cast("int"))).drop("_before")
+    place = F.when(index.isNull(), 1).otherwise(F.col("_ahead") + 1) + F.col("_before")
+    return rows.join(starts, "plan_index").withColumn("object_number", F.coalesce(F.nullif("object_index", F.lit(0)), place.cast("int"))).drop("_before", "_ahead")
 
 
 def planned_entries(prompt: Doc, kinds: tuple[str, ...] = KINDS) -> Column:
@@ -123,8 +127,9 @@ def _finalised(df: DataFrame, targets: DataFrame, generated: DataFrame, rendered
     # a target is looked up by the id that the item told; that of a passed edit is its own
     df = df.withColumn("_told", F.col("target_model_id")).withColumn("target_model_id", F.when(passed, target).otherwise(F.col("target_model_id")))
     df = df.join(targets.select(F.col("model_id").alias("_told"), F.col("meta").alias("_target")), "_told", "left")
-    df = df.join(generated.select(F.col("model_id").alias("target_model_id"), F.lit(True).alias("_made")).distinct(), "target_model_id", "left")
-    df = df.join(rendered.filter(F.col("provider_id") == provider_id).select(F.col("model_id").alias("target_model_id"), F.lit(True).alias("_drawn")).distinct(), "target_model_id", "left")
+    folder = lambda rows, made, drawn: rows.select(F.col("model_id").alias("target_model_id"), F.lit(made).alias("_made"), F.lit(drawn).alias("_drawn"))
+    folders = folder(generated, True, False).unionByName(folder(rendered.filter(F.col("provider_id") == provider_id), False, True))
+    df = df.join(folders.groupBy("target_model_id").agg(F.bool_or("_made").alias("_made"), F.bool_or("_drawn").alias("_drawn")), "target_model_id", "left")
     df = df.withColumn("_two", stages.bound(stages.stage2_fields(_doc(df, "_target"), provider_id)))
     made, drawn = F.coalesce("_made", F.lit(False)), F.coalesce("_drawn", F.lit(False))
     two = {name: F.when(passed, F.col(f"_two.{name}")).otherwise(F.col(name)) for name in (*[f"stage2_{n}" for n in stages.STAGE2], "stage2_raw_response")}

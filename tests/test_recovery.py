@@ -81,3 +81,13 @@ def test_display_of_items_and_records(spark):
     assert (told["instruction_display_status"], told["instruction_display_source"]) == ("legacy", "original")
     none = spark.range(1).select(stages.stage1_fields(Doc(None, None)).alias("x")).first()["x"]
     assert none["stage1_status"] is None and none["display"] is None and none["relabel"]["relabel_lifecycle_state"] == "not_started"
+
+
+def test_numbers_of_objects_need_no_sorted_plan(spark):
+    # an object without a number or with 0 has its place in order of plan and object
+    rows = [(1, 3, -2), (2, 3, None), (3, 3, 0), (4, 3, 7), (5, 1, 4), (6, 1, 0), (7, 1, 0)]
+    out = recovery.latest_prompts(spark.createDataFrame(rows, "line int, plan_index int, object_index int"))
+    got = {(r["plan_index"], r["object_index"]): r["object_number"] for r in out.collect()}
+    assert got == {(3, -2): -2, (3, None): 3, (3, 0): 5, (3, 7): 7, (1, 4): 4, (1, 0): 1}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("windowspecdefinition" in line and "object_index" in line.split("windowspecdefinition", 1)[1] and "ASC" in line.split("object_index", 1)[1][:20] for line in plan.splitlines())
