@@ -29,6 +29,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -95,35 +96,39 @@ def _sets(texts: DataFrame, k: int, percent: int) -> DataFrame:
 
 
 def _heads(texts: DataFrame, k: int, percent: int, hot) -> DataFrame:
-    """id, head: the first shingles in the order that has the hot ones last."""
+    """id, n, head: the size and the first shingles in the order that has the hot ones last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            heads = []
+            n, heads = [], []
             for s in shingle_sets(batch.column(1).to_pylist(), k):
+                n.append(len(s))
                 if len(s):
                     late = _has(hot.value, _cells(s))
                     s = np.concatenate([s[~late], s[late]])[: prefix_length(len(s), percent)]
                 heads.append(s)
-            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(heads)], ["id", "head"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), _lists(heads)], ["id", "n", "head"])
 
-    return texts.mapInArrow(run, "id long, head array<long>")
+    return texts.mapInArrow(run, "id long, n long, head array<long>")
 
 
 def _id_cell():
     return F.shiftrightunsigned(F.xxhash64("id"), 64 - BITS)
 
 
-def _whole_sets(texts: DataFrame, k: int, wanted) -> DataFrame:
-    """id, shingles of the documents whose bit is set, and of a few others."""
+def _h_cell():
+    return F.shiftrightunsigned("h", 64 - BITS)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            batch = batch.filter(pa.array(_has(wanted.value, batch.column(2).to_numpy())))
-            if batch.num_rows:
-                yield pa.RecordBatch.from_arrays([batch.column(0), _lists(list(shingle_sets(batch.column(1).to_pylist(), k)))], ["id", "shingles"])
 
-    return texts.select("id", "text", _id_cell().alias("cell")).mapInArrow(run, "id long, shingles array<long>")
+def _marked(df: DataFrame, cell, bitmap) -> DataFrame:
+    """The rows whose bit is set, and a few others. Only cells go to Python, and no row is
+    shuffled, whatever the size of what the bitmap stands for."""
+
+    @F.pandas_udf("boolean")
+    def has(cells: pd.Series) -> pd.Series:
+        return pd.Series(_has(bitmap.value, cells.to_numpy()))
+
+    return df.filter(has(cell))
 
 
 class Index:
@@ -199,20 +204,20 @@ def link_block(sets: list[np.ndarray], percent: int) -> np.ndarray:
     return union.label
 
 
-def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
-    """The rows of a batch whose last column is a set."""
-    *cols, lists = batch.columns
-    flat, off = lists.flatten().to_numpy(), lists.offsets.to_numpy()
-    off = off - off[0]
-    for i, row in enumerate(zip(*(c.to_pylist() for c in cols), strict=True)):
-        yield (*row, np.sort(flat[off[i] : off[i + 1]]))
+def _rows(batch: pa.RecordBatch, k: int) -> Iterator[tuple]:
+    """The rows of a batch with the set of the last column, a text, in its place. Texts are
+    shuffled and not sets, as hashes take more bytes and don't compress."""
+    *cols, texts = batch.columns
+    rows = zip(*(c.to_pylist() for c in cols), strict=True)
+    for row, s in zip(rows, shingle_sets(texts.to_pylist(), k), strict=True):
+        yield (*row, s.view(np.int64)[np.argsort(s.view(np.int64))])
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, list[tuple[int, ...]], list[np.ndarray]]]:
+def _groups(batches: Iterator[pa.RecordBatch], keys: int, k: int) -> Iterator[tuple[tuple, list[tuple[int, ...]], list[np.ndarray]]]:
     """Rows sorted by the first `keys` columns: (key, other columns but the last, sets)."""
     key, rest, sets = None, [], []
     for batch in batches:
-        for row in _rows(batch):
+        for row in _rows(batch, k):
             if row[:keys] != key:
                 if rest:
                     yield key, rest, sets
@@ -223,29 +228,29 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tupl
         yield key, rest, sets
 
 
-def _link_chunks(members: DataFrame, percent: int) -> DataFrame:
-    """members (block, chunk, id, shingles) -> block, chunk, id, root in the chunk."""
+def _link_chunks(members: DataFrame, k: int, percent: int) -> DataFrame:
+    """members (block, chunk, id, text) -> block, chunk, id, root in the chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (block, chunk), rest, sets in _groups(batches, 2):
+        for (block, chunk), rest, sets in _groups(batches, 2, k):
             ids = np.array([r[0] for r in rest], np.int64)
             label = link_block(sets, percent)
             n = len(ids)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(n, block)), pa.array(np.full(n, chunk)), pa.array(ids), pa.array(ids[label])], ["block", "chunk", "id", "root"])
 
-    rows = members.select("block", "chunk", "id", "shingles").repartition("block", "chunk").sortWithinPartitions("block", "chunk", "id")
+    rows = members.select("block", "chunk", "id", "text").repartition("block", "chunk").sortWithinPartitions("block", "chunk", "id")
     return rows.mapInArrow(run, "block long, chunk long, id long, root long")
 
 
-def _probe_chunks(members: DataFrame, queries: DataFrame, percent: int) -> DataFrame:
-    """members and queries (block, chunk, id, root, shingles): links (a, b) between the roots
+def _probe_chunks(members: DataFrame, queries: DataFrame, k: int, percent: int) -> DataFrame:
+    """members and queries (block, chunk, id, root, text): links (a, b) between the roots
     of queries and of the members of their chunk that they link with."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, index, sets, roots = None, None, [], []
         for batch in batches:
             a, b = [], []
-            for block, chunk, asks, root, s in _rows(batch):
+            for block, chunk, asks, root, s in _rows(batch, k):
                 if (block, chunk) != key:
                     key, index, sets, roots = (block, chunk), None, [], []
                 if not asks:
@@ -259,16 +264,16 @@ def _probe_chunks(members: DataFrame, queries: DataFrame, percent: int) -> DataF
                         b.append(int(other))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    cols = ["block", "chunk", "asks", "root", "shingles"]
+    cols = ["block", "chunk", "asks", "root", "text"]
     rows = members.withColumn("asks", F.lit(False)).select(cols).union(queries.withColumn("asks", F.lit(True)).select(cols))
     return rows.repartition("block", "chunk").sortWithinPartitions("block", "chunk", "asks").mapInArrow(run, "a long, b long")
 
 
-def _large_blocks(members: DataFrame, linked: DataFrame, percent: int) -> DataFrame:
+def _large_blocks(members: DataFrame, linked: DataFrame, k: int, percent: int) -> DataFrame:
     """Links between chunks of the blocks that have several: first from the hub of the block's
     largest component, then from all documents outside that component, each searched in the
     chunks of the three bands around its own."""
-    small = lambda df, tag: if_small(written(df, tag))  # noqa: E731  thin tables; sets stay where they are
+    small = lambda df, tag: if_small(written(df, tag))  # noqa: E731  thin tables; texts stay where they are
     rows = written(members.filter("parts > 0").join(small(linked.select("id", "root"), "roots"), "id"), "large")
     links = None
     for hubs in (True, False):
@@ -284,7 +289,7 @@ def _large_blocks(members: DataFrame, linked: DataFrame, percent: int) -> DataFr
         chosen = rows.join(small(largest, "largest"), "block").filter("root = largest and id = root" if hubs else "root != largest")
         asks = chosen.join(small(near, "near"), ["block", "band"])
         asks = asks.filter("to != chunk").drop("chunk").withColumnRenamed("to", "chunk")
-        found = written(_probe_chunks(rows, asks, percent), "links")
+        found = written(_probe_chunks(rows, asks, k, percent), "links")
         links = found if links is None else links.union(found)
         if hubs:
             moved = components(found).select(F.col("node").alias("root"), F.col("root").alias("to"))
@@ -308,12 +313,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     classes = written(classes, "classes")
     reps = if_small(written(classes.select(F.col("rep").alias("id"), "n").distinct(), "reps"))
 
-    counted = sets.join(reps.select("id"), "id", "left_semi").select(F.explode("head").alias("h")).groupBy("h").count()
-    hot = _bitmap(counted.filter(F.col("count") >= hot_docs).select(F.expr(f"shiftrightunsigned(h, {64 - BITS})").alias("cell")).distinct())
-    heads = _heads(texts, k, percent, hot).join(reps, "id").select("id", "n", F.explode("head").alias("h"))
+    # Bitmaps stand for joins on ids here: a document more in counts or blocks than there are
+    # classes changes the order or the work, and neither heads nor texts are shuffled for it.
+    chosen = _bitmap(reps.select(_id_cell().alias("cell")).distinct())
+    counted = _marked(sets.filter("n > 0"), _id_cell(), chosen).select(F.explode("head").alias("h")).groupBy("h").count()
+    hot = _bitmap(counted.filter(F.col("count") >= hot_docs).select(_h_cell().alias("cell")).distinct())
+    heads = _heads(_marked(texts, _id_cell(), chosen), k, percent, hot).select("id", "n", F.explode("head").alias("h"))
     heads = written(heads, "heads")
     shared = heads.groupBy("h").agg(F.min("id").alias("hub"), F.max("id").alias("last")).filter("hub < last").select("h")
-    near = heads.join(shared, "h").withColumn("band", band(F.col("n"), percent))
+    shared = written(shared, "shared")
+    several_have = _bitmap(shared.select(_h_cell().alias("cell")).distinct())
+    near = _marked(heads, _h_cell(), several_have).join(shared, "h").withColumn("band", band(F.col("n"), percent))
     near = written(near.select("id", "h", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band")), "near")
     hubs = near.groupBy("h", "band").agg(F.min("id").alias("hub"), F.max("id").alias("last")).filter("hub < last").drop("last")
     edges = near.join(hubs, ["h", "band"]).filter("id != hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))
@@ -327,15 +337,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     chunk = F.when(F.col("parts") > 0, F.col("band") * (1 << 24) + F.pmod(F.xxhash64("id"), F.col("parts")) + 1).otherwise(F.lit(0)).cast("long")
     blocks = written(blocks.withColumn("chunk", chunk), "blocks")
 
-    with_sets = _whole_sets(texts, k, _bitmap(blocks.select(_id_cell().alias("cell")).distinct()))
-    members = with_sets.join(if_small(blocks), "id")
+    wanted = _bitmap(blocks.select(_id_cell().alias("cell")).distinct())
+    members = _marked(texts, _id_cell(), wanted).join(if_small(blocks), "id")
     several = blocks.filter("parts > 0").limit(1).count() > 0
     if several:
         members = written(members, "members")
-    linked = written(_link_chunks(members, percent), "linked")
+    linked = written(_link_chunks(members, k, percent), "linked")
     links = linked.select(F.col("id").alias("a"), F.col("root").alias("b"))
     if several:
-        links = links.union(_large_blocks(members, linked, percent))
+        links = links.union(_large_blocks(members, linked, k, percent))
     roots = components(links)
     named = classes.join(roots, F.col("rep") == F.col("node"), "left").select("print", F.coalesce("root", "rep").alias("component_id"))
     return (

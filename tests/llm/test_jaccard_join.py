@@ -65,3 +65,12 @@ def test_real_documents(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/documents.parquet")
     got = {tuple(r) for r in J.jaccard_components(df, k=4, percent=85).collect()}
     assert got == brute([tuple(r) for r in df.select("doc_id", "text").collect()], 4, 85)
+
+
+def test_no_sets_are_shuffled(spark, monkeypatch):
+    # past the bound on broadcasts, too, only texts, heads and thin tables are sent
+    monkeypatch.setattr(J, "if_small", lambda df: df)
+    monkeypatch.setattr(J, "BITS", 10)
+    rows = [(i, " ".join(f"w{(i // 3) * 50 + j}" for j in range(40 + i % 3))) for i in range(60)]
+    assert not hasattr(J, "_whole_sets")
+    assert result(spark, rows, k=4, percent=80) == brute(rows, 4, 80)
