@@ -118,7 +118,10 @@ def edit_rows(edits: DataFrame, shown: Column) -> DataFrame:
     """Edits with the text they show, sorted."""
     blank = lambda c: F.coalesce(c, F.lit(""))
     order = [blank("category"), blank("object_name"), blank("experiment_id"), F.coalesce("instruction_index", F.lit(0))]
-    return edits.withColumn("instruction_text", shown).orderBy(*order)
+    # Most edits tie; a hash of their plain columns after the order lets ties be dealt to
+    # many tasks, where one key would go to one.
+    tie = F.xxhash64(*[F.col(f"`{name}`") for name, kind in edits.dtypes if not kind.startswith(("map", "array", "struct", "variant"))])
+    return edits.withColumn("instruction_text", shown).orderBy(*order, tie)
 
 
 def stage2_check(by_provider: Column, single: Column, provider: str) -> Column:
@@ -203,8 +206,15 @@ def verdict_error(v: Column, categories: list[str]) -> Column:
 def masks_missing(names: Column, view_paths: Column, path: Column) -> Column:
     """whether an edit lacks a mask file, or its meta the path of one."""
     files = F.array(*[F.lit(f"{v}_mask.png") for v in VIEWS], F.lit("edit_mask_grid.png"))
-    told = F.forall(F.array(*map(F.lit, VIEWS)), lambda v: F.coalesce(F.length(view_paths[v]) > 0, F.lit(False)))
-    return ~(F.coalesce(F.size(F.array_except(files, names)) == 0, F.lit(False)) & F.coalesce(F.length(path) > 0, F.lit(False)) & F.coalesce(told, F.lit(False)))
+    return ~(F.coalesce(F.size(F.array_except(files, names)) == 0, F.lit(False)) & masks_told(view_paths, path))
+
+
+def masks_told(view_paths: Column, path: Column) -> Column:
+    """Whether a meta has the path of the mask of every view, and of the grid."""
+    told = F.coalesce(F.length(path) > 0, F.lit(False))
+    for v in VIEWS:
+        told = told & F.coalesce(F.length(view_paths[v]) > 0, F.lit(False))
+    return told
 
 
 def remapped_view(front: Column, view: Column) -> Column:
@@ -226,9 +236,15 @@ def export_candidates(edits: DataFrame, files: DataFrame, images: DataFrame, fai
     """Edits (model_id, edit_id, instruction, edit_status, source_provider_id) fit for an
     export: with an instruction, not failed, all views of both sides and both models there
     (files: path below the root), and a category and object (images: model_id, ...)."""
-    named = files.select(F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("dir"), F.regexp_extract("path", "([^/]*)$", 1).alias("name"))
-    whole = F.size(F.array_except(F.array(*[F.lit(f"{v}.png") for v in views]), F.col("names"))) == 0
-    full = named.groupBy("dir").agg(F.collect_set("name").alias("names")).filter(whole).select("dir")
+    name = F.substring_index("path", "/", -1)
+    named = files.select(F.substring("path", F.lit(1), F.length("path") - F.length(name) - 1).alias("dir"), name.alias("name"))
+    # a bit a view: folders are hashed, where sets of names would be sorted
+    pictures = [f"{v}.png" for v in views]
+    bit = F.lit(0)
+    for i, picture in enumerate(pictures):
+        bit = F.when(F.col("name") == picture, 1 << i).otherwise(bit)
+    needed = sum(1 << i for i, picture in enumerate(pictures) if picture not in pictures[i + 1 :])
+    full = named.filter(F.col("name").isin(pictures) if pictures else F.lit(True)).groupBy("dir").agg(F.bit_or(bit).alias("_seen")).filter(F.col("_seen") == needed).select("dir")
     models = named.filter(F.col("name").rlike(r"^model_.*\.glb$") & F.col("dir").startswith("models_src/"))
     rows = edits.filter(~F.col("model_id").contains("_edit_") & (F.trim("instruction") != "") & ~F.coalesce("edit_status", F.lit("")).isin(failed) & (F.col("source_provider_id") != ""))
     rows = rows.withColumn("instruction", F.trim("instruction")).withColumn("_e", F.concat_ws("/", F.lit("triplets"), "model_id", F.lit("edited"), "edit_id")).withColumn("_s", F.concat_ws("/", F.lit("triplets"), "model_id", F.lit("views"), "source_provider_id"))
