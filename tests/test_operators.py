@@ -221,3 +221,50 @@ def test_faults_fail(spark):
         payloads.manifest_items(spark.createDataFrame([(1,)], "triplets int"))
     assert one(spark, payloads.instruction_text(F.lit(None).cast("string"), True)) == ""
     assert one(spark, M.front_rotation(F.lit("odd"))) is None
+
+
+def test_ties_of_sorted_edits_are_dealt_to_many_tasks(spark):
+    from tesserine.functions import payloads
+
+    rows = spark.range(20000).selectExpr("id", "'c' AS category", "'o' AS object_name", "'e' AS experiment_id", "id % 2 AS instruction_index", "map('a', 1) AS m")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = payloads.edit_rows(rows, F.lit("t")).withColumn("at", F.spark_partition_id())
+        sizes = [r["count"] for r in out.groupBy("at").count().collect()]
+        turns = [r["instruction_index"] for r in out.collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) > 2 and max(sizes) < 10000 and sum(sizes) == 20000 and turns == sorted(turns)
+
+
+def test_quota_sorts_once(spark):
+    rows = spark.createDataFrame([("a", "x", 1), ("a", "x", 2), ("a", "y", 3), ("b", "x", 9), (None, "x", 1)], "g string, k string, pos int")
+    out = dedup.quota(rows, ["g"], "k", [F.col("pos")], {"x": 1}, 2)
+    assert {(r["g"], r["pos"]) for r in out.collect()} == {("a", 1), ("b", 9), (None, 1)}
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert final.count("Sort [") == 1 and final.count("Exchange hashpartitioning") == 1, plan
+
+
+def test_folders_of_edits_by_bits(spark):
+    from tesserine.operators import refresh
+
+    at = lambda e, *names: [(f"triplets/m/edited/{e}/{n}",) for n in names]
+    views = [f"{v}.png" for v in ("front", "back", "right", "left", "top", "bottom")]
+    files = spark.createDataFrame(at("a", *views, *views, "meta.json") + at("b", *views[:4], "odd.png", "odd.png", "other.png", "meta.json") + at("c", "logs/meta.json", "front.png") + [("triplets/m/edited",)], "path string")
+    metas = spark.createDataFrame([("m", "a", '{"instruction": " x "}'), ("m", "b", '{"instruction": "y"}')], "model_id string, edit_id string, text string")
+    got = {r["edit_id"]: (r["png_count"], r["valid"], r["instruction"], r["reason"]) for r in refresh.edit_status(files, metas).collect()}
+    assert got == {"a": (6, True, "x", ""), "b": (6, True, "y", ""), "c": (1, False, "", "Missing meta.json")}
+    assert "ObjectHashAggregate" not in refresh.edit_status(files, metas)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_views_of_export_candidates_by_bits(spark):
+    from tesserine.functions import payloads
+
+    edits = spark.createDataFrame([("m", e, "do", None, "p") for e in "ab"], "model_id string, edit_id string, instruction string, edit_status string, source_provider_id string")
+    paths = ["triplets/m/views/p/f.png", "triplets/m/views/p/g.png", "models_src/m/model_p.glb", "no_folder"] + [f"models_src/m_edit_{e}/model_t.glb" for e in "ab"] + ["triplets/m/edited/a/f.png", "triplets/m/edited/a/g.png", "triplets/m/edited/b/f.png", "triplets/m/edited/b/f.png"]
+    files = spark.createDataFrame([(p,) for p in paths], "path string")
+    images = spark.createDataFrame([("m", "c", "o")], "model_id string, category string, object_name string")
+    out = payloads.export_candidates(edits, files, images, ["failed"], ["f", "g"])
+    assert [(r["edit_id"], r["target_provider_id"], r["target_glb"]) for r in out.collect()] == [("a", "t", "models_src/m_edit_a/model_t.glb")]
+    assert "ObjectHashAggregate" not in out._jdf.queryExecution().executedPlan().toString()
