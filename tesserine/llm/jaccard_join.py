@@ -29,7 +29,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -95,11 +94,14 @@ def _sets(texts: DataFrame, k: int, percent: int) -> DataFrame:
     return texts.mapInArrow(run, "id long, n long, print binary, head array<long>")
 
 
-def _heads(texts: DataFrame, k: int, percent: int, hot) -> DataFrame:
-    """id, n, head: the size and the first shingles in the order that has the hot ones last."""
+def _heads(texts: DataFrame, k: int, percent: int, hot, chosen) -> DataFrame:
+    """id, n, head: the size and the first shingles in the order that has the hot ones last,
+    of the texts whose id's bit is set in chosen. The bit is looked up here and not by
+    _marked, as a task would then hold two Python workers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(_has(chosen.value, batch.column(2).to_numpy())))
             n, heads = [], []
             for s in shingle_sets(batch.column(1).to_pylist(), k):
                 n.append(len(s))
@@ -109,7 +111,7 @@ def _heads(texts: DataFrame, k: int, percent: int, hot) -> DataFrame:
                 heads.append(s)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), _lists(heads)], ["id", "n", "head"])
 
-    return texts.mapInArrow(run, "id long, n long, head array<long>")
+    return texts.withColumn("cell", _id_cell()).mapInArrow(run, "id long, n long, head array<long>")
 
 
 def _id_cell():
@@ -124,9 +126,9 @@ def _marked(df: DataFrame, cell, bitmap) -> DataFrame:
     """The rows whose bit is set, and a few others. Only cells go to Python, and no row is
     shuffled, whatever the size of what the bitmap stands for."""
 
-    @F.pandas_udf("boolean")
-    def has(cells: pd.Series) -> pd.Series:
-        return pd.Series(_has(bitmap.value, cells.to_numpy()))
+    @F.arrow_udf("boolean")
+    def has(cells: pa.Array) -> pa.Array:
+        return pa.array(_has(bitmap.value, cells.to_numpy()))
 
     return df.filter(has(cell))
 
@@ -318,7 +320,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     chosen = _bitmap(reps.select(_id_cell().alias("cell")).distinct())
     counted = _marked(sets.filter("n > 0"), _id_cell(), chosen).select(F.explode("head").alias("h")).groupBy("h").count()
     hot = _bitmap(counted.filter(F.col("count") >= hot_docs).select(_h_cell().alias("cell")).distinct())
-    heads = _heads(_marked(texts, _id_cell(), chosen), k, percent, hot).select("id", "n", F.explode("head").alias("h"))
+    heads = _heads(texts, k, percent, hot, chosen).select("id", "n", F.explode("head").alias("h"))
     heads = written(heads, "heads")
     shared = heads.groupBy("h").agg(F.min("id").alias("hub"), F.max("id").alias("last")).filter("hub < last").select("h")
     shared = written(shared, "shared")

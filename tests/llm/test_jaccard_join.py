@@ -74,3 +74,19 @@ def test_no_sets_are_shuffled(spark, monkeypatch):
     rows = [(i, " ".join(f"w{(i // 3) * 50 + j}" for j in range(40 + i % 3))) for i in range(60)]
     assert not hasattr(J, "_whole_sets")
     assert result(spark, rows, k=4, percent=80) == brute(rows, 4, 80)
+
+
+def test_a_task_holds_one_python_worker(spark, monkeypatch):
+    """Two Python nodes of one stage take two workers a task, and so twice the memory."""
+    plans, write = {}, J.written
+
+    def kept(df, tag):
+        plans.setdefault(tag, df._jdf.queryExecution().executedPlan().toString())
+        return write(df, tag)
+
+    monkeypatch.setattr(J, "written", kept)
+    rows = texts(60, 5)
+    assert result(spark, rows, k=3, percent=70) == brute(rows, 3, 70)
+    for plan in plans.values():
+        for stage in re.split(r"Exchange", plan):
+            assert len(re.findall(r"MapInArrow|ArrowEvalPython", stage)) <= 1
