@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.records import plan_from_counts
+from ..sources.scratch import written
 from .feasibility import capacity_faults
 
 # Providers, modes, types of instructions, and fields that are refused.
@@ -16,13 +17,13 @@ OLD_FIELDS = ("category_workers", "instruction_type_ratio")
 OLD_CATEGORY_FIELDS = ("name", "prompt_budget", "target_source_models", "accepted_edits_per_model", "max_instruction_attempts", "style_ids", "instruction_type_ratio")
 
 
-def _kind(v: Column, path: str = "$") -> Column:
-    """OBJECT, ARRAY, STRING, BIGINT, BOOLEAN, DECIMAL, VOID (a null) or null (not there)."""
-    return F.regexp_extract(F.schema_of_variant(F.try_variant_get(v, path, "variant")), "^[A-Z]+", 0)
-
-
 def _is(v: Column, path: str, kind: str) -> Column:
-    return F.coalesce(_kind(v, path) == kind, F.lit(False))
+    """Is there a value of a kind: OBJECT, ARRAY, STRING, BIGINT, BOOLEAN or VOID (a null)?
+    Objects and arrays are told by a cast, as their schema takes all that they hold."""
+    whole = {"OBJECT": "map<string, variant>", "ARRAY": "array<variant>"}.get(kind)
+    if whole:
+        return F.try_variant_get(v, path, whole).isNotNull()
+    return F.coalesce(F.schema_of_variant(F.try_variant_get(v, path, "variant")) == kind, F.lit(False))
 
 
 def _text(v: Column, path: str) -> Column:
@@ -39,6 +40,12 @@ def _given(v: Column, path: str) -> Column:
     return _there(v, path) & ~_is(v, path, "VOID")
 
 
+def _old_fields(v: Column, fields: tuple[str, ...]) -> Column:
+    """Those of the fields that are there, in order, joined by commas; looked up one by one, as
+    the keys of an object need it as text."""
+    return F.concat_ws(", ", *[F.when(_there(v, f"$.{k}"), k) for k in sorted(fields)])
+
+
 def _whole(v: Column, path: str) -> Column:
     return F.when(_is(v, path, "BIGINT"), F.try_variant_get(v, path, "bigint"))
 
@@ -99,14 +106,13 @@ def _own_errors(v: Column) -> Column:
         text = _text(v, f"$.{field}")
         return F.when(text == "", f"{field} is required").when(~text.isin(*known), f"{field} is unknown")
 
-    keys = F.json_object_keys(F.to_json(v))
-    old = F.array_sort(F.array_intersect(keys, F.array(*map(F.lit, OLD_FIELDS))))
+    old = _old_fields(v, OLD_FIELDS)
     return F.array(
         F.when(name == "", "name is required").when(name.contains("..") | name.contains("/") | name.contains("\\"), "name has a path"),
         one_of("source_provider", PROVIDERS),
         one_of("target_provider", PROVIDERS),
         one_of("edit_mode", EDIT_MODES),
-        F.when(F.size(old) > 0, F.concat(F.lit("deprecated fields: "), F.array_join(old, ", "))),
+        F.when(old != "", F.concat(F.lit("deprecated fields: "), old)),
         F.when(_there(v, "$.categories") & ~_is(v, "$.categories", "ARRAY"), "categories must be a list").when(F.coalesce(F.size(F.try_variant_get(v, "$.categories", "array<variant>")), F.lit(0)) <= 0, "a category is required"),
     )
 
@@ -115,15 +121,15 @@ def _entries(plans: DataFrame, vocabulary: DataFrame, legacy: bool) -> DataFrame
     """A row a category of a plan, with its errors in order."""
     rows = plans.select("plan_id", F.posexplode(F.try_variant_get("v", "$.categories", "array<variant>")).alias("position", "c"))
     c = F.col("c")
-    both = _is(c, "$.random.category", "BOOLEAN") & _is(c, "$.random.object", "BOOLEAN")
+    rows = rows.withColumns({"is_map": _is(c, "$", "OBJECT"), "random_map": _is(c, "$.random", "OBJECT"), "category_flag": _is(c, "$.random.category", "BOOLEAN"), "object_flag": _is(c, "$.random.object", "BOOLEAN")})
     rows = rows.withColumns(
         {
-            "is_map": _is(c, "$", "OBJECT"), "sound": _is(c, "$", "OBJECT") & _is(c, "$.random", "OBJECT") & both, "random_category": F.try_variant_get(c, "$.random.category", "boolean"), "random_object": F.try_variant_get(c, "$.random.object", "boolean"),
+            "sound": F.col("is_map") & F.col("random_map") & F.col("category_flag") & F.col("object_flag"), "random_category": F.try_variant_get(c, "$.random.category", "boolean"), "random_object": F.try_variant_get(c, "$.random.object", "boolean"),
             "n": _whole(c, "$.object_count"), "name": _text(c, "$.category_name"), "listed": F.when(_is(c, "$.objects", "ARRAY"), F.transform(F.try_variant_get(c, "$.objects", "array<variant>"), lambda x: F.when(F.schema_of_variant(x) == "STRING", F.try_variant_get(x, "$", "string")))),
-            "has_objects": _given(c, "$.objects"), "old": F.array_sort(F.array_intersect(F.json_object_keys(F.to_json(c)), F.array(*map(F.lit, OLD_CATEGORY_FIELDS)))), "plan_fault": instruction_plan_fault(c, legacy),
-            "bad_flags": F.struct(~_is(c, "$.random", "OBJECT") & F.lit(True), ~_is(c, "$.random.category", "BOOLEAN"), ~_is(c, "$.random.object", "BOOLEAN")),
+            "has_objects": _given(c, "$.objects"), "old": _old_fields(c, OLD_CATEGORY_FIELDS), "plan_fault": instruction_plan_fault(c, legacy),
         }
     )
+    rows = written(rows.drop("c"), "plan-entries")  # variants are taken apart once
     sizes = vocabulary.groupBy("category").agg(F.count_distinct("object").alias("capacity")).withColumnRenamed("category", "name")
     rows = rows.join(sizes, "name", "left")
     each = rows.filter("listed is not null").select("plan_id", "position", F.col("name").alias("category"), F.explode("listed").alias("object"))
@@ -134,10 +140,10 @@ def _entries(plans: DataFrame, vocabulary: DataFrame, legacy: bool) -> DataFrame
     listed = fixed & ~F.col("random_object") & (F.coalesce(F.size("listed"), F.lit(0)) > 0)
     rules = [
         (~F.col("is_map"), F.lit("must be a mapping")),
-        (F.col("is_map") & (F.size("old") > 0), F.concat(F.lit("deprecated fields: "), F.array_join("old", ", "))),
-        (F.col("is_map") & F.col("bad_flags.col1"), F.lit("random must be a mapping")),
-        (F.col("is_map") & ~F.col("bad_flags.col1") & F.col("bad_flags.col2"), F.lit("random.category must be a boolean")),
-        (F.col("is_map") & ~F.col("bad_flags.col1") & F.col("bad_flags.col3"), F.lit("random.object must be a boolean")),
+        (F.col("is_map") & (F.col("old") != ""), F.concat(F.lit("deprecated fields: "), F.col("old"))),
+        (F.col("is_map") & ~F.col("random_map"), F.lit("random must be a mapping")),
+        (F.col("is_map") & F.col("random_map") & ~F.col("category_flag"), F.lit("random.category must be a boolean")),
+        (F.col("is_map") & F.col("random_map") & ~F.col("object_flag"), F.lit("random.object must be a boolean")),
         (sound & anywhere & ~F.col("random_object"), F.lit("random category without random object")),
         (sound & ~F.coalesce(n >= 1, F.lit(False)), F.lit("object_count must be positive")),
         (sound & F.col("plan_fault").isNotNull(), F.col("plan_fault")),

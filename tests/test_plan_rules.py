@@ -107,3 +107,12 @@ def test_normalised_plans(spark):
     rows = [json.dumps({"instruction_plan": GOOD_PLAN}), json.dumps({"instruction_counts": {"replace": 3}})]
     got = spark.createDataFrame([(r,) for r in rows], "t string").select(plan_rules.instruction_plan(F.parse_json("t")).alias("p")).collect()
     assert [(r["p"]["mode"], r["p"]["count"], list(r["p"]["allowed_types"])) for r in got] == [("adaptive_k", 2, ["remove", "replace"]), ("adaptive_k", 3, ["replace"])]
+
+
+def test_variants_are_taken_apart_once(spark):
+    """Rules and capacities read plain columns; only the rules of the plan itself and the pass
+    that takes entries apart meet a variant."""
+    plans = spark.createDataFrame([(0, json.dumps(GOOD))], "plan_id int, plan string")
+    words = spark.createDataFrame(VOCABULARY, "category string, object string")
+    plan = plan_rules.plan_form_errors(plans, words)._jdf.queryExecution().optimizedPlan().toString()
+    assert "$.instruction_plan" not in plan and "$.categories" in plan
