@@ -367,3 +367,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     same = rows.filter("not moves").select("id", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.sha2(raw, 256).alias("kept_sha256"), *([raw.alias("kept")] if with_bytes else []))
     out = changed.union(same)
     return out.withColumn("id", F.when(F.col("id") != NONE_ID, F.col("id"))).withColumnRenamed("id", "doc_id")
+
+
+def query(docs: DataFrame) -> DataFrame:
+    """One row for each document: what remove_repeats says of it, and has_repeats: does it lose bytes?"""
+    return remove_repeats(docs).withColumn("has_repeats", F.col("n_removed") > 0)

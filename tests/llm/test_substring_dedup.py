@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from tesserine.llm import registry
 from tesserine.llm import substring_dedup as D
 
 
@@ -82,3 +83,11 @@ def test_documents_and_empty(spark, sf_dir):
     rows = [tuple(r) for r in df.select("doc_id", "text").collect()]
     assert run(spark, rows, 400) == brute(rows, 400)
     assert run(spark, [], 400) == []
+
+
+def test_query_says_which_documents_lose_bytes(spark, sf_dir):
+    rows = registry.op3_suffix_dedup(spark, sf_dir).collect()
+    want = brute([tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()], 400)
+    assert sorted((tuple(r)[:5] for r in rows), key=repr) == want
+    assert {r["doc_id"] for r in rows if r["has_repeats"]} == {r[0] for r in want if r[2] > 0}
+    assert {r["has_repeats"] for r in rows} == {True, False}
