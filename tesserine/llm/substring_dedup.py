@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from .common import small_batches, written
 from .hashing import POWERS, U, pieces, prefix_sums, scramble
 from .jaccard_join import _bitmap, _cells, _has
+from .passages import sharing
 
 NONE_ID = -(1 << 63)
 #: Blocks up to so many contexts compare all of them at once.
@@ -331,44 +332,55 @@ def _cut(raw: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, bytes]:
     return gone, runs, b"".join(kept)
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, block_contexts: int = 20_000, with_bytes: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, block_contexts: int = 20_000, with_bytes: bool = False, passage_words: int | None = None) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256, and with
-    with_bytes kept (binary): one row for each row of docs.
+    with_bytes kept (binary), with passage_words shares_passage: one row for each row of docs.
 
     Texts are their UTF-8 bytes, null is empty. Strings never cross documents; what repeats
     is judged on the input. Repeated rows, whole or not, repeat each other's strings. Texts
     shorter than `length` stay whole. A null id is passed on. An empty table gives an empty
-    result; other columns are ignored.
+    result; other columns are ignored. shares_passage says whether so many words in turn also
+    stand in another row, however few bytes they have; no byte goes for that.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NONE_ID)).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.withColumn("print", F.xxhash64("text")).select("id", "print", "text")
     found = repeated_intervals(rows.filter(F.octet_length("text") >= length), length, block_contexts)
-    spans = written(found.groupBy("id", "print").agg(F.collect_set(F.struct("start", "stop")).alias("spans")), "spans")
+    found = found.withColumn("shares", F.lit(False))
+    if passage_words:
+        held = sharing(rows.filter(F.octet_length("text") >= 2 * passage_words - 1), passage_words)
+        found = found.unionByName(held.withColumn("shares", F.lit(True)), allowMissingColumns=True)
+    span = F.when(F.col("start").isNotNull(), F.struct("start", "stop"))
+    spans = written(found.groupBy("id", "print").agg(F.collect_set(span).alias("spans"), F.max("shares").alias("shares")), "spans")
     cell = F.shiftrightunsigned(F.xxhash64("id", "print"), 64 - BITS)
-    # Only documents with something to remove move; a bit set by chance just moves one more.
+    # Only documents with something to remove or to say move; a bit set by chance just moves one more.
     marked = _marked(_bitmap(spans.select(cell.alias("cell")).distinct(), BITS))
     rows = rows.withColumn("moves", marked(cell))
-    schema = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_bytes else "")
+    more = {"kept": ("binary", pa.binary())} if with_bytes else {}
+    more |= {"shares_passage": ("boolean", pa.bool_())} if passage_words else {}
+    schema = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + "".join(f", {name} {kind}" for name, (kind, _) in more.items())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for i, text, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for i, text, spans, shares in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 raw = text.encode()
                 gone, runs, kept = _cut(raw, [(s["start"], s["stop"]) for s in spans or []])
-                out.append((i, len(raw), gone, runs, hashlib.sha256(kept).hexdigest(), kept)[: 6 if with_bytes else 5])
-            types = [pa.int64()] * 4 + [pa.string(), pa.binary()][: 2 if with_bytes else 1]
+                also = {"kept": kept, "shares_passage": bool(shares)}
+                out.append((i, len(raw), gone, runs, hashlib.sha256(kept).hexdigest(), *(also[name] for name in more)))
+            types = [pa.int64()] * 4 + [pa.string(), *(t for _, t in more.values())]
             cols = list(zip(*out, strict=True)) or [[]] * len(types)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], [x.split()[0] for x in schema.split(", ")])
 
-    changed = rows.filter("moves").join(spans, ["id", "print"], "left").select("id", "text", "spans").mapInArrow(run, schema)
+    changed = rows.filter("moves").join(spans, ["id", "print"], "left").select("id", "text", "spans", "shares").mapInArrow(run, schema)
     raw = F.col("text").cast("binary")
-    same = rows.filter("not moves").select("id", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.sha2(raw, 256).alias("kept_sha256"), *([raw.alias("kept")] if with_bytes else []))
+    none = {"kept": raw, "shares_passage": F.lit(False)}
+    same = rows.filter("not moves").select("id", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.sha2(raw, 256).alias("kept_sha256"), *(none[name].alias(name) for name in more))
     out = changed.union(same)
     return out.withColumn("id", F.when(F.col("id") != NONE_ID, F.col("id"))).withColumnRenamed("id", "doc_id")
 
 
 def query(docs: DataFrame) -> DataFrame:
-    """One row for each document: what remove_repeats says of it, and has_repeats: does it lose bytes?"""
-    return remove_repeats(docs).withColumn("has_repeats", F.col("n_removed") > 0)
+    """One row for each document: what remove_repeats says of it, shares_passage: does it hold over
+    50 words in turn of another document, has_repeats: does it lose bytes?"""
+    return remove_repeats(docs, passage_words=51).withColumn("has_repeats", F.col("n_removed") > 0)

@@ -1,11 +1,13 @@
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tesserine.llm import registry
+from tesserine.llm import passages, registry
 from tesserine.llm import substring_dedup as D
 
 
@@ -91,3 +93,52 @@ def test_query_says_which_documents_lose_bytes(spark, sf_dir):
     assert sorted((tuple(r)[:5] for r in rows), key=repr) == want
     assert {r["doc_id"] for r in rows if r["has_repeats"]} == {r[0] for r in want if r[2] > 0}
     assert {r["has_repeats"] for r in rows} == {True, False}
+
+
+def sharing(rows, words):
+    """Places in rows of the texts that hold `words` words in turn of another row."""
+    held = [{tuple(w[a : a + words]) for a in range(len(w) - words + 1)} for w in (re.split("[ \t\n\x0b\f\r]+", (t or "").strip(" \t\n\x0b\f\r")) for _, t in rows)]
+    seen = Counter(p for s in held for p in s)
+    return [i for i, s in enumerate(held) if any(seen[p] > 1 for p in s)]
+
+
+def shared_texts(seed, words):
+    """Passages of about so many words, whole, cut short by a word or two, or with other spaces, in
+    texts of their own words; copies, texts that only repeat themselves, and odd ones."""
+    r = random.Random(seed)
+    new = lambda n: [f"{r.choice('aéñx')}{r.randrange(10**9)}" for _ in range(n)]
+    passages = [new(r.randrange(words - 2, words + 3)) for _ in range(12)] + [new(4 * words)]
+    rows = []
+    for i in range(160):
+        w = new(r.randrange(2 * words))
+        for p in r.sample(passages, r.choice([0, 0, 1, 1, 2])):
+            cut = r.randrange(3)
+            w += r.choice([p, p[cut:], p[: len(p) - cut], p[: len(p) // 2] + new(1) + p[len(p) // 2 :]]) + new(r.randrange(words))
+        rows.append((i, r.choice([" ", "\n", " \t"]).join(w)))
+    own = new(words)
+    rows += [(200, " ".join(own + new(3) + own)), (201, None), (202, ""), (203, " ".join(new(words))), (204, "x " * (3 * words)), (3, rows[3][1]), (None, rows[4][1]), (205, " ".join(new(words)).upper())]
+    return [*rows, (206, rows[-1][1].lower()), (207, " ".join(["y"] * (2 * words))), (208, "\r".join(["y"] * words))]
+
+
+@pytest.mark.parametrize(("seed", "words"), [(1, 51), (2, 20), (3, 12)])
+def test_passages_equal_brute_force(spark, seed, words):
+    rows = shared_texts(seed, words)
+    df = spark.createDataFrame([(-1 if i is None else i, n, t or "") for n, (i, t) in enumerate(rows)], "id long, n long, text string").withColumn("print", F.xxhash64("n"))
+    place = {r["print"]: r["n"] for r in df.select("n", "print").collect()}
+    got = sorted(place[r["print"]] for r in passages.sharing(df.select("id", "print", "text"), words).distinct().collect())
+    want = sharing(rows, words)
+    assert 20 < len(want) < len(rows) - 20
+    assert got == want
+
+
+def test_query_finds_passages_of_fewer_bytes(spark, tmp_path):
+    """A passage of 51 words and under 400 bytes in two documents: no byte goes, but both say so."""
+    r = random.Random(4)
+    new = lambda n: " ".join(f"w{r.randrange(10**4)}" for _ in range(n))
+    passage = new(51)
+    rows = [(1, f"{new(80)} {passage} {new(40)}"), (2, f"{new(9)}\n{passage}"), (3, new(200)), (4, f"{new(70)} {passage[: passage.rindex(' ')]}"), (5, None), (None, "a")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = registry.op3_suffix_dedup(spark, str(tmp_path)).collect()
+    assert sorted((tuple(x)[:5] for x in got), key=repr) == brute(rows, 400)
+    assert {x["doc_id"] for x in got if x["shares_passage"]} == {1, 2}
+    assert {(x["n_removed"], x["has_repeats"]) for x in got} == {(0, False)}
