@@ -253,10 +253,12 @@ def mask_area(t: Tables) -> DataFrame:
 
 @query("WITH c AS (SELECT doc_id, ch, count(*) AS n FROM (SELECT doc_id, unnest(string_split(text, '')) AS ch FROM documents) GROUP BY ALL), s AS (SELECT *, sum(n) OVER (PARTITION BY doc_id) AS t FROM c) SELECT doc_id, round(-sum(n / t * log2(n / t)), 6) AS bits FROM s GROUP BY doc_id")
 def entropy_score(t: Tables) -> DataFrame:
-    """Shannon bits over each text's characters."""
-    each = t.documents.select("doc_id", F.explode(F.split("text", "")).alias("ch")).filter("ch != ''")
-    counts = each.groupBy("doc_id", "ch").agg(F.count("*").alias("n")).groupBy("doc_id").agg(F.collect_list("n").alias("ns"))
-    return counts.select("doc_id", r6(metrics.entropy_bits(F.col("ns"))).alias("bits"))
+    """Shannon bits over each text's characters. An empty text counts as one empty
+    character, a null one has no row, and no bits are the SQL's -0.0."""
+    each = t.documents.select("doc_id", F.explode(F.split("text", "")).alias("ch"))
+    counts = each.groupBy("doc_id", "ch").agg(F.count("*").alias("n")).groupBy("doc_id").agg(F.sort_array(F.collect_list("n")).alias("ns"))
+    bits = counts.select("doc_id", metrics.entropy_bits(F.col("ns")).alias("bits"))
+    return bits.withColumn("bits", F.when(F.col("bits") == 0, F.lit(-0.0)).otherwise(r6("bits")))
 
 
 @query("""WITH b AS (SELECT label, min(embedding[1]) AS x0, max(embedding[1]) AS x1, min(embedding[2]) AS y0, max(embedding[2]) AS y1, min(embedding[3]) AS z0, max(embedding[3]) AS z1 FROM embeddings GROUP BY label),

@@ -43,3 +43,11 @@ def test_entry_without_the_training_data_folder(monkeypatch):
     monkeypatch.setattr(importlib, "import_module", broken)
     with pytest.raises(ModuleNotFoundError):
         e.queries()
+
+
+def test_entropy_of_odd_texts(spark, tmp_path):
+    texts = [(0, ""), (0, "q"), (1, None), (2, "aaaa"), (3, "é"), (4, "a\u0000\u0000b"), (5, "\U0001f600a\r\n"), (6, ""), (7, ""), (7, None), (None, "xy")]
+    spark.createDataFrame(texts, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    assert_same(QUERIES["entropy_score"](spark, str(tmp_path)), tmp_path, SQL["entropy_score"])
+    none = [str(r["bits"]) for r in QUERIES["entropy_score"](spark, str(tmp_path)).filter("doc_id in (2, 3, 6, 7)").collect()]
+    assert none == ["-0.0"] * 4
