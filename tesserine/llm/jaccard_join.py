@@ -6,11 +6,13 @@ least percent/100. The result has every document with the component that links g
 1. Sets. A document is the sorted set of its shingles' 64-bit hashes. Documents with
    equal sets are one class, of which one goes on: a large group of copies costs a row.
 2. Blocks. Documents that link share at least one shingle among the first
-   n - ceil(percent*n/100) + 1 of each, in any order common to all. The order is by hash,
-   but shingles seen in several documents come last. Which ones these are is known from a
-   bitmap of fixed size; a false entry changes the order, never the result. Documents that
-   share a shingle so chosen and have sizes in one of two neighbouring bands fall in one
-   block; documents of different blocks can't link.
+   n - ceil(percent*n/100) + 1 of each, in any order common to all. Shingles are counted
+   over the first part of the hashes; of these the rarest come first, by level of their
+   count and then by hash, and the hashes that weren't counted come last. So common
+   shingles don't chain documents that are unlike into one large block. Levels are known
+   from bitmaps of fixed size; a false entry changes the order, never the result. Documents
+   that share a shingle so chosen and have sizes in one of two neighbouring bands fall in
+   one block; documents of different blocks can't link.
 3. Search. A block's inverted lists are built in one task, from at most about
    `chunk_shingles` shingles. A query's short lists are merged to count occurrences, its
    long ones are probed by binary search (DivideSkip), and documents with the required
@@ -40,6 +42,8 @@ from .hashing import shingle_sets
 #: 2**BITS cells of each bitmap (8 MB): a bound on what is broadcast.
 BITS = 26
 HUBS = 4
+#: A shingle's level is the number of these counts that it passes: three bits.
+LEVELS = (1, 2, 4, 8, 16, 64, 512)
 #: What a probe costs against a step of a merge, as in the paper on DivideSkip.
 MU = 0.01
 
@@ -57,6 +61,11 @@ def prefix_length(n: int, percent: int) -> int:
     return n - required(n, percent) + 1
 
 
+def counted_below(percent: int) -> np.uint64:
+    """The hash up to which shingles are counted in long sets: twice the prefix's share."""
+    return np.uint64(min((1 << 64) - 1, (1 << 64) * 2 * (100 - percent) // 100))
+
+
 def _cells(hashes: np.ndarray, bits: int = BITS) -> np.ndarray:
     return (hashes >> np.uint64(64 - bits)).astype(np.int64)
 
@@ -73,6 +82,28 @@ def _bitmap(cells: DataFrame, bits: int = BITS):
     return cells.sparkSession.sparkContext.broadcast(out)
 
 
+def _levels(counted: DataFrame, hot_docs: int, bits: int = BITS):
+    """counted (h, count) -> a broadcast of three bitmaps, the digits of each cell's level.
+    Counts below hot_docs have level 0. Cells that collide have the digits of both."""
+    level = sum(((F.col("count") > c) & (F.col("count") >= hot_docs)).cast("int") for c in LEVELS)
+    rows = counted.select(_h_cell().alias("cell"), level.alias("level")).filter("level > 0")
+    digit = lambda i: F.expr(f"bit_or(if(level & {1 << i} = 0, 0L, shiftleft(1L, cast(cell & 63 as int))))").alias(f"d{i}")
+    words = rows.groupBy(F.expr("shiftright(cell, 6)").alias("word")).agg(*map(digit, range(3))).toArrow()
+    out = np.zeros((3, 1 << (bits - 6)), np.uint64)
+    for i in range(3):
+        out[i, words["word"].to_numpy().astype(np.int64)] = words[f"d{i}"].to_numpy().astype(np.int64).view(np.uint64)
+    return counted.sparkSession.sparkContext.broadcast(out)
+
+
+def _rarest_first(s: np.ndarray, levels: np.ndarray, percent: int) -> np.ndarray:
+    """s, sorted, by level where its hashes are counted, the others last. The order of two
+    shingles doesn't depend on the set."""
+    counted = s[: np.searchsorted(s, counted_below(percent), "right")]
+    cells = _cells(counted)
+    level = sum((_has(levels[i], cells).astype(np.int64) << i for i in range(3)), np.zeros(len(cells), np.int64))
+    return np.concatenate([counted[np.argsort(level, kind="stable")], s[len(counted) :]])
+
+
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
     flat = np.concatenate(arrays).view(np.int64) if arrays else np.empty(0, np.int64)
     return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, arrays)]), pa.int32()), pa.array(flat, pa.int64()))
@@ -80,7 +111,7 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 def _sets(texts: DataFrame, k: int, percent: int) -> DataFrame:
     """id, n, fingerprint of the set, its first shingles by hash: twice the prefix, so
-    that what moves up when others are put last has been counted too."""
+    that what moves up when common ones are put last has been counted too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -94,8 +125,8 @@ def _sets(texts: DataFrame, k: int, percent: int) -> DataFrame:
     return texts.mapInArrow(run, "id long, n long, print binary, head array<long>")
 
 
-def _heads(texts: DataFrame, k: int, percent: int, hot, chosen) -> DataFrame:
-    """id, n, head: the size and the first shingles in the order that has the hot ones last,
+def _heads(texts: DataFrame, k: int, percent: int, levels, chosen) -> DataFrame:
+    """id, n, head: the size and the first shingles in the order that has the rarest first,
     of the texts whose id's bit is set in chosen. The bit is looked up here and not by
     _marked, as a task would then hold two Python workers."""
 
@@ -106,8 +137,7 @@ def _heads(texts: DataFrame, k: int, percent: int, hot, chosen) -> DataFrame:
             for s in shingle_sets(batch.column(1).to_pylist(), k):
                 n.append(len(s))
                 if len(s):
-                    late = _has(hot.value, _cells(s))
-                    s = np.concatenate([s[~late], s[late]])[: prefix_length(len(s), percent)]
+                    s = _rarest_first(s, levels.value, percent)[: prefix_length(len(s), percent)]
                 heads.append(s)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), _lists(heads)], ["id", "n", "head"])
 
@@ -319,8 +349,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # classes changes the order or the work, and neither heads nor texts are shuffled for it.
     chosen = _bitmap(reps.select(_id_cell().alias("cell")).distinct())
     counted = _marked(sets.filter("n > 0"), _id_cell(), chosen).select(F.explode("head").alias("h")).groupBy("h").count()
-    hot = _bitmap(counted.filter(F.col("count") >= hot_docs).select(_h_cell().alias("cell")).distinct())
-    heads = _heads(texts, k, percent, hot, chosen).select("id", "n", F.explode("head").alias("h"))
+    levels = _levels(counted, hot_docs)
+    heads = _heads(texts, k, percent, levels, chosen).select("id", "n", F.explode("head").alias("h"))
     heads = written(heads, "heads")
     shared = heads.groupBy("h").agg(F.min("id").alias("hub"), F.max("id").alias("last")).filter("hub < last").select("h")
     shared = written(shared, "shared")

@@ -90,3 +90,23 @@ def test_a_task_holds_one_python_worker(spark, monkeypatch):
     for plan in plans.values():
         for stage in re.split(r"Exchange", plan):
             assert len(re.findall(r"MapInArrow|ArrowEvalPython", stage)) <= 1
+
+
+def test_common_shingles_do_not_chain_pairs(spark, monkeypatch):
+    # 60 pairs of near copies, all with one common phrase: the phrase must not make one block of them
+    phrase = [f"common{j}" for j in range(40)]
+    words = lambda p: [f"p{p}w{j}" for j in range(60)] + phrase + [f"p{p}v{j}" for j in range(60)]
+    rows = [(2 * p + i, " ".join(words(p) + [f"end{i}"])) for p in range(60) for i in range(2)]
+    sizes = []
+    real = J.written
+
+    def noted(df, tag):
+        out = real(df, tag)
+        if "chunk" in out.columns and tag == "blocks":
+            sizes.extend(r["count"] for r in out.groupBy("block").count().collect())
+        return out
+
+    monkeypatch.setattr(J, "written", noted)
+    got = result(spark, rows, k=4, percent=85)
+    assert {i: c for i, _, c in got} == {i: i - i % 2 for i, _ in rows}
+    assert sizes and max(sizes) == 2
