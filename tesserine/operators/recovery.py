@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ..functions import stages
 from ..functions.records import ERROR, FAILED, PASSED, exclusion_reason, final_status, strict, target_id
@@ -65,40 +66,58 @@ def _doc(df: DataFrame, name: str) -> Doc:
     return Doc(F.col(name), df.schema[name].dataType)
 
 
+def _apart(name: str, fields: list[str], of: str | None = None) -> list[Column]:
+    """Fields of a document, or of a row, as columns of their own: joins then send those
+    only that are read later."""
+    return [F.col(f"{of}.`{f}`" if of else f"`{f}`").alias(f"{name}__{f}") for f in fields]
+
+
+def _doc_apart(df: DataFrame, name: str) -> Doc:
+    """The document that _apart took apart."""
+    own = {f.name.removeprefix(f"{name}__"): f for f in df.schema if f.name.startswith(f"{name}__")}
+    return Doc(F.struct(*[F.col(f"`{f.name}`").alias(n) for n, f in own.items()]), StructType([StructField(n, f.dataType) for n, f in own.items()]))
+
+
 def _edits(run: dict[str, str], models: dict[str, str], prompts: DataFrame, items: DataFrame, edits: DataFrame) -> DataFrame:
-    """A row an edit: prompt, the columns of its record so far, and its edit's meta."""
-    spine = prompts.select(F.struct(*[c for c in prompts.columns if c != "planned"]).alias("prompt"), "planned", F.col("image_id").alias("_image"), F.col("source_model_id").alias("_source"))
-    listed = spine.join(items.select(F.col("image_id").alias("_image"), F.col("items").alias("_items")), "_image", "left")
+    """A row an edit: the columns of its record so far, and its edit's meta."""
+    job = [c for c in prompts.columns if c != "planned"]
+    spine = prompts.select(*_apart("prompt", job), F.size("planned").alias("_n"), F.col("planned.instruction_type").alias("_types"), F.col("planned.type_index").alias("_nths"), F.col("image_id").alias("_image"), F.col("source_model_id").alias("_source"))
+    job = [f"prompt__{c}" for c in job]
+    nth = lambda at: [F.col("_types")[at].alias("planned__instruction_type"), F.col("_nths")[at].alias("planned__type_index")]
+    listed = spine.join(items.filter("items is not null").select(F.col("image_id").alias("_image"), F.col("items").alias("_items")), "_image")
     by_index = lambda a, b: F.coalesce(a["item"]["instruction_index"], F.lit(0)) - F.coalesce(b["item"]["instruction_index"], F.lit(0))
     placed = F.transform("_items", lambda x, i: F.struct(x.alias("item"), i.alias("place")))
     in_turn = F.array_sort(placed, lambda a, b: F.when(by_index(a, b) != 0, by_index(a, b)).otherwise(a["place"] - b["place"]).cast("int"))
-    of_list = listed.filter("_items is not null").withColumn("_found", F.slice(in_turn, F.lit(1), F.size("planned")))
-    of_list = of_list.select("prompt", "planned", "_source", F.posexplode("_found").alias("_at", "_x")).select("prompt", "_source", F.col("planned")[F.col("_at")].alias("planned"), (F.col("_at") + 1).alias("_index"), F.col("_x.item").alias("item"))
-    of_list = of_list.withColumn("_edit", F.col("item.edit_id"))
+    of_list = listed.withColumn("_found", F.slice(in_turn, F.lit(1), F.col("_n")))
+    of_list = of_list.select(*job, "_types", "_nths", "_source", F.posexplode("_found").alias("_at", "_x"))
+    of_list = of_list.select(*job, "_source", *nth(F.col("_at")), (F.col("_at") + 1).alias("_index"), *_apart("item", items.schema["items"].dataType.elementType.names, "_x.item"))
+    of_list = of_list.withColumn("_edit", F.col("item__edit_id"))
     meta = edits.select(F.col("model_id").alias("_source"), F.col("edit_id").alias("_edit"), F.col("meta").alias("edit_meta"))
     of_list = of_list.join(meta, ["_source", "_edit"], "left")
-    folders = listed.filter("_items is null").select("prompt", "planned", "_source").join(meta.filter("edit_meta is not null"), "_source")
-    turn = Window.partitionBy("prompt.plan_index", "prompt.object_index").orderBy(F.coalesce("edit_meta.created_at", F.lit("")), "_edit")
-    folders = folders.withColumn("_index", F.row_number().over(turn)).filter(F.col("_index") <= F.size("planned")).withColumn("planned", F.col("planned")[F.col("_index") - 1])
+    unlisted = spine.join(items.select(F.col("image_id").alias("_image"), F.col("items").isNull().alias("_none")), "_image", "left").filter("coalesce(_none, true)").drop("_none", "_image")
+    folders = unlisted.join(meta.filter("edit_meta is not null"), "_source")
+    # an object has one source, by which its rows lie together already
+    turn = Window.partitionBy("_source", *[f"prompt__{c}" for c in KEY]).orderBy(F.coalesce("edit_meta.created_at", F.lit("")), "_edit")
+    folders = folders.withColumn("_index", F.row_number().over(turn)).filter(F.col("_index") <= F.col("_n")).select(*job, "_source", "_edit", "edit_meta", "_index", *nth(F.col("_index") - 1))
     return _from_list(run, models, of_list).unionByName(_from_folders(run, models, folders))
 
 
 def _record(df: DataFrame, run: dict[str, str], models: dict[str, str], index: Column, kind: Column, shown: Column, life: Column, own: dict[str, Column], origin: str) -> DataFrame:
     df = df.withColumns({"_shown": stages.bound(shown), "_life": stages.bound(life)})
-    fields = base_edit_fields(run, _doc(df, "prompt"), index.cast("int"), kind, F.col("planned.type_index"), models)
+    fields = base_edit_fields(run, _doc_apart(df, "prompt"), index.cast("int"), kind, F.col("planned__type_index"), models)
     fields |= {name: F.col(f"_shown.{name}") for name in DISPLAY_FIELDS} | {name: F.col(f"_life.{name}") for name in RELABEL_FIELDS}
     fields |= {"instruction_text": F.col("_shown.instruction_display_text")} | own
-    extra = [F.col("prompt.object_index").alias("object_index"), F.col("prompt.object_number").alias("object_number"), F.col("_index").alias("position")]
+    extra = [F.col("prompt__object_index").alias("object_index"), F.col("prompt__object_number").alias("object_number"), F.col("_index").alias("position")]
     return df.select(*[c.alias(name) for name, c in fields.items()], *extra, F.lit(origin).alias("found_in"), "edit_meta")
 
 
 def _from_list(run: dict[str, str], models: dict[str, str], df: DataFrame) -> DataFrame:
-    item = _doc(df, "item")
+    item = _doc_apart(df, "item")
     kept = {"edit_id": "string", "target_model_id": "string", "stage1_status": "string", "stage2_status": "string", "stage2_score": "double", "final_status": "string", "exclusion_reason": "string"}
     index = F.coalesce(F.nullif(item.get("instruction_index", "int"), F.lit(0)), F.col("_index"))
     shown = display_from_item(item)
     own = {name: item.get(name, kind).cast(kind) for name, kind in kept.items()}
-    return _record(df, run, models, index, F.coalesce(item.given("type"), F.col("planned.instruction_type")), shown, relabel_fields(item, item.get("edit_id")), own, "instruction_list")
+    return _record(df, run, models, index, F.coalesce(item.given("type"), F.col("planned__instruction_type")), shown, relabel_fields(item, item.get("edit_id")), own, "instruction_list")
 
 
 def _from_folders(run: dict[str, str], models: dict[str, str], df: DataFrame) -> DataFrame:
@@ -106,7 +125,7 @@ def _from_folders(run: dict[str, str], models: dict[str, str], df: DataFrame) ->
     shown = display_from_meta(meta)
     own = {"edit_id": F.col("_edit"), "edit_status": F.lit("recovered"), "target_model_id": target_id(F.col("_source"), F.col("_edit"))}
     # the record's own relabel state is that of a new record until the stages are looked at
-    return _record(df, run, models, F.col("_index"), F.col("planned.instruction_type"), shown, relabel_fields(Doc(None, None), F.lit(None).cast("string")), own, "edit_folder")
+    return _record(df, run, models, F.col("_index"), F.col("planned__instruction_type"), shown, relabel_fields(Doc(None, None), F.lit(None).cast("string")), own, "edit_folder")
 
 
 def _finalised(df: DataFrame, targets: DataFrame, generated: DataFrame, rendered: DataFrame, provider_id: str) -> DataFrame:
@@ -124,9 +143,12 @@ def _finalised(df: DataFrame, targets: DataFrame, generated: DataFrame, rendered
     df = df.withColumn("instruction_text", F.coalesce(F.nullif("instruction_display_text", F.lit("")), "instruction_text"))
     passed = F.coalesce(F.col("stage1_status") == PASSED, F.lit(False))
     target = F.coalesce(F.nullif("target_model_id", F.lit("")), target_id(F.col("source_model_id"), F.col("edit_id")))
-    # a target is looked up by the id that the item told; that of a passed edit is its own
+    # a target is looked up by the id that the item told; that of a passed edit is its own. Both
+    # look-ups go by the latter, so that rows are sent once: where nothing was told, no target's
+    # meta counts, and that of an edit that hasn't passed isn't read.
     df = df.withColumn("_told", F.col("target_model_id")).withColumn("target_model_id", F.when(passed, target).otherwise(F.col("target_model_id")))
-    df = df.join(targets.select(F.col("model_id").alias("_told"), F.col("meta").alias("_target")), "_told", "left")
+    df = df.join(targets.select(F.col("model_id").alias("target_model_id"), F.col("meta").alias("_target")), "target_model_id", "left")
+    df = df.withColumn("_told", F.coalesce(F.col("_told") == F.col("target_model_id"), F.lit(False))).withColumn("_target", F.when(F.col("_told"), F.col("_target")))
     folder = lambda rows, made, drawn: rows.select(F.col("model_id").alias("target_model_id"), F.lit(made).alias("_made"), F.lit(drawn).alias("_drawn"))
     folders = folder(generated, True, False).unionByName(folder(rendered.filter(F.col("provider_id") == provider_id), False, True))
     df = df.join(folders.groupBy("target_model_id").agg(F.bool_or("_made").alias("_made"), F.bool_or("_drawn").alias("_drawn")), "target_model_id", "left")

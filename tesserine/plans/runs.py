@@ -17,25 +17,28 @@ def _artifacts(t: Tables) -> dict[str, DataFrame]:
     first. Two of three objects have an instruction list, in reverse; others only folders. Every
     fourth edit has no meta, and every other item of a list names no target."""
     modes, how = F.array(*map(F.lit, ("AIR", "RAIL", "MAIL", "SHIP", "FOB", "TRUCK", "REG"))), F.array(*map(F.lit, ("NONE", "COD", "RETURN", "PERSON")))
-    line = t.lineitem.withColumns({"l_shipmode": modes[(F.col("l_suppkey") % 7).cast("int")], "l_shipinstruct": how[(F.col("l_partkey") % 4).cast("int")]})
-    nth = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate", "l_returnflag")
-    # eight tables are made of the numbered lines, so these are sorted and written once
-    read = ("l_orderkey", "l_linenumber", "l_shipmode", "l_shipinstruct", "l_returnflag", "l_shipdate", "l_discount")
-    line, o = written(line.withColumn("l_linenumber", F.row_number().over(nth)).select(*read), "lines"), t.orders
-    kind = F.when(F.col("l_returnflag") == "R", "replace").otherwise("remove")
+    # Eight tables are made of the numbered lines, so these are sorted and written once, an
+    # order's lines as a list: what is made of them then needs no shuffle by order again.
+    turn = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate", "l_returnflag")
+    nth = lambda x, i: F.named_struct(F.lit("l_linenumber"), (i + 1).cast("int"), F.lit("l_shipmode"), modes[(x["l_suppkey"] % 7).cast("int")], F.lit("l_shipinstruct"), how[(x["l_partkey"] % 4).cast("int")], *[y for c in ("l_returnflag", "l_shipdate", "l_discount") for y in (F.lit(c), x[c])])
+    lists = t.lineitem.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(turn)).alias("lines"))
+    lists, o = written(lists.select("l_orderkey", F.transform("lines", nth).alias("lines")), "lines"), t.orders
+    line = lists.select("l_orderkey", F.inline("lines"))
     edit = F.concat(F.lit("e"), F.col("l_linenumber").cast("string"))
     model = F.concat(F.lit("m"), F.col("l_orderkey").cast("string"))
     target = F.concat(model, F.lit("_edit_"), edit)
     status = F.when(F.col("l_returnflag") == "R", "failed_quality").when((F.col("l_returnflag") == "N") & (F.col("l_linenumber") == 7), "error_quality_check").when(F.col("l_returnflag") == "N", "passed")
-    turn = F.sort_array(F.collect_list(F.struct("l_linenumber", kind.alias("type"), F.concat(F.initcap(kind), F.lit(" the "), F.col("l_shipmode")).alias("instruction"))))
-    made = line.groupBy("l_orderkey").agg(turn.alias("made"), F.count("*").cast("int").alias("count"))
+    kind_of = lambda x: F.when(x["l_returnflag"] == "R", "replace").otherwise("remove")
+    text_of = lambda x: F.concat(F.initcap(kind_of(x)), F.lit(" the "), x["l_shipmode"])
+    made = lists.select("l_orderkey", F.transform("lines", lambda x: F.named_struct(F.lit("l_returnflag"), x["l_returnflag"], F.lit("l_shipmode"), x["l_shipmode"])).alias("made"), F.size("lines").alias("count"))
     key = F.col("o_orderkey").cast("string")
     plan = F.struct(F.lit("adaptive_k").alias("mode"), "count", F.array(F.lit("remove"), F.lit("replace")).alias("allowed_types"))
-    fields = [(F.col("o_custkey") % 7).cast("int").alias("plan_index"), F.col("o_orderkey").cast("int").alias("object_index"), F.concat(F.lit("i"), key).alias("image_id"), F.concat(F.lit("m"), key).alias("source_model_id"), F.lit("fixed").alias("selection_mode"), F.concat(F.lit("o"), key).alias("object_name"), F.concat(F.lit("p"), key).alias("prompt_id"), plan.alias("instruction_plan"), F.transform("made", lambda x: F.struct(x["type"].alias("type"), x["instruction"].alias("instruction"))).alias("generated_instructions")]
+    fields = [(F.col("o_custkey") % 7).cast("int").alias("plan_index"), F.col("o_orderkey").cast("int").alias("object_index"), F.concat(F.lit("i"), key).alias("image_id"), F.concat(F.lit("m"), key).alias("source_model_id"), F.lit("fixed").alias("selection_mode"), F.concat(F.lit("o"), key).alias("object_name"), F.concat(F.lit("p"), key).alias("prompt_id"), plan.alias("instruction_plan"), F.transform("made", lambda x: F.named_struct(F.lit("type"), kind_of(x), F.lit("instruction"), text_of(x))).alias("generated_instructions")]
     rows = o.join(made, o["o_orderkey"] == made["l_orderkey"])
     prompts = rows.select(*fields, F.explode(F.array(F.struct(F.lit(1).alias("line"), F.lit("old").alias("category")), F.struct(F.lit(2).alias("line"), F.col("o_orderpriority").alias("category")))).alias("x")).select("*", "x.*").drop("x")
-    item = F.struct(F.col("l_linenumber").cast("int").alias("instruction_index"), kind.alias("type"), F.concat(F.initcap(kind), F.lit(" the "), F.col("l_shipmode")).alias("text"), edit.alias("edit_id"), F.when(F.col("l_shipmode") != "FOB", "passed").alias("stage1_status"), F.when(F.col("l_linenumber") % 2 == 0, target).alias("target_model_id"))
-    items = line.filter("l_orderkey % 3 <> 0").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(item), asc=False).alias("items")).select(F.concat(F.lit("i"), F.col("l_orderkey").cast("string")).alias("image_id"), "items")
+    edit_of = lambda x: F.concat(F.lit("e"), x["l_linenumber"].cast("string"))
+    item = lambda x: F.named_struct(F.lit("instruction_index"), x["l_linenumber"], F.lit("type"), kind_of(x), F.lit("text"), text_of(x), F.lit("edit_id"), edit_of(x), F.lit("stage1_status"), F.when(x["l_shipmode"] != "FOB", "passed"), F.lit("target_model_id"), F.when(x["l_linenumber"] % 2 == 0, F.concat(model, F.lit("_edit_"), edit_of(x))))
+    items = lists.filter("l_orderkey % 3 <> 0").select(F.concat(F.lit("i"), F.col("l_orderkey").cast("string")).alias("image_id"), F.reverse(F.transform("lines", item)).alias("items"))
     meta = F.struct(edit.alias("edit_id"), F.col("l_shipdate").cast("string").alias("created_at"), F.concat(F.lit("Remove "), F.col("l_shipinstruct")).alias("instruction"), status.alias("edit_status"))
     edits = line.filter("l_linenumber % 4 <> 0").select(model.alias("model_id"), edit.alias("edit_id"), meta.alias("meta"))
     check = F.struct(F.when(F.col("l_shipmode") == "AIR", "passed").when(F.col("l_shipmode") == "RAIL", "failed_quality").otherwise("error_quality_check").alias("status"), F.col("l_discount").cast("double").alias("score"), F.when(F.col("l_shipmode") == "MAIL", "other").alias("provider_id"))

@@ -91,3 +91,17 @@ def test_numbers_of_objects_need_no_sorted_plan(spark):
     assert got == {(3, -2): -2, (3, None): 3, (3, 0): 5, (3, 7): 7, (1, 4): 4, (1, 0): 1}
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert not any("windowspecdefinition" in line and "object_index" in line.split("windowspecdefinition", 1)[1] and "ASC" in line.split("object_index", 1)[1][:20] for line in plan.splitlines())
+
+
+def test_joins_send_no_whole_prompts(spark, sf_dir):
+    """Only the fields that the query reads are scanned and sent; the edits go through few shuffles."""
+    from tesserine.plans import registry
+
+    most = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = registry.queries()["recovered_edits"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+    assert "generated_instructions" not in plan and "instruction_plan" not in plan
+    assert plan.count("Exchange hashpartitioning") <= 11
